@@ -73,9 +73,11 @@ def dense_index(
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     _CACHED.append(keyed)
-    counts = keyed.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_n"))
+    # per partition (and group inside it): row count and first local position
+    counts = keyed.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_n"), F.min("_local").alias("_first"))
     w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", *group, F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    offsets = counts.select(
+        "_pid", *group, (F.coalesce(F.sum("_n").over(w), F.lit(0)) - F.col("_first")).alias("_off"))
     if not group:
         # one row per partition: the size bound is the partition count itself
         offsets = F.broadcast(offsets)

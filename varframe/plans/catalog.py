@@ -198,3 +198,132 @@ def _with_header(head, body, size):
     h = ln.header_for_batches(head, fx.LINE_ORDER, n_batches)
     return h.unionByName(
         b.select("batch_id", (F.col("pos_in_batch") + F.lit(n_head)).cast("bigint").alias("line_in_batch"), "value"))
+
+
+# ---------------------------------------------------------------- tool output parts and merges
+
+_TXT_HEADER = "(select arg_min(value, part) as v from all_parts where suffix like '%.txt' and line_no = 0)"
+_ANN_COLS = f"""
+ann_cols as (
+  select cast(i as int) as col_idx, name from (
+    select unnest(range(len(string_split(v, chr(9))))) as i, unnest(string_split(v, chr(9))) as name
+    from {_TXT_HEADER})
+  where name not like '%Otherinfo%' and name not in ('Chr', 'Start', 'End', 'Ref', 'Alt'))"""
+_DECLS = """
+decls as (
+  select cast(0 as bigint) as decl_idx,
+         '##INFO=<ID=ANNOVAR_DATE,Number=1,Type=String,Description="Flag the start of ANNOVAR annotation for one alternative allele">' as value
+  union all
+  select row_number() over (order by col_idx),
+         concat('##INFO=<ID=', name, ',Number=.,Type=String,Description="', name, ' annotation provided by ANNOVAR">')
+  from ann_cols
+  union all
+  select (select count(*) from ann_cols) + 1,
+         '##INFO=<ID=ALLELE_END,Number=0,Type=Flag,Description="Flag the end of ANNOVAR annotation for one alternative allele">')"""
+_PATCHED = """
+patched as (
+  select row_number() over (order by s, k) - 1 as line_no, value from (
+    select case when value like '##%' then 0 else 2 end as s, line_no as k, value
+    from ranked_lines where value like '#%'
+    union all select 1, decl_idx, value from decls))"""
+
+
+def _parts(spark, d):
+    return fx.parts(spark, d)
+
+
+@query("part_suffix", """
+select distinct concat(cast(part as varchar), '.', suffix) as name, part, suffix from all_parts""")
+def part_suffix(spark, d):
+    """Part file name to (part, suffix) on the first dot."""
+    names = _parts(spark, d).select(F.concat_ws(".", F.col("part").cast("string"), "suffix").alias("name")).distinct()
+    return names.select("name", *text.part_name("name"))
+
+
+@query("distinct_suffix", "select distinct suffix from all_parts")
+def distinct_suffix(spark, d):
+    return mg.part_suffixes(_parts(spark, d))
+
+
+@query("present_parts", """
+select cast(range as int) as part from range(10) where range in (select part from all_parts)""")
+def present_parts(spark, d):
+    """Expected part ids 0..9 kept when the tool wrote output for them."""
+    expected = spark.range(10).select(F.col("id").cast("int").alias("part"))
+    return mg.present_parts(expected, _parts(spark, d))
+
+
+@query("first_line", "select part, suffix, arg_min(value, line_no) as value from all_parts group by part, suffix")
+def first_line(spark, d):
+    return mg.first_lines(_parts(spark, d))
+
+
+@query("annotation_columns", f"with {_ANN_COLS} select col_idx, name from ann_cols")
+def annotation_columns(spark, d):
+    """Annotation column names of the first table part's header row."""
+    return mg.annotation_columns(mg.table_header(_parts(spark, d)))
+
+
+@query("info_decls", f"with {_ANN_COLS}, {_DECLS} select decl_idx, value from decls")
+def info_decls(spark, d):
+    """INFO declarations for the added columns between open and close lines."""
+    return mg.info_declarations(mg.annotation_columns(mg.table_header(_parts(spark, d))))
+
+
+def _patched_header(spark, d):
+    head, _ = _header_body(spark, d)
+    decls = mg.info_declarations(mg.annotation_columns(mg.table_header(_parts(spark, d))))
+    return mg.patch_header(head, fx.LINE_ORDER, decls, ["decl_idx"])
+
+
+@query("header_patch", f"with {_ANN_COLS}, {_DECLS}, {_PATCHED} select line_no, value from patched")
+def header_patch(spark, d):
+    """Declarations inserted before the column line."""
+    return _patched_header(spark, d)
+
+
+_TABLE_MERGE = """
+select suffix, row_number() over (partition by suffix order by part, line_no) - 1 as line_no, value
+from all_parts p
+where (suffix like '%txt' or suffix like '%csv')
+  and (line_no <> 0 or part = (select min(part) from all_parts q where q.suffix = p.suffix))"""
+_PLAIN_MERGE = """
+select suffix, row_number() over (partition by suffix order by part, line_no) - 1 as line_no, value
+from all_parts where not (suffix like '%txt' or suffix like '%csv' or suffix like '%vcf')"""
+_VCF_MERGE = f"""
+select suffix, row_number() over (partition by suffix order by s, a, b) - 1 as line_no, value from (
+  select suffix, 0 as s, cast(0 as bigint) as a, h.line_no as b, h.value
+  from patched h, (select distinct suffix from all_parts where suffix like '%vcf') x
+  union all
+  select suffix, 1, part, line_no, value from all_parts where suffix like '%vcf' and value not like '#%')"""
+
+
+@query("merge_tables", _TABLE_MERGE)
+def merge_tables(spark, d):
+    """Table parts merged, one header row."""
+    p = _parts(spark, d)
+    return mg.merge_tables(p.where(mg.kind_of() == "table"))
+
+
+@query("merge_parts", _PLAIN_MERGE)
+def merge_parts(spark, d):
+    """Other parts concatenated in part order."""
+    p = _parts(spark, d)
+    return mg.merge_plain(p.where(mg.kind_of() == "plain"))
+
+
+@query("merge_vcf", f"with {_ANN_COLS}, {_DECLS}, {_PATCHED} {_VCF_MERGE}")
+def merge_vcf(spark, d):
+    """VCF parts stripped of '#' lines under the extended header."""
+    p = _parts(spark, d)
+    return mg.merge_vcf(p.where(mg.kind_of() == "vcf"), _patched_header(spark, d), ["line_no"])
+
+
+@query("merge_route", f"""
+with {_ANN_COLS}, {_DECLS}, {_PATCHED}
+select suffix, 'table' as kind, line_no, value from ({_TABLE_MERGE})
+union all select suffix, 'vcf', line_no, value from ({_VCF_MERGE})
+union all select suffix, 'plain', line_no, value from ({_PLAIN_MERGE})""")
+def merge_route(spark, d):
+    """Every suffix routed to its merge by the last three characters."""
+    return mg.merge_routed(_parts(spark, d), _patched_header(spark, d), ["line_no"])
