@@ -33,9 +33,15 @@ def info_text(m: Column) -> Column:
 
 def sample_map(fmt_keys: Column, sample: Column) -> Column:
     """One sample column to a map keyed by FORMAT; trailing keys without values are dropped."""
-    vals = F.split(sample, ":")
-    n = F.least(F.size(fmt_keys), F.size(vals))
-    return F.map_from_arrays(F.slice(fmt_keys, 1, n), F.slice(vals, 1, n))
+    pairs = F.arrays_zip(fmt_keys.alias("k"), F.split(sample, ":").alias("v"))
+    kept = F.filter(pairs, lambda e: e["k"].isNotNull() & e["v"].isNotNull())
+    return F.map_from_entries(F.transform(kept, lambda e: F.struct(e["k"].alias("key"), e["v"].alias("value"))))
+
+
+def sample_field(fmt_keys: Column, sample: Column, key: str) -> Column:
+    """One FORMAT field of one sample text, NULL when absent."""
+    i = F.array_position(fmt_keys, F.lit(key))
+    return F.when(i > 0, F.try_element_at(F.split(sample, ":"), i.cast("int")))
 
 
 def sample_text(fmt_keys: Column, m: Column) -> Column:
@@ -45,41 +51,44 @@ def sample_text(fmt_keys: Column, m: Column) -> Column:
     return F.array_join(present, ":")
 
 
-def trim_common(ref: Column, alt: Column) -> tuple[Column, Column, Column]:
+def _common_run(a: Column, b: Column, from_end: bool) -> Column:
+    """Length of the run of equal characters at the start (or end) of ``a`` and ``b``."""
+    m = F.least(F.length(a), F.length(b))
+    idx = (lambda i: -i) if from_end else (lambda i: i)
+    same = F.transform(F.sequence(F.lit(1), F.greatest(m, F.lit(1))),
+                       lambda i: F.substring(a, idx(i), 1) == F.substring(b, idx(i), 1))
+    first_diff = F.array_position(same, False)
+    run = F.when(first_diff == 0, m).otherwise(first_diff - 1)
+    return F.when(m == 0, F.lit(0)).otherwise(F.least(run, m)).cast("int")
+
+
+def trim_common(df, ref: str = "ref", alt: str = "alt", pos: str = "pos"):
     """Minimal representation (B5): drop the shared suffix, then the shared prefix.
 
-    Returns (shift, ref', alt') where shift is the number of leading bases removed;
-    an empty allele is written ``-``.
+    Adds ``min_pos`` (pos + bases removed in front), ``min_ref``, ``min_alt``; an
+    empty allele is written ``-``. Built in steps so no expression is repeated.
     """
-    def common_run(a: Column, b: Column, from_end: bool) -> Column:
-        m = F.least(F.length(a), F.length(b))
-        idx = (lambda i: -i) if from_end else (lambda i: i)
-        same = F.transform(F.sequence(F.lit(1), F.greatest(m, F.lit(1))),
-                           lambda i: F.substring(a, idx(i), 1) == F.substring(b, idx(i), 1))
-        first_diff = F.array_position(same, False)
-        run = F.when(first_diff == 0, m).otherwise(first_diff - 1)
-        return F.when(m == 0, F.lit(0)).otherwise(F.least(run, m))
-
-    s = common_run(ref, alt, True).cast("int")
-    r1 = F.substring(ref, F.lit(1), F.length(ref) - s)
-    a1 = F.substring(alt, F.lit(1), F.length(alt) - s)
-    p = common_run(r1, a1, False).cast("int")
-    r2 = F.substring(r1, p + 1, F.length(r1) - p)
-    a2 = F.substring(a1, p + 1, F.length(a1) - p)
     dash = lambda x: F.when(F.length(x) == 0, F.lit("-")).otherwise(x)
-    return p, dash(r2), dash(a2)
-
-
-def variant_class(ref: Column, alt: Column) -> Column:
+    r, a = F.col(ref), F.col(alt)
+    t = df.withColumn("_s", _common_run(r, a, True))
+    t = t.withColumn("_r1", F.expr(f"substring({ref}, 1, length({ref}) - _s)")).withColumn(
+        "_a1", F.expr(f"substring({alt}, 1, length({alt}) - _s)"))
+    t = t.withColumn("_p", _common_run(F.col("_r1"), F.col("_a1"), False))
+    t = t.withColumn("min_pos", F.col(pos) + F.col("_p")) if pos in df.columns else t
+    t = t.withColumn("min_ref", dash(F.expr("substring(_r1, _p + 1)"))).withColumn(
+        "min_alt", dash(F.expr("substring(_a1, _p + 1)")))
+    return t.drop("_s", "_r1", "_a1", "_p")
+
+
+def class_of(ref: Column, alt: Column, min_ref: Column, min_alt: Column) -> Column:
     """SNV, insertion, deletion, substitution, indel, or sequence_alteration (B6),
     judged on the minimal alleles."""
-    _, r, a = trim_common(ref, alt)
     return (
         F.when(alt.startswith("<") | (alt == "*") | alt.contains("[") | alt.contains("]"),
                F.lit("sequence_alteration"))
-        .when(r == "-", F.lit("insertion"))
-        .when(a == "-", F.lit("deletion"))
-        .when((F.length(r) == 1) & (F.length(a) == 1), F.lit("SNV"))
-        .when(F.length(r) == F.length(a), F.lit("substitution"))
+        .when(min_ref == "-", F.lit("insertion"))
+        .when(min_alt == "-", F.lit("deletion"))
+        .when((F.length(min_ref) == 1) & (F.length(min_alt) == 1), F.lit("SNV"))
+        .when(F.length(min_ref) == F.length(min_alt), F.lit("substitution"))
         .otherwise(F.lit("indel"))
     )

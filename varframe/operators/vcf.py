@@ -19,16 +19,16 @@ def parse(body: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) ->
 
     ``chrom string, pos bigint, id string, ref string, alt array<string>,
     qual double, qual_raw string, filter string, info map<string,string>,
-    format array<string>, samples array<map<string,string>>``; ``.`` is NULL.
+    format array<string>, samples array<string>``; ``.`` is NULL.
+
+    Sample columns stay text until a field is asked for (``sample_field``,
+    ``sample_maps``, ``samples_long``): a line can carry many thousands of
+    samples and most queries read one key of a few of them.
     """
-    f = F.split(F.col(value), "\t")
-    fmt = F.split(F.element_at(f, 9), ":")
-    rows = body.select(*keep, f.alias("_f"))
+    rows = body.select(*keep, F.split(F.col(value), "\t").alias("_f"))
     f = F.col("_f")
-    fmt = F.when(F.size(f) >= 9, F.split(F.element_at(f, 9), ":"))
-    samples = F.when(
-        F.size(f) > 9, F.transform(F.slice(f, 10, F.size(f) - 9), lambda s: fv.sample_map(fmt, s))
-    )
+    rows = rows.withColumn("_fmt", F.when(F.size(f) >= 9, F.split(F.element_at(f, 9), ":")))
+    samples = F.when(F.size(f) > 9, F.slice(f, 10, F.size(f) - 9))
     return rows.select(
         *keep,
         F.element_at(f, 1).alias("chrom"),
@@ -40,7 +40,7 @@ def parse(body: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) ->
         F.element_at(f, 6).alias("qual_raw"),
         fv.missing_to_null(F.element_at(f, 7)).alias("filter"),
         fv.info_map(F.element_at(f, 8)).alias("info"),
-        fmt.alias("format"),
+        F.col("_fmt").alias("format"),
         samples.alias("samples"),
     )
 
@@ -49,7 +49,7 @@ def format_rows(rows: DataFrame, value: str = "value") -> DataFrame:
     """Typed rows back to VCF lines (B3); ``qual_raw`` keeps the original QUAL text."""
     na = lambda c: F.coalesce(c, F.lit(fv.MISSING))
     qual = F.coalesce(F.col("qual_raw"), F.col("qual").cast("string"), F.lit(fv.MISSING))
-    samples = F.transform(F.col("samples"), lambda m: fv.sample_text(F.col("format"), m))
+    samples = F.col("samples")
     fields = [
         F.col("chrom"), F.col("pos").cast("string"), na(F.col("id")), F.col("ref"),
         na(F.array_join(F.col("alt"), ",")), qual, na(F.col("filter")), fv.info_text(F.col("info")),
@@ -81,6 +81,11 @@ def meta(header: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
+def sample_maps(rows: DataFrame) -> DataFrame:
+    """Replace the sample texts by ``map<string,string>`` keyed by FORMAT (all fields of all samples)."""
+    return rows.withColumn("samples", F.transform("samples", lambda s: fv.sample_map(F.col("format"), s)))
+
+
 def explode_alleles(rows: DataFrame, alt: str = "alt") -> DataFrame:
     """One row per alternative allele with its 1-based number."""
     others = [c for c in rows.columns if c != alt]
@@ -91,13 +96,15 @@ def explode_alleles(rows: DataFrame, alt: str = "alt") -> DataFrame:
 
 def minimal(rows: DataFrame, pos: str = "pos", ref: str = "ref", alt: str = "alt") -> DataFrame:
     """Add ``min_pos, min_ref, min_alt``: shared suffix then prefix trimmed."""
-    shift, r, a = fv.trim_common(F.col(ref), F.col(alt))
-    return rows.withColumn("min_pos", F.col(pos) + shift).withColumn("min_ref", r).withColumn("min_alt", a)
+    return fv.trim_common(rows, ref, alt, pos)
 
 
 def with_class(rows: DataFrame, ref: str = "ref", alt: str = "alt") -> DataFrame:
-    """Add ``variant_class``."""
-    return rows.withColumn("variant_class", fv.variant_class(F.col(ref), F.col(alt)))
+    """Add ``variant_class`` (B6) from the minimal alleles."""
+    keep = rows.columns
+    t = fv.trim_common(rows, ref, alt, pos="_no_pos_")
+    t = t.withColumn("variant_class", fv.class_of(F.col(ref), F.col(alt), F.col("min_ref"), F.col("min_alt")))
+    return t.select(*keep, "variant_class")
 
 
 def samples_long(rows: DataFrame, names: DataFrame, keep: DataFrame | None = None,
@@ -107,8 +114,9 @@ def samples_long(rows: DataFrame, names: DataFrame, keep: DataFrame | None = Non
     ``names`` is ``sample_idx int, sample string`` from the column line; it and
     ``keep`` have one row per sample of the file, so they are broadcast.
     """
-    long = rows.select(*key, F.posexplode("samples").alias("sample_idx", "_m")).select(
-        *key, F.col("sample_idx").cast("int").alias("sample_idx"), F.element_at("_m", F.lit("GT")).alias("gt")
+    long = rows.select(*key, "format", F.posexplode("samples").alias("sample_idx", "_s")).select(
+        *key, F.col("sample_idx").cast("int").alias("sample_idx"),
+        fv.sample_field(F.col("format"), F.col("_s"), "GT").alias("gt"),
     )
     n = F.broadcast(names)
     if keep is not None:

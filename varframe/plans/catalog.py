@@ -327,3 +327,452 @@ union all select suffix, 'plain', line_no, value from ({_PLAIN_MERGE})""")
 def merge_route(spark, d):
     """Every suffix routed to its merge by the last three characters."""
     return mg.merge_routed(_parts(spark, d), _patched_header(spark, d), ["line_no"])
+
+
+# ---------------------------------------------------------------- external programs and jobs
+
+from ..operators import external as ex  # noqa: E402
+from ..operators import report as rp  # noqa: E402
+from . import jobs  # noqa: E402
+
+UPPER = ["tr", "a-z", "A-Z"]
+# prints a header line of its own, then upper-cases: the header must be dropped
+UPPER_WITH_HEADER = ["sh", "-c", "echo '#tool output'; tr a-z A-Z"]
+# writes three outputs like a table annotator: a table with a header row, a VCF, a plain file
+MULTI_OUTPUT = ["sh", "-c", (
+    "cat > {out}.in && "
+    "{ printf 'Chr\\tStart\\tEnd\\tRef\\tAlt\\tGene.refGene\\tOtherinfo1\\n'; tr a-z A-Z < {out}.in; }"
+    " > {out}.hg38_multianno.txt && "
+    "{ echo '#tool vcf'; cat {out}.in; } > {out}.hg38_multianno.vcf && "
+    "cut -f1-2 {out}.in > {out}.avinput && rm {out}.in")]
+
+_BODY_RANKED = "(select row_number() over (order by section, seq, value) - 1 as rn, value from lines where value not like '#%')"
+_JOB_LINES = """
+select line_no, case when value like '#%' then value else upper(value) end as value from ranked_lines"""
+
+
+@query("pipe_drop_header", "select upper(value) as value from lines where value not like '#%'")
+def pipe_drop_header(spark, d):
+    """Body lines through a process per partition; '#' lines it prints are dropped."""
+    _, body = _header_body(spark, d)
+    out = ex.pipe_partitions(body, UPPER_WITH_HEADER, order=fx.LINE_ORDER)
+    return ln.drop_header_lines(out).select("value")
+
+
+@query("pipe_partitions", f"select rn as line_no, upper(value) as value from {_BODY_RANKED}")
+def pipe_partitions(spark, d):
+    """Output of one process per range partition keeps the input order."""
+    _, body = _header_body(spark, d)
+    out = ex.pipe_partitions(body, UPPER, order=fx.LINE_ORDER)
+    return ix.dense_index(out, ["part", "line_no"], name="line_no_out").select(
+        F.col("line_no_out").alias("line_no"), "value")
+
+
+@query("pipe_exit_codes", "select 0 as exit_code, count(*) as n_lines from lines where value not like '#%'")
+def pipe_exit_codes(spark, d):
+    """Only the exit code of every partition's process, with the lines it was fed."""
+    _, body = _header_body(spark, d)
+    codes = ex.pipe_exit_codes(body, ["cat"])
+    return codes.groupBy("exit_code").agg(F.sum("n_lines").alias("n_lines"))
+
+
+@query("pipe_multi_output", """
+select 'hg38_multianno.txt' as suffix, upper(value) as value from lines where value not like '#%'
+union all select 'hg38_multianno.txt', concat_ws(chr(9), 'Chr', 'Start', 'End', 'Ref', 'Alt', 'Gene.refGene', 'Otherinfo1')
+  from range(8)
+union all select 'hg38_multianno.vcf', value from lines where value not like '#%'
+union all select 'hg38_multianno.vcf', '#tool vcf' from range(8)
+union all select 'avinput', concat(split_part(value, chr(9), 1), chr(9), split_part(value, chr(9), 2))
+  from lines where value not like '#%'""")
+def pipe_multi_output(spark, d):
+    """One process per partition writing three files; the files come back as rows."""
+    _, body = _header_body(spark, d)
+    out = ex.pipe_multi_output(body, MULTI_OUTPUT, order=fx.LINE_ORDER, partitions=8)
+    return out.select("suffix", "value")
+
+
+@query("pipe_batches", """
+select cast(rn // 10 as bigint) as batch_id, cast(rn % 10 as bigint) as line_no, upper(sample) as value
+from (select *, row_number() over (order by sample_idx) - 1 as rn from samples)""")
+def pipe_batches(spark, d):
+    """One process call per batch of 10 samples."""
+    s = ix.batch(ix.dense_index(fx.samples(spark, d), ["sample_idx"]), 10)
+    return ex.pipe_batches(s.select("batch_id", "pos_in_batch", F.col("sample").alias("value")), UPPER)
+
+
+@query("job_line_batches", _JOB_LINES)
+def job_line_batches(spark, d):
+    """Batches of 20000 lines each with the header, one process per batch, merged in order."""
+    return jobs.line_batches(fx.lines(spark, d), fx.LINE_ORDER, UPPER_WITH_HEADER, 20000)
+
+
+@query("job_stream", _JOB_LINES)
+def job_stream(spark, d):
+    """Headerless lines through one process per partition, header put back."""
+    return jobs.stream(fx.lines(spark, d), fx.LINE_ORDER, UPPER_WITH_HEADER)
+
+
+_JOB_OUTPUTS_SQL = """
+with ann_cols as (select 0 as col_idx, 'Gene.refGene' as name),
+{decls}, {patched},
+jbody as (select rn, value from {body})
+select 'hg38_multianno.txt' as suffix, 'table' as kind, cast(0 as bigint) as line_no,
+       concat_ws(chr(9), 'Chr', 'Start', 'End', 'Ref', 'Alt', 'Gene.refGene', 'Otherinfo1') as value
+union all select 'hg38_multianno.txt', 'table', rn + 1, upper(value) from jbody
+union all select 'hg38_multianno.vcf', 'vcf', line_no, value from patched
+union all select 'hg38_multianno.vcf', 'vcf', rn + (select count(*) from patched), value from jbody
+union all select 'avinput', 'plain', rn, concat(split_part(value, chr(9), 1), chr(9), split_part(value, chr(9), 2))
+  from jbody"""
+
+
+@query("job_outputs", _JOB_OUTPUTS_SQL.format(decls=_DECLS.strip(), patched=_PATCHED.strip(), body=_BODY_RANKED))
+def job_outputs(spark, d):
+    """One process per partition with three outputs, merged by kind under an extended header."""
+    return jobs.outputs(fx.lines(spark, d), fx.LINE_ORDER, MULTI_OUTPUT)
+
+
+@query("job_sample_batches", """
+select cast(rn // 10 as bigint) as batch_id, cast(rn % 10 as bigint) as line_no, upper(n_name) as value
+from (select *, row_number() over (order by n_nationkey) - 1 as rn from nation)""")
+def job_sample_batches(spark, d):
+    """The file's samples in batches of 10, one process per batch."""
+    return jobs.sample_batches(fx.lines(spark, d), fx.LINE_ORDER, UPPER, 10)
+
+
+@query("job_interval_batches", """
+select cast(rn // 3 as bigint) as batch_id, cast(rn % 3 as bigint) as line_no,
+       upper(concat(chrom, ':', cast("start" as varchar), '-', cast("end" as varchar))) as value
+from (select *, row_number() over (order by gene) - 1 as rn from genes)""")
+def job_interval_batches(spark, d):
+    """An interval list file read on the executors, batches of 3, one process per batch."""
+    g = fx.genes(spark, d)
+    p = sinks.write_lines(
+        g.select("gene", F.concat_ws("", "chrom", F.lit(":"), F.col("start").cast("string"), F.lit("-"),
+                                     F.col("end").cast("string")).alias("value")),
+        scratch_path(spark, "intervals"), ["gene"])
+    return jobs.interval_batches(text.read_intervals(spark, p), text.LINE_KEY, UPPER, 3)
+
+
+# ---------------------------------------------------------------- sinks (written, then read back)
+
+def _write_read(spark, d, compression=None):
+    lines = fx.lines(spark, d)
+    p = sinks.write_lines(lines, scratch_path(spark, "single"), fx.LINE_ORDER, compression=compression, single=True)
+    return ix.dense_index(text.scan_lines(spark, p), text.LINE_KEY, name="line_no").select("line_no", "value")
+
+
+@query("write_single", "select line_no, value from ranked_lines")
+def write_single(spark, d):
+    """One ordered text output, written in parallel, read back in order."""
+    return _write_read(spark, d)
+
+
+@query("write_single_gz", "select line_no, value from ranked_lines")
+def write_single_gz(spark, d):
+    """Same, gzip-compressed."""
+    return _write_read(spark, d, "gzip")
+
+
+@query("write_batches", f"""
+select cast(rn // 20000 as bigint) as batch_id, cast(rn % 20000 as bigint) as line_no, value from {_BODY_RANKED}""")
+def write_batches(spark, d):
+    """One file per batch of 20000 body lines, read back per batch."""
+    _, body = _header_body(spark, d)
+    b = ix.batch(ix.dense_index(body, fx.LINE_ORDER), 20000)
+    p = sinks.write_batches(b, scratch_path(spark, "batches"), ["pos_in_batch"])
+    back = text.scan_lines(spark, p).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    return ix.dense_index(back, text.LINE_KEY, name="line_no", group=["batch_id"]).select(
+        "batch_id", "line_no", "value")
+
+
+# ---------------------------------------------------------------- benchmark report
+
+_BENCH_CSV_COLS = ["CPU_cores", "Tools", "Running_time_minutes", "CPU_percentage_pct", "Maximum_memory_used_pct"]
+
+
+def _bench_csv(spark, d):
+    """The bench rows written as CSV with a header row, then read with the fixed schema (A5)."""
+    b = fx.bench(spark, d).toDF(*_BENCH_CSV_COLS)
+    p = scratch_path(spark, "bench_csv")
+    b.write.mode("overwrite").option("header", True).csv(p)
+    return text.read_csv(spark, p)
+
+
+def _pivot_sql(metric):
+    cols = ", ".join(f"round_even(avg(case when tool = '{t}' then {metric} end), 0) as {t}" for t in "FOP")
+    return f"select idx as CPU_cores, {cols} from bench group by idx"
+
+
+@query("bench_pivot_time", _pivot_sql("time"))
+def bench_pivot_time(spark, d):
+    """Mean running time per CPU_cores x Tools, rounded half to even."""
+    return rp.pivot_mean(_bench_csv(spark, d), "CPU_cores", "Tools", "Running_time_minutes", ["F", "O", "P"])
+
+
+@query("bench_pivot_cpu", _pivot_sql("cpu"))
+def bench_pivot_cpu(spark, d):
+    """Mean CPU percentage per CPU_cores x Tools."""
+    return rp.pivot_mean(_bench_csv(spark, d), "CPU_cores", "Tools", "CPU_percentage_pct", ["F", "O", "P"])
+
+
+@query("bench_pivot_mem", _pivot_sql("mem"))
+def bench_pivot_mem(spark, d):
+    return rp.pivot_mean(_bench_csv(spark, d), "CPU_cores", "Tools", "Maximum_memory_used_pct", ["F", "O", "P"])
+
+
+@query("bench_sorted", """
+select row_number() over (order by mean desc, CPU_cores, Tools) - 1 as rank, CPU_cores, Tools, mean
+from (select idx as CPU_cores, tool as Tools, round_even(avg(mem), 2) as mean from bench group by idx, tool)""")
+def bench_sorted(spark, d):
+    """Means ranked by value before any pivot."""
+    return rp.ranked_means(_bench_csv(spark, d), "CPU_cores", "Tools", "Maximum_memory_used_pct")
+
+
+# ---------------------------------------------------------------- VCF rows
+
+from ..operators import annotate as an  # noqa: E402
+from ..functions import vcf as fv  # noqa: E402
+from ..operators import vcf  # noqa: E402
+
+_GT = "(['0/0', '0/1', '1/1'])[cast((pos // 7 + {j}) % 3 as int) + 1]"
+
+
+def _rows(spark, d):
+    return vcf.parse(_header_body(spark, d)[1])
+
+
+@query("vcf_rows", f"""
+select chrom, pos, ref, alt, cast(floor(qual) as double) as qual, 'PASS' as filter, rf, dp,
+       tax = 0 as notax, 25 as n_samples, {_GT.format(j=0)} as gt0
+from variants""")
+def vcf_rows(spark, d):
+    """Body lines parsed to typed rows (B1), shown flat."""
+    r = _rows(spark, d)
+    return r.select(
+        "chrom", "pos", "ref", F.array_join("alt", ",").alias("alt"), "qual", "filter",
+        F.col("info")["RF"].alias("rf"), F.col("info")["DP"].try_cast("int").alias("dp"),
+        F.map_contains_key("info", "NOTAX").alias("notax"), F.size("samples").alias("n_samples"),
+        fv.sample_field(F.col("format"), F.element_at("samples", 1), "GT").alias("gt0"),
+    )
+
+
+@query("vcf_format", "select value from lines where value not like '#%'")
+def vcf_format(spark, d):
+    """Typed rows written back as VCF lines: the text round trip."""
+    return vcf.format_rows(_rows(spark, d))
+
+
+_META = r"'^##([A-Za-z_]+)=<(.*)>$'"
+
+
+@query("vcf_meta", f"""
+select regexp_extract(value, {_META}, 1) as kind,
+       nullif(regexp_extract(value, '[<,]ID=([^,>]+)', 1), '') as id,
+       nullif(regexp_extract(value, '[<,]Number=([^,>]+)', 1), '') as number,
+       nullif(regexp_extract(value, '[<,]Type=([^,>]+)', 1), '') as type,
+       nullif(regexp_extract(value, '[<,]Description="([^"]*)"', 1), '') as description,
+       try_cast(nullif(regexp_extract(value, '[<,]length=([0-9]+)', 1), '') as bigint) as length
+from lines where regexp_matches(value, {_META})""")
+def vcf_meta(spark, d):
+    """Structured header lines as a table (B2)."""
+    return vcf.meta(_header_body(spark, d)[0])
+
+
+def _multi(spark, d):
+    """Alleles of the same (chrom, pos, ref) gathered into one multi-allelic row."""
+    v = fx.variants(spark, d)
+    return v.groupBy("chrom", "pos", "ref").agg(F.array_sort(F.collect_set("alt")).alias("alt"))
+
+
+_ALLELES = """
+alleles as (
+  select chrom, pos, ref, cast(unnest(range(1, len(alts) + 1)) as int) as allele_num, unnest(alts) as alt
+  from (select chrom, pos, ref, list_sort(list_distinct(list(alt))) as alts from variants group by chrom, pos, ref))"""
+
+
+def _trim_sql(src: str, cols: str) -> str:
+    """Shared suffix then prefix trimmed, in SQL (same rule as functions.vcf.trim_common)."""
+    return f"""
+t1 as (select {cols}, least(length(ref), length(alt)) as m from {src}),
+t2 as (select *, coalesce(nullif(list_position(list_transform(range(1, m + 1),
+          lambda i: substr(ref, -i, 1) = substr(alt, -i, 1)), false), 0) - 1, m) as s from t1),
+t3 as (select *, substr(ref, 1, length(ref) - s) as r1, substr(alt, 1, length(alt) - s) as a1 from t2),
+t4 as (select *, least(length(r1), length(a1)) as m2 from t3),
+t5 as (select *, coalesce(nullif(list_position(list_transform(range(1, m2 + 1),
+          lambda i: substr(r1, i, 1) = substr(a1, i, 1)), false), 0) - 1, m2) as p from t4),
+trimmed as (select *, pos + p as min_pos,
+       case when length(r1) = p then '-' else substr(r1, p + 1) end as min_ref,
+       case when length(a1) = p then '-' else substr(a1, p + 1) end as min_alt from t5)"""
+
+
+@query("allele_explode", f"with {_ALLELES} select chrom, pos, ref, allele_num, alt from alleles")
+def allele_explode(spark, d):
+    """One row per alternative allele with its number."""
+    return vcf.explode_alleles(_multi(spark, d))
+
+
+@query("allele_minimal", f"""
+with {_ALLELES}, {_trim_sql('alleles', 'chrom, pos, ref, alt, allele_num')}
+select chrom, pos, ref, alt, allele_num, min_pos, min_ref, min_alt from trimmed""")
+def allele_minimal(spark, d):
+    """Minimal allele representation of every allele."""
+    return vcf.minimal(vcf.explode_alleles(_multi(spark, d)))
+
+
+@query("variant_class", f"""
+with {_trim_sql('variants', 'chrom, pos, ref, alt')}
+select chrom, pos, ref, alt,
+       case when alt like '<%' or alt = '*' then 'sequence_alteration'
+            when min_ref = '-' then 'insertion' when min_alt = '-' then 'deletion'
+            when length(min_ref) = 1 and length(min_alt) = 1 then 'SNV'
+            when length(min_ref) = length(min_alt) then 'substitution' else 'indel' end as variant_class
+from trimmed""")
+def variant_class(spark, d):
+    """SNV / insertion / deletion / substitution class per variant."""
+    return vcf.with_class(fx.variants(spark, d).select("chrom", "pos", "ref", "alt")).select(
+        "chrom", "pos", "ref", "alt", "variant_class")
+
+
+@query("sample_subset", f"""
+select v.chrom, v.pos, v.ref, v.alt, n.n_name as sample, {_GT.format(j='n.j')} as gt
+from variants v, (select n_name, n_regionkey, row_number() over (order by n_nationkey) - 1 as j from nation) n,
+     region r
+where n.n_regionkey = r.r_regionkey and r.r_name = 'ASIA'""")
+def sample_subset(spark, d):
+    """Wide genotype columns to long rows, kept to the samples of one region."""
+    head, body = _header_body(spark, d)
+    names = ln.sample_names(head, fx.LINE_ORDER)
+    asia = fx.table(spark, d, "nation").join(
+        fx.table(spark, d, "region").where(F.col("r_name") == "ASIA"), F.col("n_regionkey") == F.col("r_regionkey"),
+        "left_semi").select(F.col("n_name").alias("sample"))
+    rows = vcf.parse(body).withColumn("alt", F.array_join("alt", ","))
+    return vcf.samples_long(rows, names, keep=asia)
+
+
+# ---------------------------------------------------------------- annotation joins
+
+_V = "select chrom, pos, ref, alt, qual from variants"
+
+
+def _v(spark, d):
+    return fx.variants(spark, d).select("chrom", "pos", "ref", "alt", "qual")
+
+
+def _freq(spark, d, flag):
+    return fx.variants(spark, d).where(F.col("rf") == flag).select("chrom", "pos", "ref", "alt",
+                                                                  F.col("tax").alias("af"))
+
+
+@query("annotate_exact", f"""
+select v.chrom, v.pos, v.ref, v.alt, v.qual, coalesce(cast(k.af as varchar), '.') as af
+from ({_V}) v left join known k using (chrom, pos, ref, alt)""")
+def annotate_exact(spark, d):
+    """Exact (chrom, pos, ref, alt) lookup, '.' when missing."""
+    return an.annotate_exact(_v(spark, d), _freq(spark, d, "R"), ["af"])
+
+
+@query("annotate_existing", f"""
+select v.chrom, v.pos, v.ref, v.alt, v.qual, coalesce(e.existing, '.') as existing
+from ({_V}) v left join (select chrom, pos, string_agg(distinct id, ',' order by id) as existing
+                         from known group by chrom, pos) e using (chrom, pos)""")
+def annotate_existing(spark, d):
+    """Ids of known variants at the same position."""
+    return an.annotate_existing(_v(spark, d), fx.known(spark, d))
+
+
+@query("annotate_max_af", f"""
+select v.chrom, v.pos, v.ref, v.alt, v.qual, r.af as af_r, a.af as af_a, greatest(r.af, a.af) as max_af
+from ({_V}) v left join known r using (chrom, pos, ref, alt) left join known_a a using (chrom, pos, ref, alt)""")
+def annotate_max_af(spark, d):
+    """Two frequency sources and their maximum."""
+    return an.annotate_max_af(_v(spark, d), {"af_r": _freq(spark, d, "R"), "af_a": _freq(spark, d, "A")})
+
+
+@query("annotate_region", f"""
+select v.chrom, v.pos, v.ref, v.alt, v.qual, b.band
+from ({_V}) v left join bands b on v.chrom = b.chrom and v.pos between b."start" and b."end" """)
+def annotate_region(spark, d):
+    """Region (band) annotation by interval overlap."""
+    return an.annotate_overlap(_v(spark, d), fx.bands(spark, d), ["band"])
+
+
+@query("annotate_gene", f"""
+select v.chrom, v.pos, v.ref, v.alt, v.qual, g.gene, g.symbol, g.biotype
+from ({_V}) v left join genes g on v.chrom = g.chrom and v.pos between g."start" and g."end" """)
+def annotate_gene(spark, d):
+    """Gene symbol and biotype of overlapping genes."""
+    return an.annotate_overlap(_v(spark, d), fx.genes(spark, d), ["gene", "symbol", "biotype"])
+
+
+_DIST_SQL = f"""
+select v.chrom, v.pos, v.ref, v.alt, v.qual, g.gene,
+       case when v.pos < g."start" then 'upstream' when v.pos > g."end" then 'downstream' else 'within' end
+         as relation,
+       case when v.pos < g."start" then g."start" - v.pos when v.pos > g."end" then v.pos - g."end" else 0 end
+         as distance
+from ({_V}) v join genes g on v.chrom = g.chrom
+  and v.pos between greatest(g."start" - 5000, 0) and g."end" + 5000"""
+
+
+@query("annotate_distance", _DIST_SQL)
+def annotate_distance(spark, d):
+    """Genes within 5000 bases: upstream / within / downstream and distance."""
+    return an.annotate_distance(_v(spark, d), fx.genes(spark, d), distance=5000)
+
+
+@query("annotate_flank", f"""
+select v.chrom, v.pos, v.ref, v.alt, v.qual,
+       (select max(g."end") from genes g where g.chrom = v.chrom and g."end" < v.pos) as up_end,
+       (select min(g."start") from genes g where g.chrom = v.chrom and g."start" > v.pos) as down_start
+from ({_V}) v
+where not exists (select 1 from genes g where g.chrom = v.chrom and v.pos between g."start" and g."end")""")
+def annotate_flank(spark, d):
+    """Nearest gene on each side for variants outside every gene."""
+    return an.annotate_flank(_v(spark, d), fx.genes(spark, d))
+
+
+@query("pick_canonical", """
+select chrom, pos, ref, alt, qual, gene, transcript from (
+  select v.*, t.gene, t.transcript, row_number() over (
+      partition by v.chrom, v.pos, v.ref, v.alt, v.qual, v.rf, v.tax, v.dp, t.gene
+      order by t.canonical desc, t.transcript) as rn
+  from variants v join transcripts t on v.chrom = t.chrom and v.pos between t."start" and t."end")
+where rn = 1""")
+def pick_canonical(spark, d):
+    """One transcript per (variant, gene), canonical first then lowest id."""
+    hits = an.annotate_overlap(fx.variants(spark, d), fx.transcripts(spark, d), ["gene", "transcript", "canonical"],
+                               how="inner")
+    best = an.pick(hits, [*fx.VARIANT_ORDER, "gene"], [F.col("canonical").desc(), F.col("transcript")])
+    return best.select("chrom", "pos", "ref", "alt", "qual", "gene", "transcript")
+
+
+@query("pack_ann", f"""
+select chrom, pos, ref, alt,
+       string_agg(distinct concat_ws('|', cast(gene as varchar), relation, cast(distance as varchar)), ','
+                  order by concat_ws('|', cast(gene as varchar), relation, cast(distance as varchar))) as ANN
+from ({_DIST_SQL}) group by chrom, pos, ref, alt""")
+def pack_ann(spark, d):
+    """All gene annotations of a variant packed in one INFO field."""
+    hits = an.annotate_distance(_v(spark, d), fx.genes(spark, d), distance=5000)
+    return an.pack(hits, ["chrom", "pos", "ref", "alt"], ["gene", "relation", "distance"])
+
+
+@query("restrict_intervals", f"""
+select chrom, pos, ref, alt, qual from ({_V}) v
+where exists (select 1 from bands b where b.chrom = v.chrom and v.pos between b."start" and b."end")""")
+def restrict_intervals(spark, d):
+    """Variants inside an interval list."""
+    return an.restrict(_v(spark, d), fx.bands(spark, d))
+
+
+@query("prioritise_topk", """
+select gene, rank, chrom, pos, ref, alt, qual from (
+  select g.gene, v.chrom, v.pos, v.ref, v.alt, v.qual,
+         row_number() over (partition by g.gene order by v.qual desc, v.pos, v.ref, v.alt) as rank
+  from variants v join genes g on v.chrom = g.chrom and v.pos between g."start" and g."end")
+where rank <= 3""")
+def prioritise_topk(spark, d):
+    """Top 3 variants per gene by quality."""
+    hits = an.annotate_overlap(_v(spark, d), fx.genes(spark, d), ["gene"], how="inner")
+    top = an.pick(hits, ["gene"], [F.col("qual").desc(), "pos", "ref", "alt"], k=3, rank="rank")
+    return top.select("gene", F.col("rank").cast("bigint").alias("rank"), "chrom", "pos", "ref", "alt", "qual")

@@ -19,9 +19,17 @@ from ..operators import external as ex
 from ..operators import index as ix
 from ..operators import lines as ln
 from ..operators import merge as mg
+from ..session import scratch_path
 from ..sources import sinks, text
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back (cuts lineage)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 @dataclass(frozen=True)
 class Job:
     tool: str
@@ -77,7 +85,8 @@ def outputs(lines: DataFrame, order, cmd, partitions: int | None = None) -> Data
     """One process per partition writing several files, merged by kind under an
     extended header: ``suffix, kind, line_no, value``."""
     head, body = ln.split_header_body(lines)
-    parts = ex.pipe_multi_output(body, cmd, order=order, partitions=partitions)
+    # the tool's files, kept once as a table in the shared folder (several merges read them)
+    parts = materialize(ex.pipe_multi_output(body, cmd, order=order, partitions=partitions), "tool_outputs")
     decls = mg.info_declarations(mg.annotation_columns(mg.table_header(parts)))
     header = mg.patch_header(head, order, decls, ["decl_idx"])
     return mg.merge_routed(parts, header, ["line_no"])

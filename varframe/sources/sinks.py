@@ -82,7 +82,7 @@ def concat_parts(spark, path: str) -> str:
     if len(statuses) <= 1:
         return path
     target = statuses[0].getPath()
-    rest = jvm.java.lang.reflect.Array.newInstance(jvm.org.apache.hadoop.fs.Path, len(statuses) - 1)
+    rest = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(statuses) - 1)
     for i, s in enumerate(statuses[1:]):
         rest[i] = s.getPath()
     try:

@@ -20,11 +20,14 @@ def scan_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     ``LINE_KEY`` gives the lines in file order, files in path order.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    return spark.read.text(paths).select(
+    df = spark.read.text(paths)
+    extra = [c for c in df.columns if c != "value"]  # partition columns of a partitioned folder
+    return df.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
         "value",
+        *extra,
     )
 
 
