@@ -87,6 +87,40 @@ def dense_index(
     return out.drop("_pid", "_local", "_off")
 
 
+def split_index(
+    df: DataFrame,
+    name: str = "idx",
+    split: Sequence[str] = ("file", "block"),
+    group: Sequence[str] | None = None,
+) -> DataFrame:
+    """Dense index in file order for scanned lines, without a shuffle.
+
+    ``df`` must still be in its scan partitions (only narrow operations, e.g.
+    filters, since ``scan_lines``): every file split is then a contiguous run of
+    a partition, so ``monotonically_increasing_id()`` taken here counts the
+    surviving rows of a split consecutively. One small aggregate gives rows and
+    first id per split; a running sum over the splits (one row per split, a
+    bounded table) gives each split's offset, broadcast back. A recomputed task
+    scans the same split the same way, so ids and offsets agree.
+    """
+    group = list(group or [])
+    split = list(split)
+    m = df.withColumn("_m", F.monotonically_increasing_id())
+    counts = m.groupBy(*group, *split).agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_first"))
+    w = Window.partitionBy(*group).orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*group, *split, (F.coalesce(F.sum("_n").over(w), F.lit(0)) - F.col("_first")).alias("_off"))
+    out = m.join(F.broadcast(offsets), [*group, *split]).withColumn(name, F.col("_off") + F.col("_m"))
+    return out.drop("_m", "_off")
+
+
+def index_rows(df: DataFrame, order: Sequence[str | Column], name: str = "idx") -> DataFrame:
+    """``split_index`` for frames still in their scan partitions (they carry ``block``),
+    ``dense_index`` on ``order`` otherwise."""
+    if "block" in df.columns and "file" in df.columns:
+        return split_index(df, name)
+    return dense_index(df, order, name)
+
+
 def batch(df: DataFrame, size: int, idx: str = "idx") -> DataFrame:
     """Fixed-size batches in index order, the last one short, ids from 0."""
     if size <= 0:

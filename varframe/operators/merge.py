@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .index import dense_index
+from .index import dense_index, index_rows
 from .lines import drop_header_lines
 
 # Coordinate columns of a tool's table output, and the INFO lines
@@ -89,7 +89,7 @@ def patch_header(header: DataFrame, order: list[str], inserted: DataFrame, inser
 
     Sections: 0 = ``##`` meta lines, 1 = inserted rows, 2 = the column line.
     """
-    h = dense_index(header, order, name="_k").select(
+    h = index_rows(header, order, name="_k").select(
         F.when(F.col("value").startswith("##"), F.lit(0)).otherwise(F.lit(2)).alias("_section"), "_k", "value"
     )
     ins = dense_index(inserted, inserted_order, name="_k").select(F.lit(1).alias("_section"), "_k", "value")

@@ -40,8 +40,12 @@ def query(name: str, oracle: str | None = None):
     return deco
 
 
+ORDER = ["line_no"]
+
+
 def _header_body(spark, d):
-    return ln.split_header_body(fx.lines(spark, d))
+    """Header and body lines of the VCF file (one scan, two filters; file order in ``line_no``)."""
+    return ln.split_header_body(fx.vcf_lines(spark, d))
 
 
 # ---------------------------------------------------------------- scans, splits
@@ -52,10 +56,10 @@ def scan_lines(spark, d):
     """Write the VCF as two files (header, body), scan both paths, index lines in file order (A1, A2)."""
     head, body = _header_body(spark, d)
     root = scratch_path(spark, "scan_lines")
-    p0 = sinks.write_lines(head, f"{root}/0_header", fx.LINE_ORDER)
-    p1 = sinks.write_lines(body, f"{root}/1_body", fx.LINE_ORDER)
+    p0 = sinks.write_lines(head, f"{root}/0_header", ORDER)
+    p1 = sinks.write_lines(body, f"{root}/1_body", ORDER)
     scanned = text.scan_lines(spark, [p0, p1])
-    return ix.dense_index(scanned, text.LINE_KEY, name="line_no").select("line_no", "value")
+    return ix.split_index(scanned, name="line_no").select("line_no", "value")
 
 
 @query("interval_scan", """
@@ -87,7 +91,7 @@ select cast(row_number() over (order by n_nationkey) - 1 as int) as sample_idx,
 def sample_list(spark, d):
     """Sample names from the last header line."""
     head, _ = _header_body(spark, d)
-    return ln.sample_names(head, fx.LINE_ORDER)
+    return ln.sample_names(head, ORDER)
 
 
 @query("count_variants", """
@@ -101,7 +105,7 @@ select line_no, value from ranked_lines""")
 def union_header_body(spark, d):
     """Header then body in order, with a dense line number."""
     head, body = _header_body(spark, d)
-    return ln.union_sections(head, body, fx.LINE_ORDER)
+    return ln.union_sections(head, body, ORDER)
 
 
 # ---------------------------------------------------------------- batching
@@ -192,10 +196,10 @@ def batch_with_header(spark, d):
 
 
 def _with_header(head, body, size):
-    b = ix.batch(ix.dense_index(body, fx.LINE_ORDER), size)
+    b = ix.batch(ix.index_rows(body, ORDER), size)
     n_head = head.count()
     n_batches = ix.count_batches(body, size)
-    h = ln.header_for_batches(head, fx.LINE_ORDER, n_batches)
+    h = ln.header_for_batches(head, ORDER, n_batches)
     return h.unionByName(
         b.select("batch_id", (F.col("pos_in_batch") + F.lit(n_head)).cast("bigint").alias("line_in_batch"), "value"))
 
@@ -273,7 +277,7 @@ def info_decls(spark, d):
 def _patched_header(spark, d):
     head, _ = _header_body(spark, d)
     decls = mg.info_declarations(mg.annotation_columns(mg.table_header(_parts(spark, d))))
-    return mg.patch_header(head, fx.LINE_ORDER, decls, ["decl_idx"])
+    return mg.patch_header(head, ORDER, decls, ["decl_idx"])
 
 
 @query("header_patch", f"with {_ANN_COLS}, {_DECLS}, {_PATCHED} select line_no, value from patched")
@@ -355,7 +359,7 @@ select line_no, case when value like '#%' then value else upper(value) end as va
 def pipe_drop_header(spark, d):
     """Body lines through a process per partition; '#' lines it prints are dropped."""
     _, body = _header_body(spark, d)
-    out = ex.pipe_partitions(body, UPPER_WITH_HEADER, order=fx.LINE_ORDER)
+    out = ex.pipe_partitions(body, UPPER_WITH_HEADER, order=ORDER)
     return ln.drop_header_lines(out).select("value")
 
 
@@ -363,7 +367,7 @@ def pipe_drop_header(spark, d):
 def pipe_partitions(spark, d):
     """Output of one process per range partition keeps the input order."""
     _, body = _header_body(spark, d)
-    out = ex.pipe_partitions(body, UPPER, order=fx.LINE_ORDER)
+    out = ex.pipe_partitions(body, UPPER, order=ORDER)
     return ix.dense_index(out, ["part", "line_no"], name="line_no_out").select(
         F.col("line_no_out").alias("line_no"), "value")
 
@@ -387,7 +391,7 @@ union all select 'avinput', concat(split_part(value, chr(9), 1), chr(9), split_p
 def pipe_multi_output(spark, d):
     """One process per partition writing three files; the files come back as rows."""
     _, body = _header_body(spark, d)
-    out = ex.pipe_multi_output(body, MULTI_OUTPUT, order=fx.LINE_ORDER, partitions=8)
+    out = ex.pipe_multi_output(body, MULTI_OUTPUT, order=ORDER, partitions=8)
     return out.select("suffix", "value")
 
 
@@ -403,13 +407,13 @@ def pipe_batches(spark, d):
 @query("job_line_batches", _JOB_LINES)
 def job_line_batches(spark, d):
     """Batches of 20000 lines each with the header, one process per batch, merged in order."""
-    return jobs.line_batches(fx.lines(spark, d), fx.LINE_ORDER, UPPER_WITH_HEADER, 20000)
+    return jobs.line_batches(fx.vcf_lines(spark, d), ORDER, UPPER_WITH_HEADER, 20000)
 
 
 @query("job_stream", _JOB_LINES)
 def job_stream(spark, d):
     """Headerless lines through one process per partition, header put back."""
-    return jobs.stream(fx.lines(spark, d), fx.LINE_ORDER, UPPER_WITH_HEADER)
+    return jobs.stream(fx.vcf_lines(spark, d), ORDER, UPPER_WITH_HEADER)
 
 
 _JOB_OUTPUTS_SQL = """
@@ -428,7 +432,7 @@ union all select 'avinput', 'plain', rn, concat(split_part(value, chr(9), 1), ch
 @query("job_outputs", _JOB_OUTPUTS_SQL.format(decls=_DECLS.strip(), patched=_PATCHED.strip(), body=_BODY_RANKED))
 def job_outputs(spark, d):
     """One process per partition with three outputs, merged by kind under an extended header."""
-    return jobs.outputs(fx.lines(spark, d), fx.LINE_ORDER, MULTI_OUTPUT)
+    return jobs.outputs(fx.vcf_lines(spark, d), ORDER, MULTI_OUTPUT)
 
 
 @query("job_sample_batches", """
@@ -436,7 +440,7 @@ select cast(rn // 10 as bigint) as batch_id, cast(rn % 10 as bigint) as line_no,
 from (select *, row_number() over (order by n_nationkey) - 1 as rn from nation)""")
 def job_sample_batches(spark, d):
     """The file's samples in batches of 10, one process per batch."""
-    return jobs.sample_batches(fx.lines(spark, d), fx.LINE_ORDER, UPPER, 10)
+    return jobs.sample_batches(fx.vcf_lines(spark, d), ORDER, UPPER, 10)
 
 
 @query("job_interval_batches", """
@@ -450,15 +454,15 @@ def job_interval_batches(spark, d):
         g.select("gene", F.concat_ws("", "chrom", F.lit(":"), F.col("start").cast("string"), F.lit("-"),
                                      F.col("end").cast("string")).alias("value")),
         scratch_path(spark, "intervals"), ["gene"])
-    return jobs.interval_batches(text.read_intervals(spark, p), text.LINE_KEY, UPPER, 3)
+    return jobs.interval_batches(text.read_intervals(spark, p), ORDER, UPPER, 3)
 
 
 # ---------------------------------------------------------------- sinks (written, then read back)
 
 def _write_read(spark, d, compression=None):
-    lines = fx.lines(spark, d)
-    p = sinks.write_lines(lines, scratch_path(spark, "single"), fx.LINE_ORDER, compression=compression, single=True)
-    return ix.dense_index(text.scan_lines(spark, p), text.LINE_KEY, name="line_no").select("line_no", "value")
+    lines = fx.vcf_lines(spark, d)
+    p = sinks.write_lines(lines, scratch_path(spark, "single"), ORDER, compression=compression, single=True)
+    return ix.split_index(text.scan_lines(spark, p), name="line_no").select("line_no", "value")
 
 
 @query("write_single", "select line_no, value from ranked_lines")
@@ -478,10 +482,10 @@ select cast(rn // 20000 as bigint) as batch_id, cast(rn % 20000 as bigint) as li
 def write_batches(spark, d):
     """One file per batch of 20000 body lines, read back per batch."""
     _, body = _header_body(spark, d)
-    b = ix.batch(ix.dense_index(body, fx.LINE_ORDER), 20000)
+    b = ix.batch(ix.index_rows(body, ORDER), 20000)
     p = sinks.write_batches(b, scratch_path(spark, "batches"), ["pos_in_batch"])
     back = text.scan_lines(spark, p).withColumn("batch_id", F.col("batch_id").cast("bigint"))
-    return ix.dense_index(back, text.LINE_KEY, name="line_no", group=["batch_id"]).select(
+    return ix.split_index(back, name="line_no", group=["batch_id"]).select(
         "batch_id", "line_no", "value")
 
 
@@ -641,7 +645,7 @@ where n.n_regionkey = r.r_regionkey and r.r_name = 'ASIA'""")
 def sample_subset(spark, d):
     """Wide genotype columns to long rows, kept to the samples of one region."""
     head, body = _header_body(spark, d)
-    names = ln.sample_names(head, fx.LINE_ORDER)
+    names = ln.sample_names(head, ORDER)
     asia = fx.table(spark, d, "nation").join(
         fx.table(spark, d, "region").where(F.col("r_name") == "ASIA"), F.col("n_regionkey") == F.col("r_regionkey"),
         "left_semi").select(F.col("n_name").alias("sample"))

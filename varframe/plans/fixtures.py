@@ -176,6 +176,30 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LINE_ORDER = ["section", "seq", "value"]
 
+_VCF_FILES: dict[tuple[str, str], str] = {}
+
+
+def vcf_path(spark: SparkSession, sf_dir: str) -> str:
+    """``lines`` written once per session as a VCF text file (ordered parts) in the shared folder.
+
+    This is the input the line jobs read, as a real VCF file would be.
+    """
+    from ..session import scratch_path
+    from ..sources.sinks import write_lines
+
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _VCF_FILES:
+        _VCF_FILES[key] = write_lines(lines(spark, sf_dir), scratch_path(spark, "vcf"), LINE_ORDER)
+    return _VCF_FILES[key]
+
+
+def vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The VCF file scanned: ``file, block, seq, value`` plus ``line_no`` in file order."""
+    from ..operators.index import split_index
+    from ..sources.text import scan_lines
+
+    return split_index(scan_lines(spark, vcf_path(spark, sf_dir)), name="line_no")
+
 
 def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tool output parts (part, suffix, line_no, value) from orders; table kinds carry a header row."""

@@ -54,7 +54,7 @@ PROFILES = {
 def _ordered_output(head: DataFrame, head_order, out: DataFrame, out_order) -> DataFrame:
     """Input header, then the tool's non-header output in its order: ``line_no, value``."""
     body = ln.drop_header_lines(out)
-    h = ix.dense_index(head, head_order, name="_a").select(
+    h = ix.index_rows(head, head_order, name="_a").select(
         F.lit(0).alias("_s"), "_a", F.lit(0).cast("bigint").alias("_b"), "value")
     b = body.select(F.lit(1).alias("_s"), F.col(out_order[0]).cast("bigint").alias("_a"),
                     F.col(out_order[1]).cast("bigint").alias("_b"), "value")
@@ -64,7 +64,7 @@ def _ordered_output(head: DataFrame, head_order, out: DataFrame, out_order) -> D
 def line_batches(lines: DataFrame, order, cmd, batch_size: int = 20000) -> DataFrame:
     """Batches of ``batch_size`` body lines, each with the header, one process per batch."""
     head, body = ln.split_header_body(lines)
-    b = ix.batch(ix.dense_index(body, order), batch_size)
+    b = ix.batch(ix.index_rows(body, order), batch_size)
     n_head = head.count()
     n_batches = ix.count_batches(body, batch_size)
     h = ln.header_for_batches(head, order, n_batches)
@@ -102,7 +102,7 @@ def sample_batches(lines: DataFrame, order, cmd, batch_size: int = 10) -> DataFr
 
 def interval_batches(intervals: DataFrame, order, cmd, batch_size: int = 3) -> DataFrame:
     """Interval-list lines in batches, one process per batch."""
-    b = ix.batch(ix.dense_index(intervals, order), batch_size)
+    b = ix.batch(ix.index_rows(intervals, order), batch_size)
     return ex.pipe_batches(b.select("batch_id", "pos_in_batch", "value"), cmd)
 
 
@@ -115,15 +115,15 @@ def run(spark: SparkSession, job: Job) -> DataFrame:
     if prof["mode"] == "interval_batches":
         iv = text.read_intervals(spark, job.input)
         return interval_batches(iv, text.LINE_KEY, job.tool_cmd, size)
-    lines = text.scan_lines(spark, job.input)
+    lines = ix.split_index(text.scan_lines(spark, job.input), name="line_no")
     mode = prof["mode"]
     if mode == "line_batches":
-        return line_batches(lines, text.LINE_KEY, job.tool_cmd, size)
+        return line_batches(lines, ["line_no"], job.tool_cmd, size)
     if mode == "stream":
-        return stream(lines, text.LINE_KEY, job.tool_cmd, job.partitions)
+        return stream(lines, ["line_no"], job.tool_cmd, job.partitions)
     if mode == "outputs":
-        return outputs(lines, text.LINE_KEY, job.tool_cmd, job.partitions)
-    return sample_batches(lines, text.LINE_KEY, job.tool_cmd, size)
+        return outputs(lines, ["line_no"], job.tool_cmd, job.partitions)
+    return sample_batches(lines, ["line_no"], job.tool_cmd, size)
 
 
 def write(result: DataFrame, path: str, single: bool = True) -> None:
