@@ -191,3 +191,19 @@ def test_pick_and_pack(spark):
     assert sorted((r.gene, r.rank, r.v) for r in top) == [("g", 1, 2), ("g", 2, 3), ("h", 1, 4)]
     packed = an.pack(df, ["gene"], ["v", "q"]).orderBy("gene").collect()
     assert packed[0].ANN == "1|5.0,2|9.0,3|7.0"
+
+
+def test_stream_job(spark, tmp_path):
+    from varframe.streaming.pipe_stream import annotate_stream
+
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.vcf").write_text("\n".join(VCF) + "\n")
+    q = annotate_stream(spark, str(src), str(tmp_path / "out"), ["tr", "a-z", "A-Z"],
+                        checkpoint=str(tmp_path / "ckpt"))
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = sorted(r.value for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == sorted(v.upper() for v in VCF[6:])
