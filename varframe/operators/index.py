@@ -58,11 +58,15 @@ def dense_index(
     name: str = "idx",
     group: Sequence[str] | None = None,
     partitions: int | None = None,
+    few_groups: bool = False,
 ) -> DataFrame:
     """Add ``name``: the 0-based rank of each row in ``order`` (per ``group`` if given).
 
     ``order`` must be total (ties only between identical rows) for a repeatable
     result; with ``group`` the group columns are put in front of the order.
+    ``few_groups`` says the group count is bounded by the caller (e.g. the kinds
+    of output of one tool), so the offsets table - one row per partition and
+    group - is broadcast without first counting it.
     """
     group = list(group or [])
     full = _cols(group) + _cols(order)
@@ -78,8 +82,8 @@ def dense_index(
     w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         "_pid", *group, (F.coalesce(F.sum("_n").over(w), F.lit(0)) - F.col("_first")).alias("_off"))
-    if not group:
-        # one row per partition: the size bound is the partition count itself
+    if not group or few_groups:
+        # one row per partition (and group): bounded by partitions (+ groups)
         offsets = F.broadcast(offsets)
     elif offsets.limit(OFFSETS_BROADCAST_ROWS + 1).count() <= OFFSETS_BROADCAST_ROWS:
         offsets = F.broadcast(offsets)

@@ -96,47 +96,64 @@ def patch_header(header: DataFrame, order: list[str], inserted: DataFrame, inser
     return dense_index(h.unionByName(ins), ["_section", "_k"], name="line_no").select("line_no", "value")
 
 
-def merge_tables(parts: DataFrame) -> DataFrame:
-    """Table parts (txt/csv) per suffix: the first present part keeps its header row
-    (line 0), later parts lose it (A32, D16). ``suffix, line_no, value``."""
+def _table_rows(parts: DataFrame) -> DataFrame:
+    """Table parts without the first line of every part but the first present one."""
     # one row per suffix: bounded by the kinds of output a tool writes
     first = F.broadcast(parts.groupBy("suffix").agg(F.min("part").alias("_first")))
     kept = parts.join(first, "suffix").where((F.col("part") == F.col("_first")) | (F.col("line_no") != 0))
-    return dense_index(kept, ["part", "line_no"], name="line_no_out", group=["suffix"]).select(
-        "suffix", F.col("line_no_out").alias("line_no"), "value"
-    )
+    return kept.drop("_first")
 
 
-def merge_plain(parts: DataFrame) -> DataFrame:
-    """Parts concatenated per suffix in part order, no header work."""
-    return dense_index(parts, ["part", "line_no"], name="line_no_out", group=["suffix"]).select(
-        "suffix", F.col("line_no_out").alias("line_no"), "value"
-    )
+def _keyed(df: DataFrame, section: int) -> DataFrame:
+    return df.select("suffix", F.lit(section).alias("_s"), F.col("part").cast("bigint").alias("_a"),
+                     F.col("line_no").alias("_b"), "value")
 
 
-def merge_vcf(parts: DataFrame, header: DataFrame, header_order: list[str]) -> DataFrame:
-    """VCF parts under one header (A34): header rows first, then every part's
-    non-``#`` lines (D10) in part order. ``suffix, line_no, value``."""
-    body = drop_header_lines(parts).select("suffix", F.lit(1).alias("_s"), F.col("part").cast("bigint").alias("_a"),
-                                           F.col("line_no").alias("_b"), "value")
-    # the few output kinds of one tool; the header is repeated once per VCF suffix
+def _vcf_rows(parts: DataFrame, header: DataFrame, header_order: list[str]) -> DataFrame:
+    """VCF parts stripped of ``#`` lines (D10) behind the header, repeated once per VCF suffix."""
+    body = _keyed(drop_header_lines(parts), 1)
+    # the few output kinds of one tool
     suffixes = [r["suffix"] for r in parts.select("suffix").distinct().collect()]
     if not suffixes:
-        return body.select("suffix", F.col("_b").alias("line_no"), "value").limit(0)
-    h = dense_index(header, header_order, name="_b").select(
+        return body
+    h = index_rows(header, header_order, name="_b").select(
         F.explode(F.array(*[F.lit(x) for x in suffixes])).alias("suffix"),
         F.lit(0).alias("_s"), F.lit(0).cast("bigint").alias("_a"), "_b", "value",
     )
-    both = h.unionByName(body)
-    return dense_index(both, ["_s", "_a", "_b"], name="line_no", group=["suffix"]).select("suffix", "line_no", "value")
+    return h.unionByName(body)
+
+
+def _number(rows: DataFrame) -> DataFrame:
+    return dense_index(rows, ["_s", "_a", "_b"], name="line_no", group=["suffix"], few_groups=True)
+
+
+def merge_tables(parts: DataFrame) -> DataFrame:
+    """Table parts (txt/csv) per suffix, one header row: ``suffix, line_no, value``."""
+    return _number(_keyed(_table_rows(parts), 1)).select("suffix", "line_no", "value")
+
+
+def merge_plain(parts: DataFrame) -> DataFrame:
+    """Parts concatenated per suffix in part order, no header work."""
+    return _number(_keyed(parts, 1)).select("suffix", "line_no", "value")
+
+
+def merge_vcf(parts: DataFrame, header: DataFrame, header_order: list[str]) -> DataFrame:
+    """VCF parts under one header (A34): header rows first, then every part's
+    non-``#`` lines in part order. ``suffix, line_no, value``."""
+    return _number(_vcf_rows(parts, header, header_order)).select("suffix", "line_no", "value")
 
 
 def merge_routed(parts: DataFrame, header: DataFrame, header_order: list[str]) -> DataFrame:
-    """Route every suffix to its merge by kind (A36) and union the results:
-    ``suffix, kind, line_no, value``."""
+    """Route every suffix to its merge by kind (A36): ``suffix, kind, line_no, value``.
+
+    The three kinds are prepared separately and numbered in one pass (one range
+    shuffle for all output files).
+    """
     k = parts.withColumn("kind", kind_of())
-    out = merge_tables(k.where(F.col("kind") == "table").drop("kind")).withColumn("kind", F.lit("table"))
-    out = out.unionByName(merge_vcf(k.where(F.col("kind") == "vcf").drop("kind"), header, header_order)
-                          .withColumn("kind", F.lit("vcf")))
-    out = out.unionByName(merge_plain(k.where(F.col("kind") == "plain").drop("kind")).withColumn("kind", F.lit("plain")))
-    return out.select("suffix", "kind", "line_no", "value")
+    pick = lambda kind: k.where(F.col("kind") == kind).drop("kind")
+    rows = (
+        _keyed(_table_rows(pick("table")), 1)
+        .unionByName(_vcf_rows(pick("vcf"), header, header_order))
+        .unionByName(_keyed(pick("plain"), 1))
+    )
+    return _number(rows).withColumn("kind", kind_of()).select("suffix", "kind", "line_no", "value")
