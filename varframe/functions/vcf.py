@@ -52,14 +52,19 @@ def sample_text(fmt_keys: Column, m: Column) -> Column:
 
 
 def _common_run(a: Column, b: Column, from_end: bool) -> Column:
-    """Length of the run of equal characters at the start (or end) of ``a`` and ``b``."""
+    """Length of the run of equal characters at the start (or end) of ``a`` and ``b``.
+
+    Alleles of one base (most variants) are answered by one comparison; the
+    character-array walk runs only when both alleles are longer.
+    """
     m = F.least(F.length(a), F.length(b))
     idx = (lambda i: -i) if from_end else (lambda i: i)
-    same = F.transform(F.sequence(F.lit(1), F.greatest(m, F.lit(1))),
+    same = F.transform(F.sequence(F.lit(1), F.greatest(m, F.lit(2))),
                        lambda i: F.substring(a, idx(i), 1) == F.substring(b, idx(i), 1))
     first_diff = F.array_position(same, False)
-    run = F.when(first_diff == 0, m).otherwise(first_diff - 1)
-    return F.when(m == 0, F.lit(0)).otherwise(F.least(run, m)).cast("int")
+    run = F.least(F.when(first_diff == 0, m).otherwise(first_diff - 1), m)
+    one = F.when(F.substring(a, idx(F.lit(1)), 1) == F.substring(b, idx(F.lit(1)), 1), F.lit(1)).otherwise(F.lit(0))
+    return F.when(m == 0, F.lit(0)).when(m == 1, one).otherwise(run).cast("int")
 
 
 def trim_common(df, ref: str = "ref", alt: str = "alt", pos: str = "pos"):
