@@ -207,3 +207,19 @@ def test_stream_job(spark, tmp_path):
         q.stop()
     got = sorted(r.value for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert got == sorted(v.upper() for v in VCF[6:])
+
+
+def test_job_run_and_write(spark, tmp_path):
+    from varframe.plans import jobs
+    from varframe.sources.text import scan_lines
+
+    src = tmp_path / "in.vcf"
+    src.write_text("\n".join(VCF) + "\n")
+    out = str(tmp_path / "out")
+    for tool in ("snpeff", "vep"):
+        job = jobs.Job(tool, ("sh", "-c", "echo '#x'; tr a-z A-Z"), str(src), out + tool, batch_size=4)
+        jobs.write(jobs.run(spark, job), job.output)
+        got = [r.value for r in ix.split_index(scan_lines(spark, job.output)).orderBy("idx").collect()]
+        assert got == VCF[:6] + [v.upper() for v in VCF[6:]]
+    with pytest.raises(ValueError):
+        jobs.run(spark, jobs.Job("nope", ("cat",), str(src)))

@@ -51,17 +51,27 @@ PROFILES = {
 }
 
 
-def _ordered_output(head: DataFrame, head_order, out: DataFrame, out_order) -> DataFrame:
-    """Input header, then the tool's non-header output in its order: ``line_no, value``."""
+OUTPUT_ORDER = ["_s", "_a", "_b"]
+
+
+def _ordered_output(head: DataFrame, head_order, out: DataFrame, out_order, numbered: bool = True) -> DataFrame:
+    """Input header, then the tool's non-header output in its order.
+
+    ``numbered`` gives ``line_no, value`` (one more range shuffle); without it the
+    frame keeps the order key ``_s, _a, _b`` for the sink, which sorts on it anyway.
+    """
     body = ln.drop_header_lines(out)
     h = ix.index_rows(head, head_order, name="_a").select(
         F.lit(0).alias("_s"), "_a", F.lit(0).cast("bigint").alias("_b"), "value")
     b = body.select(F.lit(1).alias("_s"), F.col(out_order[0]).cast("bigint").alias("_a"),
                     F.col(out_order[1]).cast("bigint").alias("_b"), "value")
-    return ix.dense_index(h.unionByName(b), ["_s", "_a", "_b"], name="line_no").select("line_no", "value")
+    both = h.unionByName(b)
+    if not numbered:
+        return both
+    return ix.dense_index(both, OUTPUT_ORDER, name="line_no").select("line_no", "value")
 
 
-def line_batches(lines: DataFrame, order, cmd, batch_size: int = 20000) -> DataFrame:
+def line_batches(lines: DataFrame, order, cmd, batch_size: int = 20000, numbered: bool = True) -> DataFrame:
     """Batches of ``batch_size`` body lines, each with the header, one process per batch."""
     head, body = ln.split_header_body(lines)
     b = ix.batch(ix.index_rows(body, order), batch_size)
@@ -71,14 +81,14 @@ def line_batches(lines: DataFrame, order, cmd, batch_size: int = 20000) -> DataF
     fed = h.select("batch_id", F.col("line_in_batch").cast("int").alias("pos_in_batch"), "value").unionByName(
         b.select("batch_id", (F.col("pos_in_batch") + F.lit(n_head)).cast("int").alias("pos_in_batch"), "value"))
     out = ex.pipe_batches(fed, cmd)
-    return _ordered_output(head, order, out, ["batch_id", "line_no"])
+    return _ordered_output(head, order, out, ["batch_id", "line_no"], numbered)
 
 
-def stream(lines: DataFrame, order, cmd, partitions: int | None = None) -> DataFrame:
+def stream(lines: DataFrame, order, cmd, partitions: int | None = None, numbered: bool = True) -> DataFrame:
     """Headerless body lines through one process per range partition, order kept."""
     head, body = ln.split_header_body(lines)
     out = ex.pipe_partitions(body, cmd, order=order, partitions=partitions)
-    return _ordered_output(head, order, out, ["part", "line_no"])
+    return _ordered_output(head, order, out, ["part", "line_no"], numbered)
 
 
 def outputs(lines: DataFrame, order, cmd, partitions: int | None = None) -> DataFrame:
@@ -118,9 +128,9 @@ def run(spark: SparkSession, job: Job) -> DataFrame:
     lines = ix.split_index(text.scan_lines(spark, job.input), name="line_no")
     mode = prof["mode"]
     if mode == "line_batches":
-        return line_batches(lines, ["line_no"], job.tool_cmd, size)
+        return line_batches(lines, ["line_no"], job.tool_cmd, size, numbered=False)
     if mode == "stream":
-        return stream(lines, ["line_no"], job.tool_cmd, job.partitions)
+        return stream(lines, ["line_no"], job.tool_cmd, job.partitions, numbered=False)
     if mode == "outputs":
         return outputs(lines, ["line_no"], job.tool_cmd, job.partitions)
     return sample_batches(lines, ["line_no"], job.tool_cmd, size)
@@ -132,6 +142,8 @@ def write(result: DataFrame, path: str, single: bool = True) -> None:
         sinks.write_by_key(result, path, "suffix", ["line_no"])
     elif "batch_id" in result.columns:
         sinks.write_batches(result, path, ["line_no"])
+    elif "_s" in result.columns:
+        sinks.write_lines(result, path, OUTPUT_ORDER, single=single)
     else:
         sinks.write_lines(result, path, ["line_no"], single=single)
 
