@@ -79,24 +79,40 @@ def annotate_distance(rows: DataFrame, genes: DataFrame, cols: Sequence[str] = (
     )
 
 
-def _nearest_below(points: DataFrame, keys: DataFrame, bin_size: int) -> DataFrame:
-    """For distinct ``(chrom, pos)`` points: the largest ``key`` on the chromosome strictly below ``pos``.
-
-    Two bounded windows instead of one per chromosome: inside a ``(chrom, bin)``
-    (at most 2 x bin width distinct rows) and over the per-bin maxima of one
-    chromosome (one row per occupied bin, bounded by chromosome length / bin).
+def _flanks(points: DataFrame, genes: DataFrame, bin_size: int) -> DataFrame:
+    """For distinct ``(chrom, pos)``: the largest gene end < pos and the smallest gene start > pos.
+
+    Positions, gene ends and gene starts are one event table. Two windows over
+    ``(chrom, bin)`` (at most 3 x bin width distinct rows each; one exchange,
+    two sorts) answer inside a bin; the per-bin maxima / minima of one
+    chromosome (one row per occupied bin, bounded by chromosome length / bin)
+    carry the answer across bins with a forward and a backward running window.
     """
     b = lambda c: F.expr(f"{c} div {bin_size}")
-    ev = points.select("chrom", F.col("pos").alias("key"), F.lit(0).alias("kind")).unionByName(
-        keys.select("chrom", "key", F.lit(1).alias("kind"))
-    ).withColumn("_bin", b("key"))
-    w_in = Window.partitionBy("chrom", "_bin").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, -1)
-    local = ev.withColumn("_in", F.max(F.when(F.col("kind") == 1, F.col("key"))).over(w_in)).where(F.col("kind") == 0)
-    bins = ev.groupBy("chrom", "_bin").agg(F.max(F.when(F.col("kind") == 1, F.col("key"))).alias("_bmax"))
-    w_bins = Window.partitionBy("chrom").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    carry = bins.withColumn("_carry", F.max("_bmax").over(w_bins)).select("chrom", "_bin", "_carry")
+    ev = (
+        points.select("chrom", F.col("pos").alias("key"), F.lit(0).alias("kind"))
+        .unionByName(genes.select("chrom", F.col("end").alias("key"), F.lit(1).alias("kind")).distinct())
+        .unionByName(genes.select("chrom", F.col("start").alias("key"), F.lit(2).alias("kind")).distinct())
+        .withColumn("_bin", b("key"))
+    )
+    end_v = F.when(F.col("kind") == 1, F.col("key"))
+    start_v = F.when(F.col("kind") == 2, F.col("key"))
+    # a gene end equal to pos overlaps, as does a start equal to pos: points sort before them
+    w_up = Window.partitionBy("chrom", "_bin").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    w_down = Window.partitionBy("chrom", "_bin").orderBy(F.col("key").desc(), "kind").rowsBetween(
+        Window.unboundedPreceding, -1)
+    local = (
+        ev.withColumn("_up", F.max(end_v).over(w_up)).withColumn("_down", F.min(start_v).over(w_down))
+        .where(F.col("kind") == 0)
+    )
+    bins = ev.groupBy("chrom", "_bin").agg(F.max(end_v).alias("_bmax"), F.min(start_v).alias("_bmin"))
+    w_fwd = Window.partitionBy("chrom").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    w_bwd = Window.partitionBy("chrom").orderBy("_bin").rowsBetween(1, Window.unboundedFollowing)
+    carry = bins.select("chrom", "_bin", F.max("_bmax").over(w_fwd).alias("_cup"),
+                        F.min("_bmin").over(w_bwd).alias("_cdown"))
     return local.join(carry, ["chrom", "_bin"]).select(
-        "chrom", F.col("key").alias("pos"), F.greatest("_in", "_carry").alias("nearest")
+        "chrom", F.col("key").alias("pos"),
+        F.greatest("_up", "_cup").alias("up_end"), F.least("_down", "_cdown").alias("down_start"),
     )
 
 
@@ -104,17 +120,12 @@ def annotate_flank(rows: DataFrame, genes: DataFrame, bin_size: int = BIN) -> Da
     """Nearest gene end upstream and gene start downstream for rows no gene overlaps.
 
     Adds ``up_end`` (largest gene end < pos) and ``down_start`` (smallest gene
-    start > pos) on the same chromosome; NULL when there is none.
+    start > pos) on the same chromosome; NULL when there is none. Computed once
+    per distinct position, then joined back.
     """
     free = point_overlap(rows, genes.select("chrom", "start", "end"), how="left_anti", bin_size=bin_size)
     pts = free.select("chrom", "pos").distinct()
-    ends = genes.select("chrom", F.col("end").alias("key")).distinct()
-    starts = genes.select("chrom", (-F.col("start")).alias("key")).distinct()
-    up = _nearest_below(pts, ends, bin_size).withColumnRenamed("nearest", "up_end")
-    down = _nearest_below(pts.select("chrom", (-F.col("pos")).alias("pos")), starts, bin_size).select(
-        "chrom", (-F.col("pos")).alias("pos"), (-F.col("nearest")).alias("down_start")
-    )
-    return free.join(up, ["chrom", "pos"]).join(down, ["chrom", "pos"])
+    return free.join(_flanks(pts, genes, bin_size), ["chrom", "pos"])
 
 
 def pick(rows: DataFrame, by: Sequence[str], order: Sequence[Column | str], k: int = 1,
