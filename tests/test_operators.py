@@ -223,3 +223,17 @@ def test_job_run_and_write(spark, tmp_path):
         assert got == VCF[:6] + [v.upper() for v in VCF[6:]]
     with pytest.raises(ValueError):
         jobs.run(spark, jobs.Job("nope", ("cat",), str(src)))
+
+
+def test_point_overlap_salted_shuffle_path(spark):
+    from varframe.operators.overlap import point_overlap
+
+    # one hot position holding most rows, intervals forced onto the shuffle path
+    rows = spark.createDataFrame([("c", 15)] * 200 + [("c", 40), ("c", 5)], "chrom string, pos long")
+    iv = spark.createDataFrame([("c", 10, 20, 1), ("c", 12, 16, 2), ("c", 38, 41, 3)],
+                               "chrom string, start long, end long, gene long")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        small = point_overlap(rows, iv, how=how, bin_size=8)
+        salted = point_overlap(rows, iv, how=how, bin_size=8, broadcast_rows=0, salt=4)
+        assert sorted(map(tuple, small.collect())) == sorted(map(tuple, salted.collect())), how
+    assert point_overlap(rows, iv, how="inner", bin_size=8, broadcast_rows=0).count() == 401

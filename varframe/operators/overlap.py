@@ -7,9 +7,12 @@ so the join key is ``(chrom, bin)`` and the range test is a residual filter.
 A point has exactly one bin, so a point can never meet the same interval twice:
 left, semi and anti joins keep their meaning without a second pass.
 
-The interval side is broadcast only after a bounded count proves it small;
-otherwise both sides shuffle on ``(chrom, bin)`` and AQE splits a hot bin
-(``spark.sql.adaptive.skewJoin.enabled``).
+The interval side is broadcast only after a bounded count proves it small.
+Otherwise both sides shuffle on ``(chrom, bin, salt)``: every point row takes
+one of ``salt`` sub-keys and the intervals are copied to all of them, so a hot
+bin (or one hot position) is spread over ``salt`` tasks; AQE's skew join
+splits what is left. Any salt a row gets finds all of its intervals, so the
+result does not depend on the salt.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from pyspark.sql import functions as F
 
 BIN = 10_000
 BROADCAST_ROWS = 2_000_000
+SALT = 8
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
@@ -52,6 +56,8 @@ def point_overlap(
     distance: int = 0,
     bin_size: int = BIN,
     prefix: str = "",
+    salt: int = SALT,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Join points to the intervals that contain them (widened by ``distance``).
 
@@ -70,6 +76,11 @@ def point_overlap(
         (p[chrom] == iv["_chrom"]) & (p["_pbin"] == iv["_bin"])
         & (iv["_lo"] <= p[pos]) & (p[pos] <= iv["_hi"])
     )
-    out = p.join(maybe_broadcast(iv), cond, how)
-    drop = ["_pbin"] if how in ("left_semi", "left_anti") else ["_pbin", "_chrom", "_bin", "_lo", "_hi"]
+    drop = ["_pbin", "_psalt"] if how in ("left_semi", "left_anti") else \
+        ["_pbin", "_psalt", "_chrom", "_bin", "_lo", "_hi", "_salt"]
+    if is_small(iv, broadcast_rows):
+        return p.join(F.broadcast(iv), cond, how).drop(*[c for c in drop if c not in ("_psalt", "_salt")])
+    p = p.withColumn("_psalt", (F.monotonically_increasing_id() % salt).cast("int"))
+    iv = iv.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    out = p.join(iv, cond & (p["_psalt"] == iv["_salt"]), how)
     return out.drop(*drop)
