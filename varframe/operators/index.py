@@ -46,10 +46,15 @@ def _cols(cols: Sequence[str | Column]) -> list[Column]:
 
 
 def ordered(df: DataFrame, order: Sequence[str | Column], partitions: int | None = None) -> DataFrame:
-    """Range-partition on ``order`` and sort inside partitions (order survives fan-out, A23)."""
+    """Range-partition on ``order`` and sort inside partitions (order survives fan-out, A23).
+
+    Rows with equal keys are told apart by their input position, so the range
+    partitioner can split even one key that holds a large share of the rows.
+    """
     k = partitions or default_partitions(df.sparkSession)
-    o = _cols(order)
-    return df.repartitionByRange(k, *o).sortWithinPartitions(*o)
+    o = _cols(order) + [F.col("_tie")]
+    tagged = df.withColumn("_tie", F.monotonically_increasing_id())
+    return tagged.repartitionByRange(k, *o).sortWithinPartitions(*o).drop("_tie")
 
 
 def dense_index(
