@@ -22,11 +22,29 @@ RUNTIME_CONF = {
 }
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application (Python workers import it)."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    import shutil
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="varframe-pkg-")
+    archive = shutil.make_archive(os.path.join(out, "varframe"), "zip", os.path.dirname(pkg), "varframe")
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply RUNTIME_CONF and make sure a checkpoint directory exists."""
+    """Apply RUNTIME_CONF, ship the package and make sure a checkpoint directory exists."""
     for k, v in RUNTIME_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
+    ship_package(spark)
     checkpoint_root(spark)
     return spark
 
