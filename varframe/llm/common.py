@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import configure, scratch_path
 
@@ -52,3 +53,59 @@ def ascii_lower(col: Column) -> Column:
 
 
 Query = Callable[[SparkSession, str], DataFrame]
+
+
+def packed(df: DataFrame) -> DataFrame:
+    """All columns of ``df`` as one struct column ``doc``, so that results beside it clash with no name."""
+    return df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("doc"))
+
+
+def unpacked(df: DataFrame) -> DataFrame:
+    return df.select("doc.*")
+
+
+
+SLICE_CHARS = 1 << 20
+
+
+def text_slices(texts, limit: int = SLICE_CHARS):
+    """Cut an Arrow string array into (start, end) ranges of about ``limit`` bytes; a longer text stands alone."""
+    import pyarrow.compute as pc
+
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    lo, held = 0, 0
+    for i, size in enumerate(sizes):
+        if i > lo and held + size > limit:
+            yield lo, i
+            lo, held = i, 0
+        held += int(size)
+    if len(sizes) > lo:
+        yield lo, len(sizes)
+
+
+def map_docs(df: DataFrame, text_col: str, schema: str, make: Callable) -> DataFrame:
+    """``doc`` (all columns of ``df``) and the columns of ``schema``, computed from the text alone.
+
+    ``make()`` is called once per task and returns a function from a list of texts (a null
+    text is None) to the result columns, as Arrow arrays or lists. A call sees about
+    ``SLICE_CHARS`` bytes of text, or one longer text.
+    """
+    rows = packed(df)
+    extra = StructType.fromDDL(schema)
+    target = StructType([rows.schema["doc"], *extra.fields])
+
+    def run(batches):
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        arrow, work = to_arrow_schema(extra), make()
+        for batch in batches:
+            doc = batch.column(0)
+            texts = doc.field(doc.type.get_field_index(text_col))
+            for lo, hi in text_slices(texts):
+                cols = work(texts.slice(lo, hi - lo).to_pylist())
+                arrays = [c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, type=f.type)
+                          for c, f in zip(cols, arrow, strict=True)]
+                yield pa.RecordBatch.from_arrays([doc.slice(lo, hi - lo), *arrays], ["doc", *arrow.names])
+
+    return rows.mapInArrow(run, target)

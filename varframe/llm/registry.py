@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, line_dedup
+from . import decontaminate, exact_dedup, line_dedup
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op8_decontaminate": decontaminate.op8_decontaminate,
     "op10_line_dedup": line_dedup.op10_line_dedup,
 }
 
 SQL = {
     "op1_exact_dedup": exact_dedup.OP1_SQL,
+    "op8_decontaminate": decontaminate.OP8_SQL,
     "op10_line_dedup": line_dedup.OP10_SQL,
 }
