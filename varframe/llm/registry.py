@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, line_dedup
+from . import bpe, decontaminate, exact_dedup, language_id, line_dedup, token_counts
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op6_bpe": bpe.op6_bpe,
+    "op7_language_id": language_id.op7_language_id,
     "op8_decontaminate": decontaminate.op8_decontaminate,
+    "op9_token_counts": token_counts.op9_token_counts,
     "op10_line_dedup": line_dedup.op10_line_dedup,
 }
 
