@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, exact_dedup, language_id, line_dedup, token_counts
+from . import bpe, chat, decontaminate, exact_dedup, language_id, line_dedup, secrets, token_counts
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op4_chat_format": chat.op4_chat_format,
+    "op5_secret_scan": secrets.op5_secret_scan,
     "op6_bpe": bpe.op6_bpe,
     "op7_language_id": language_id.op7_language_id,
     "op8_decontaminate": decontaminate.op8_decontaminate,
@@ -15,6 +17,7 @@ QUERIES = {
 
 SQL = {
     "op1_exact_dedup": exact_dedup.OP1_SQL,
+    "op4_chat_format": chat.OP4_SQL,
     "op8_decontaminate": decontaminate.OP8_SQL,
     "op10_line_dedup": line_dedup.OP10_SQL,
 }
