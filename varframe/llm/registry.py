@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, exact_dedup, language_id, line_dedup, secrets, token_counts
+from . import bpe, chat, decontaminate, exact_dedup, language_id, line_dedup, secrets, token_counts, url_filter
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op3_url_filter": url_filter.op3_url_filter,
     "op4_chat_format": chat.op4_chat_format,
     "op5_secret_scan": secrets.op5_secret_scan,
     "op6_bpe": bpe.op6_bpe,
@@ -17,6 +18,7 @@ QUERIES = {
 
 SQL = {
     "op1_exact_dedup": exact_dedup.OP1_SQL,
+    "op3_url_filter": url_filter.OP3_SQL,
     "op4_chat_format": chat.OP4_SQL,
     "op8_decontaminate": decontaminate.OP8_SQL,
     "op10_line_dedup": line_dedup.OP10_SQL,
