@@ -120,9 +120,11 @@ def band_keys(signature: np.ndarray, bands: int) -> np.ndarray:
     return key
 
 
-def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Weighted Jaccard similarity of two multisets given as sorted distinct elements and counts."""
-    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    both = int(np.minimum(a[1][i], b[1][j]).sum())
-    every = int(a[1].sum() + b[1].sum()) - both
-    return both / every if every else 0.0
+def elements(text: str) -> np.ndarray:
+    """The shingle multiset of one text as a sorted set: each further copy of a shingle is an element of its own."""
+    _, value, count = shingles([text])
+    which, copy = _spread(count)
+    value = value[which]
+    again = copy > 0
+    value[again] = mix(value[again] + _CELL * copy[again].astype(np.uint64))
+    return np.sort(value)

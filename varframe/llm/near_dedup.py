@@ -10,15 +10,17 @@ No task sees all pairs of a bucket, and no link between candidates is lost:
 1. Documents with one multiset (a 128-bit fingerprint) are one node.
 2. In each bucket every node is compared with one pivot, the node that shares the most
    buckets with others (the centre of its family). Links found so far give components.
-3. A bucket whose nodes are all in one component is settled. In the others, only nodes
-   outside the bucket's main component are compared with the nodes of other components, and
-   only if the pair can be similar at all: shingles that no other node of these buckets has
-   bound a node's overlap with any partner, s = n - unique, and a pair needs
-   min(s, s') >= t / (1 + t) * (n + n').
-
-Every comparison is exact (on 64-bit shingle hashes). Step 3 grows with the product of a
-bucket's unsettled and possible nodes, so a huge family whose members are neither linked to
-its centre nor ruled out by unique shingles stays expensive.
+3. Nodes that were compared with one pivot and are in its component are settled among
+   themselves. The others are compared with all nodes of that pivot but those of their own
+   component, without making rows of these pairs: step 2 left for each node a bitmap of the
+   pivot's elements it has, so two nodes share at most the bits they have in common and the
+   fewer of their elements that aren't the pivot's. Elements that no other node has are left
+   out first, and a node with too few left can have no partner at all. Blocks of
+   ``BLOCK`` by ``BLOCK`` nodes are compared in a task each; only pairs that may be similar
+   enough become rows.
+
+Every link is confirmed exactly (on 64-bit hashes of the shingles). Step 3 emits little, but
+its comparisons grow with the product of a pivot's unsettled and possible nodes.
 
 Defined results: documents without words (null, empty, only signs) are alone; a text of
 fewer than five words is one shingle; rows that repeat an (id, text) are one document and
@@ -29,6 +31,7 @@ table gives an empty result; other input columns are ignored.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +39,7 @@ from . import dartminhash as dart
 from .common import map_docs, ready, staged, table, text_or_empty, text_slices
 
 BANDS, ROWS = 24, 5
+BLOCK = 1024
 SIMILARITY = 0.8
 BUCKET = ["band", "key"]
 
@@ -69,30 +73,44 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ba
                     _sketcher(bands, rows)).select("doc.id", "doc.tkey", "n", "node", "keys")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose texts are at least as similar as asked for."""
+MEASURED = "a binary, b binary, both long, n_a long, n_b long, bits binary"
+
+
+def measured(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the sizes of their overlap and multisets, and b's elements that a has, as bits."""
     ta = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     tb = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
 
-    def check(batches):
+    def compare(batches):
         import pyarrow as pa
 
-        held: dict[str, tuple] = {}
+        held: dict[str, np.ndarray] = {}
 
-        def multiset(text):
+        def elements(text):
             if text not in held:
                 if len(held) >= 8:
                     held.clear()
-                _, element, count = dart.shingles([text])
-                held[text] = element, count
+                held[text] = dart.elements(text)
             return held[text]
 
         for batch in batches:
-            a, b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            keep = [dart.similarity(multiset(x), multiset(y)) >= similarity for x, y in zip(a, b, strict=True)]
-            yield batch.select([0, 1]).filter(pa.array(keep, type=pa.bool_()))
+            rows = []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                x, y = elements(x), elements(y)
+                at = np.minimum(np.searchsorted(x, y), len(x) - 1)
+                found = x[at] == y
+                rows.append((int(found.sum()), len(x), len(y), np.packbits(found).tobytes()))
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *[pa.array([r[i] for r in rows], type=k) for i, k in enumerate(kinds)]],
+                ["a", "b", "both", "n_a", "n_b", "bits"])
+
+    return pairs.join(tb, "b").join(ta, "a").select("a", "b", "text_a", "text_b").mapInArrow(compare, MEASURED)
 
-    return pairs.join(tb, "b").join(ta, "a").select("a", "b", "text_a", "text_b").mapInArrow(check, "a binary, b binary")
+
+def similar(similarity: float):
+    """Overlap and sizes as a condition: both / (n + n' - both) >= similarity."""
+    return F.col("both") * (1 + similarity) >= similarity * (F.col("n_a") + F.col("n_b")) - 1e-9
 
 
 def components(spark, edges: DataFrame) -> DataFrame:
@@ -123,10 +141,6 @@ def components(spark, edges: DataFrame) -> DataFrame:
     return staged(spark, now.select(F.col("lo").alias("node"), F.col("hi").alias("comp")).unionByName(tops), "near-components")
 
 
-def _ordered(a, b):
-    return F.greatest(a, b).alias("a"), F.least(a, b).alias("b")
-
-
 def _unique_weights(texts: DataFrame) -> DataFrame:
     """(node, unique): the weight of a node's shingles that no other node of ``texts`` has."""
     def explode(batches):
@@ -144,7 +158,7 @@ def _unique_weights(texts: DataFrame) -> DataFrame:
         "n = 1").groupBy("node").agg(F.sum("weight").alias("unique"))
 
 
-def links(docs: DataFrame, made: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def links(docs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(a, b): links between nodes that connect all nodes of a class (``nodes``: node, n, rep, keys)."""
     spark = docs.sparkSession
     buckets = nodes.select("node", F.posexplode("keys").alias("band", "key"))
@@ -154,33 +168,60 @@ def links(docs: DataFrame, made: DataFrame, nodes: DataFrame, similarity: float
     reach = members.groupBy("node").agg(F.sum("m").alias("reach"))
     pivots = staged(spark, members.join(reach, "node").groupBy(*BUCKET).agg(F.max(F.struct("reach", "node")).alias("p"))
                     .select(*BUCKET, F.col("p.node").alias("pivot")), "near-pivots")
-    pairs = staged(spark, members.join(pivots, BUCKET).filter("node <> pivot").select(*_ordered("node", "pivot")).distinct(),
-                   "near-pairs")
+    pairs = members.join(pivots, BUCKET).filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
     involved = nodes.join(members.select("node").distinct(), "node", "left_semi").select(
-        "node", "n", F.col("rep.id").alias("r_id"), F.col("rep.tkey").alias("r_tkey"))
+        "node", F.col("rep.id").alias("r_id"), F.col("rep.tkey").alias("r_tkey"))
     texts = staged(spark, docs.join(involved, docs["id"].eqNullSafe(involved["r_id"]) & (docs["tkey"] == involved["r_tkey"]))
-                   .select("node", "n", "text"), "near-texts")
-    found = staged(spark, verified(pairs, texts, similarity), "near-links")
+                   .select("node", "text"), "near-texts")
+    tried = staged(spark, measured(staged(spark, pairs, "near-pairs"), texts), "near-tried")
+    found = tried.filter(similar(similarity)).select("a", "b")
 
-    # what the pivots leave open: buckets with nodes of several components
     comp = components(spark, found)
-    placed = members.filter("m > 2").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    sizes = placed.groupBy(*BUCKET, "comp").agg(F.count("*").alias("n")).groupBy(*BUCKET).agg(
-        F.max(F.struct("n", "comp")).alias("main"), F.count("*").alias("parts")).filter("parts > 1").select(
-        *BUCKET, F.col("main.comp").alias("main"))
-    unsettled = staged(spark, placed.join(sizes, BUCKET), "near-unsettled")
-    own = texts.join(unsettled.select("node").distinct(), "node", "left_semi")
-    bound = staged(spark, own.select("node", "n").distinct().join(_unique_weights(own), "node", "left").select(
-        "node", "n", (F.col("n") - F.coalesce("unique", F.lit(0))).alias("s")).filter(F.col("s") >= similarity * F.col("n")),
-        "near-bounds")
-    possible = staged(spark, unsettled.join(bound, "node").select(*BUCKET, "node", "comp", "n", "s", (F.col("comp") != F.col("main")).alias("open")),
-                      "near-possible")
-    one, two = possible.filter("open").alias("x"), possible.alias("y")
-    fits = F.least("x.s", "y.s") * (1 + similarity) >= similarity * (F.col("x.n") + F.col("y.n"))
-    more = one.join(two, [F.col(f"x.{c}") == F.col(f"y.{c}") for c in BUCKET] + [F.col("x.comp") != F.col("y.comp"), fits]).select(
-        *_ordered("x.node", "y.node")).distinct().join(pairs, ["a", "b"], "left_anti")
-    rest = staged(spark, verified(staged(spark, more, "near-more"), texts, similarity), "near-links")
-    return found.unionByName(rest)
+    more = unsettled_pairs(spark, tried, comp, texts, similarity)
+    rest = measured(staged(spark, more, "near-more"), texts).filter(similar(similarity)).select("a", "b")
+    return found.unionByName(staged(spark, rest, "near-rest"))
+
+
+def unsettled_pairs(spark, tried: DataFrame, comp: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of nodes tried with one pivot that may be similar and are not connected yet (step 3)."""
+    of = lambda col, name: comp.select(F.col("node").alias(col), F.col("comp").alias(name))
+    placed = staged(spark, tried.join(of("a", "comp_a"), "a", "left").join(of("b", "comp_b"), "b", "left").select(
+        F.col("b").alias("pivot"), F.col("a").alias("node"), "n_a", "both", "bits", F.coalesce("comp_a", "a").alias("comp"),
+        (F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).alias("open")), "near-placed")
+    groups = placed.groupBy("pivot").agg(F.count("*").alias("members"), F.count_if("open").alias("open_members")).filter(
+        "members > 1 and open_members > 0")
+    group = staged(spark, placed.join(groups.select("pivot"), "pivot"), "near-unsettled")
+    own = texts.join(group.select("node").union(group.select("pivot")).distinct(), "node", "left_semi")
+    # s: elements that some other node has; a node needs a share of ``similarity`` of them to have a partner
+    possible = staged(spark, group.join(_unique_weights(own), "node", "left").withColumn(
+        "s", F.col("n_a") - F.coalesce("unique", F.lit(0))).filter(F.col("s") >= similarity * F.col("n_a")).select(
+        "pivot", "node", F.col("n_a").alias("n"), (F.col("s") - F.col("both")).alias("extra"), "bits", "comp", "open"), "near-possible")
+    blocks = staged(spark, possible.groupBy("pivot").agg(
+        F.ceil(F.count_if("open") / BLOCK).cast("int").alias("n_left"), F.ceil(F.count("*") / BLOCK).cast("int").alias("n_right"))
+        .filter("n_left > 0"), "near-blocks")
+    dealt = possible.join(blocks, "pivot")
+    span = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    mine = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    cols = ["node", "n", "extra", "bits", "comp"]
+    left = dealt.filter("open").withColumn("i", mine("n_left")).withColumn("j", span("n_right"))
+    right = dealt.withColumn("j", mine("n_right")).withColumn("i", span("n_left"))
+    both = left.select("pivot", "i", "j", F.lit(True).alias("left"), *cols).unionByName(
+        right.select("pivot", "i", "j", F.lit(False).alias("left"), *cols))
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        one, two = rows[rows["left"]], rows[~rows["left"]]
+        out = []
+        if len(one) and len(two):
+            bits = lambda x: np.frombuffer(b"".join(x["bits"]), dtype=np.uint8).reshape(len(x), -1)
+            mine, theirs = bits(one), bits(two)
+            n, extra, comp, node = (two[c].to_numpy() for c in ("n", "extra", "comp", "node"))
+            for k, (own, size, more, part) in enumerate(zip(one["node"], one["n"], one["extra"], one["comp"], strict=True)):
+                most = np.bitwise_count(theirs & mine[k]).sum(axis=1, dtype=np.int64) + np.minimum(extra, more)
+                fits = np.flatnonzero(most * (1 + similarity) >= similarity * (n + size) - 1e-9)
+                out += [(max(own, node[m]), min(own, node[m])) for m in fits if comp[m] != part]
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return both.groupBy("pivot", "i", "j").applyInPandas(compare, "a binary, b binary").distinct()
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
@@ -190,7 +231,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     made = staged(spark, sketches(docs, id_col, text_col, bands, rows), "near-sketches")
     nodes = staged(spark, made.filter("n > 0").groupBy("node").agg(F.max(F.struct("id", "tkey", "n", "keys")).alias("r")).select(
         "node", F.struct("r.id", "r.tkey").alias("rep"), "r.n", "r.keys"), "near-nodes")
-    edges = links(_identified(docs, id_col, text_col), made, nodes, similarity)
+    edges = links(_identified(docs, id_col, text_col), nodes, similarity)
     comp = components(spark, edges)
     rows_ = made.select("id", "tkey", "n", "node").dropDuplicates(["id", "tkey"])
     placed = staged(spark, rows_.join(comp, "node", "left").select(

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, exact_dedup, language_id, line_dedup, secrets, token_counts, url_filter
+from . import bpe, chat, decontaminate, exact_dedup, language_id, line_dedup, near_dedup, secrets, token_counts, url_filter
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op2_near_dedup": near_dedup.op2_near_dedup,
     "op3_url_filter": url_filter.op3_url_filter,
     "op4_chat_format": chat.op4_chat_format,
     "op5_secret_scan": secrets.op5_secret_scan,
