@@ -20,6 +20,7 @@ columns of the documents are kept in ``doc``, whatever their names.
 from __future__ import annotations
 
 import numpy as np
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -31,6 +32,7 @@ MAX_LANGUAGES = 1000
 SEGMENT = 1 << 20
 FLUSH = 1 << 20  # entries a training task holds at most before it hands them on
 
+NO_LETTER = regex.compile(r"\P{L}")
 _LETTERS: list = []
 
 
@@ -62,11 +64,9 @@ def ngram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
         return np.unique(_segment_ngrams(text), return_counts=True)
     codes, counts = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
     at = 0
-    while at < len(text):  # segments end between words where they can
-        end = at + SEGMENT
-        if end < len(text):
-            cut = text.rfind(" ", at, end)
-            end = cut if cut > at else end
+    while at < len(text):  # segments end between words
+        border = NO_LETTER.search(text, at + SEGMENT)
+        end = border.start() if border else len(text)
         c, n = np.unique(_segment_ngrams(text[at:end]), return_counts=True)
         codes, counts = summed(np.concatenate([codes, c]), np.concatenate([counts, n]))
         at = end

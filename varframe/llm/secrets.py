@@ -30,6 +30,7 @@ KINDS = ("assign", "access", "hex", "random")
 SAMPLE = 20_000
 MIN_RUN = 20
 MIN_RATIO = 1.0
+PRIOR = 100.0
 MIN_VALUE, MIN_ACCESS, MIN_HEX = 12, 18, 16
 
 
@@ -45,7 +46,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 # runs are maximal, so asking for the length at once finds the same runs
 HEX = re.compile(r"[0-9a-f]{%d,}" % MIN_HEX)
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_RUN)
-WORD = re.compile(r"[A-Za-z][A-Za-z0-9_-]{7,}")
+# words too short to be judged themselves: a longer run may be an unlabelled secret
+WORD = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z][A-Za-z0-9_-]{7,%d}(?![A-Za-z0-9+/_=-])" % (MIN_RUN - 2))
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 STATES = len(ALPHABET) + 1  # the last one: any other character, and the border
@@ -105,11 +107,17 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
         counts[r["label"], r["pair"]] = r["n"]
     if not counts.sum(axis=1).all():
         return None
-    smooth = counts.reshape(2, STATES, STATES) + 0.5
-    logs = np.log(smooth / smooth.sum(axis=2, keepdims=True))
+    logs = [np.log(transition_chances(x.reshape(STATES, STATES))) for x in counts]
     return (logs[1] - logs[0]).reshape(-1)
 
 
+def transition_chances(counts: np.ndarray) -> np.ndarray:
+    """Chances of the next state; what a state has rarely or never been seen with follows the states' overall shares."""
+    overall = counts.sum(axis=0) + 0.5
+    overall /= overall.sum()
+    return (counts + PRIOR * overall) / (counts.sum(axis=1, keepdims=True) + PRIOR)
+
+
 def all_spans(text: str, ratios: np.ndarray | None) -> list[tuple[int, int, int]]:
     """(start, kind, end) of base and added spans, sorted."""
     base = base_spans(text)
