@@ -234,6 +234,6 @@ def test_point_overlap_salted_shuffle_path(spark):
                                "chrom string, start long, end long, gene long")
     for how in ("inner", "left", "left_semi", "left_anti"):
         small = point_overlap(rows, iv, how=how, bin_size=8)
-        salted = point_overlap(rows, iv, how=how, bin_size=8, broadcast_rows=0, salt=4)
+        salted = point_overlap(rows, iv, how=how, bin_size=8, salt=4)
         assert sorted(map(tuple, small.collect())) == sorted(map(tuple, salted.collect())), how
-    assert point_overlap(rows, iv, how="inner", bin_size=8, broadcast_rows=0).count() == 401
+    assert point_overlap(rows, iv, how="inner", bin_size=8).count() == 401

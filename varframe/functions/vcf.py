@@ -44,13 +44,6 @@ def sample_field(fmt_keys: Column, sample: Column, key: str) -> Column:
     return F.when(i > 0, F.try_element_at(F.split(sample, ":"), i.cast("int")))
 
 
-def sample_text(fmt_keys: Column, m: Column) -> Column:
-    """A sample map back to text in FORMAT key order (keys absent from the map end the text)."""
-    vals = F.transform(fmt_keys, lambda k: F.element_at(m, k))
-    present = F.filter(vals, lambda v: v.isNotNull())
-    return F.array_join(present, ":")
-
-
 def _common_run(a: Column, b: Column, from_end: bool) -> Column:
     """Length of the run of equal characters at the start (or end) of ``a`` and ``b``.
 
@@ -67,30 +60,35 @@ def _common_run(a: Column, b: Column, from_end: bool) -> Column:
     return F.when(m == 0, F.lit(0)).when(m == 1, one).otherwise(run).cast("int")
 
 
+def is_symbolic(allele: Column) -> Column:
+    """``<...>``, ``*`` or a breakend: no bases to trim."""
+    return F.coalesce(allele.startswith("<") | (allele == "*") | allele.contains("[") | allele.contains("]"), F.lit(False))
+
+
 def trim_common(df, ref: str = "ref", alt: str = "alt", pos: str = "pos"):
     """Minimal representation (B5): drop the shared suffix, then the shared prefix.
 
     Adds ``min_pos`` (pos + bases removed in front), ``min_ref``, ``min_alt``; an
-    empty allele is written ``-``. Built in steps so no expression is repeated.
+    empty allele is written ``-``. Symbolic alleles and breakends stay as they are. Built in steps so no expression is repeated.
     """
     dash = lambda x: F.when(F.length(x) == 0, F.lit("-")).otherwise(x)
     r, a = F.col(ref), F.col(alt)
-    t = df.withColumn("_s", _common_run(r, a, True))
+    symbolic = is_symbolic(r) | is_symbolic(a)
+    t = df.withColumn("_sym", symbolic).withColumn("_s", F.when(F.col("_sym"), 0).otherwise(_common_run(r, a, True)))
     t = t.withColumn("_r1", F.expr(f"substring({ref}, 1, length({ref}) - _s)")).withColumn(
         "_a1", F.expr(f"substring({alt}, 1, length({alt}) - _s)"))
-    t = t.withColumn("_p", _common_run(F.col("_r1"), F.col("_a1"), False))
+    t = t.withColumn("_p", F.when(F.col("_sym"), 0).otherwise(_common_run(F.col("_r1"), F.col("_a1"), False)))
     t = t.withColumn("min_pos", F.col(pos) + F.col("_p")) if pos in df.columns else t
     t = t.withColumn("min_ref", dash(F.expr("substring(_r1, _p + 1)"))).withColumn(
         "min_alt", dash(F.expr("substring(_a1, _p + 1)")))
-    return t.drop("_s", "_r1", "_a1", "_p")
+    return t.drop("_sym", "_s", "_r1", "_a1", "_p")
 
 
 def class_of(ref: Column, alt: Column, min_ref: Column, min_alt: Column) -> Column:
     """SNV, insertion, deletion, substitution, indel, or sequence_alteration (B6),
     judged on the minimal alleles."""
     return (
-        F.when(alt.startswith("<") | (alt == "*") | alt.contains("[") | alt.contains("]"),
-               F.lit("sequence_alteration"))
+        F.when(is_symbolic(alt), F.lit("sequence_alteration"))
         .when(min_ref == "-", F.lit("insertion"))
         .when(min_alt == "-", F.lit("deletion"))
         .when((F.length(min_ref) == 1) & (F.length(min_alt) == 1), F.lit("SNV"))

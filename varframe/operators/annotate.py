@@ -21,7 +21,8 @@ NA = "."
 def annotate_exact(rows: DataFrame, table: DataFrame, cols: Sequence[str], keys: Sequence[str] = VARIANT_KEY,
                    na: str = NA) -> DataFrame:
     """Filter-based annotation (B7): exact key lookup, ``na`` where missing (values as text)."""
-    one = table.groupBy(*keys).agg(*[F.max(c).alias(c) for c in cols])
+    # one whole record per key: of several the largest, compared column by column
+    one = table.groupBy(*keys).agg(F.max(F.struct(*cols)).alias("_one")).select(*keys, *[F.col(f"_one.{c}").alias(c) for c in cols])
     out = rows.join(one, list(keys), "left")
     for c in cols:
         out = out.withColumn(c, F.coalesce(F.col(c).cast("string"), F.lit(na)))
@@ -125,7 +126,7 @@ def annotate_flank(rows: DataFrame, genes: DataFrame, bin_size: int = BIN) -> Da
     """
     free = point_overlap(rows, genes.select("chrom", "start", "end"), how="left_anti", bin_size=bin_size)
     pts = free.select("chrom", "pos").distinct()
-    return free.join(_flanks(pts, genes, bin_size), ["chrom", "pos"])
+    return free.join(_flanks(pts, genes, bin_size), ["chrom", "pos"], "left")
 
 
 def pick(rows: DataFrame, by: Sequence[str], order: Sequence[Column | str], k: int = 1,
@@ -147,5 +148,12 @@ def pack(rows: DataFrame, key: Sequence[str], fields: Sequence[str], name: str =
 
 
 def restrict(rows: DataFrame, intervals: DataFrame, bin_size: int = BIN) -> DataFrame:
-    """Rows inside any interval of a list (B16): a binned semi join."""
-    return point_overlap(rows, intervals.select("chrom", "start", "end"), how="left_semi", bin_size=bin_size)
+    """Rows inside any interval of a list (B16): a binned semi join.
+
+    An interval without a start is its whole contig: those need no bins, only the name.
+    """
+    bounded = intervals.where(F.col("start").isNotNull()).select("chrom", "start", "end")
+    whole = intervals.where(F.col("start").isNull()).select(F.col("chrom").alias("_whole")).distinct()
+    marked = rows.join(whole, F.col("chrom") == F.col("_whole"), "left")
+    rest = point_overlap(marked.where(F.col("_whole").isNull()).drop("_whole"), bounded, how="left_semi", bin_size=bin_size)
+    return marked.where(F.col("_whole").isNotNull()).drop("_whole").unionByName(rest)

@@ -24,6 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import default_partitions
 from .index import ordered
 
 OUT_CHUNK_LINES = 8192
@@ -50,6 +51,14 @@ def _feed(proc: subprocess.Popen, chunks: Iterable[str], errors: list) -> None:
             pass
 
 
+def _text(raw: bytes) -> str:
+    """Tool output as text; bytes that aren't UTF-8 fail the task instead of being altered."""
+    try:
+        return raw.decode("utf-8").rstrip("\r\n")
+    except UnicodeDecodeError as exc:
+        raise ExternalCommandError(f"the command's output is not UTF-8 text: {raw[:80]!r}") from exc
+
+
 def _drain(stream, tail: collections.deque) -> None:
     for raw in iter(stream.readline, b""):
         tail.append(raw.decode("utf-8", "replace").rstrip("\n"))
@@ -65,22 +74,27 @@ def run_lines(cmd: Sequence[str], chunks: Iterable[str], cwd: str | None = None)
     reader = threading.Thread(target=_drain, args=(proc.stderr, tail), daemon=True)
     writer.start()
     reader.start()
-    buf: list[str] = []
-    for raw in proc.stdout:
-        buf.append(raw.decode("utf-8", "replace").rstrip("\r\n"))
-        if len(buf) >= OUT_CHUNK_LINES:
+    try:
+        buf: list[str] = []
+        for raw in proc.stdout:
+            buf.append(_text(raw))
+            if len(buf) >= OUT_CHUNK_LINES:
+                yield buf
+                buf = []
+        proc.stdout.close()
+        writer.join()
+        rc = proc.wait()
+        reader.join()
+        if errors:
+            raise errors[0]
+        if rc != 0:
+            raise ExternalCommandError(f"command {list(cmd)!r} exited with {rc}: " + " | ".join(tail))
+        if buf:
             yield buf
-            buf = []
-    proc.stdout.close()
-    writer.join()
-    rc = proc.wait()
-    reader.join()
-    if errors:
-        raise errors[0]
-    if rc != 0:
-        raise ExternalCommandError(f"command {list(cmd)!r} exited with {rc}: " + " | ".join(tail))
-    if buf:
-        yield buf
+    finally:  # also when the reader stops early or an error leaves the process running
+        if proc.poll() is None:
+            proc.kill()
+            proc.wait()
 
 
 def _text_chunks(batches: Iterable[pd.DataFrame], value: str) -> Iterator[str]:
@@ -147,12 +161,20 @@ def pipe_exit_codes(df: DataFrame, cmd: Sequence[str], value: str = "value") ->
     return df.select(value).mapInPandas(run, "part int, exit_code int, n_lines long")
 
 
-def _collect_outputs(prefix: str) -> Iterator[tuple[str, list[str]]]:
+def _collect_outputs(prefix: str) -> Iterator[tuple[str, int, list[str]]]:
+    """The files ``prefix.<suffix>`` in chunks: suffix, number of the first line, lines."""
     base = os.path.basename(prefix)
-    for path in sorted(glob.glob(prefix + ".*")):
+    for path in sorted(glob.glob(glob.escape(prefix) + ".*")):
         suffix = os.path.basename(path)[len(base) + 1:]
-        with open(path, encoding="utf-8", errors="replace") as fh:
-            yield suffix, [ln.rstrip("\r\n") for ln in fh]
+        with open(path, "rb") as fh:
+            n, buf = 0, []
+            for raw in fh:
+                buf.append(_text(raw))
+                if len(buf) >= OUT_CHUNK_LINES:
+                    yield suffix, n, buf
+                    n, buf = n + len(buf), []
+            if buf:
+                yield suffix, n, buf
 
 
 def pipe_multi_output(
@@ -179,42 +201,114 @@ def pipe_multi_output(
             argv = [a.replace("{out}", prefix) for a in cmd]
             for _ in run_lines(argv, _text_chunks(batches, value), cwd=work):
                 pass  # stdout is not part of the result; the files are
-            for suffix, lines in _collect_outputs(prefix):
-                yield pd.DataFrame({"part": part, "suffix": suffix, "line_no": range(len(lines)), "value": lines})
+            for suffix, n, lines in _collect_outputs(prefix):
+                yield pd.DataFrame({"part": part, "suffix": suffix, "line_no": range(n, n + len(lines)), "value": lines})
         finally:
             shutil.rmtree(work, ignore_errors=True)
 
     return src.mapInPandas(run, "part int, suffix string, line_no long, value string")
 
 
+def _by_batch(df: DataFrame, batch_col: str, pos_col: str, value: str, partitions: int | None) -> DataFrame:
+    """Batches dealt to ``partitions`` tasks by their id, each task's batches in order.
+
+    The number of tasks is the caller's (or the session's shuffle partitions), never the
+    input's size in bytes: a batch of three lines may keep a tool busy for hours.
+    """
+    k = partitions or default_partitions(df.sparkSession)
+    rows = df.select(F.col(batch_col).cast("bigint").alias("batch_id"), F.col(pos_col).alias("pos"), F.col(value).alias("value"))
+    return rows.repartitionById(k, F.pmod("batch_id", F.lit(k)).cast("int")).sortWithinPartitions("batch_id", "pos").select(
+        "batch_id", "value")
+
+
+def _batches(frames: Iterator[pd.DataFrame], prefix: Sequence[str]) -> Iterator[tuple[int, Iterator[str]]]:
+    """Batch id and its text in chunks; a batch's rows stand together and may span frames."""
+    frames = (f for f in frames if len(f))
+    held: list[pd.DataFrame] = []
+
+    def next_frame() -> pd.DataFrame | None:
+        return held.pop() if held else next(frames, None)
+
+    def chunks(bid: int) -> Iterator[str]:
+        if prefix:
+            yield "\n".join(prefix) + "\n"
+        while (f := next_frame()) is not None:
+            same = (f["batch_id"] == bid).to_numpy()
+            n = len(f) if same.all() else int(same.argmin())
+            if n:
+                yield "\n".join(f["value"].iloc[:n].astype(str).tolist()) + "\n"
+            if n < len(f):
+                held.append(f.iloc[n:])
+                return
+
+    while (f := next_frame()) is not None:
+        bid = int(f["batch_id"].iloc[0])
+        held.append(f)
+        text = chunks(bid)
+        yield bid, text
+        for _ in text:  # a tool may stop reading early
+            pass
+
+
 def pipe_batches(
     df: DataFrame,
     cmd: Sequence[str],
     batch_col: str = "batch_id",
     pos_col: str = "pos_in_batch",
     value: str = "value",
+    partitions: int | None = None,
+    prefix: Sequence[str] = (),
 ) -> DataFrame:
     """One process call per batch (A44): ``batch_id, line_no, value``.
 
-    Batches have a fixed maximum size, so every group handed to Python is bounded.
+    Batches are streamed into their process, so their size isn't bounded by memory.
+    ``prefix`` lines (a file's header) are given to every process without being shuffled.
     """
-    cmd = list(cmd)
+    cmd, prefix = list(cmd), list(prefix)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(pos_col, kind="stable")
-        bid = int(pdf[batch_col].iloc[0])
-        text = "\n".join(pdf[value].astype(str).tolist()) + "\n"
-        out: list[str] = []
-        for lines in run_lines(cmd, [text]):
-            out.extend(lines)
-        return pd.DataFrame({"batch_id": bid, "line_no": range(len(out)), "value": out})
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for bid, text in _batches(frames, prefix):
+            n = 0
+            for lines in run_lines(cmd, text):
+                yield pd.DataFrame({"batch_id": bid, "line_no": range(n, n + len(lines)), "value": lines})
+                n += len(lines)
 
-    return df.select(batch_col, pos_col, value).groupBy(batch_col).applyInPandas(
-        run, "batch_id long, line_no long, value string"
-    )
+    return _by_batch(df, batch_col, pos_col, value, partitions).mapInPandas(run, "batch_id long, line_no long, value string")
 
 
-def pipe_checked(df: DataFrame, cmd: Sequence[str]) -> DataFrame:
-    """``pipe_partitions`` with output header lines (``#``) dropped on the JVM side (A40 + A7)."""
-    out = pipe_partitions(df, cmd)
-    return out.where(~F.coalesce(F.col("value").startswith("#"), F.lit(False)))
+def pipe_batches_file(
+    df: DataFrame,
+    cmd: Sequence[str],
+    batch_col: str = "batch_id",
+    pos_col: str = "pos_in_batch",
+    value: str = "value",
+    partitions: int | None = None,
+    prefix: Sequence[str] = (),
+) -> DataFrame:
+    """One process call per batch with files (A16, A44): ``batch_id, suffix, line_no, value``.
+
+    ``{in}`` in ``cmd`` is a task-private file with the batch's lines, ``{out}`` a
+    task-private prefix: each file ``{out}.<suffix>`` comes back under its suffix, standard
+    output under the empty one. Both are removed when the batch is done.
+    """
+    cmd, prefix = list(cmd), list(prefix)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for bid, text in _batches(frames, prefix):
+            work = tempfile.mkdtemp(prefix=f"vf-batch{bid}-", dir=os.getcwd())
+            try:
+                source, out = os.path.join(work, "batch"), os.path.join(work, f"out{bid}")
+                with open(source, "w", encoding="utf-8", newline="") as fh:
+                    fh.writelines(text)
+                argv = [a.replace("{in}", source).replace("{out}", out) for a in cmd]
+                n = 0
+                for lines in run_lines(argv, [], cwd=work):
+                    yield pd.DataFrame({"batch_id": bid, "suffix": "", "line_no": range(n, n + len(lines)), "value": lines})
+                    n += len(lines)
+                for suffix, n, lines in _collect_outputs(out):
+                    yield pd.DataFrame({"batch_id": bid, "suffix": suffix, "line_no": range(n, n + len(lines)), "value": lines})
+            finally:
+                shutil.rmtree(work, ignore_errors=True)
+
+    return _by_batch(df, batch_col, pos_col, value, partitions).mapInPandas(
+        run, "batch_id long, suffix string, line_no long, value string")

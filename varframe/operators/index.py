@@ -45,15 +45,22 @@ def _cols(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A 64-bit hash of a row's columns that can be hashed: the same in every attempt of a task."""
+    plain = [F.col(f"`{f.name}`") for f in df.schema if "map<" not in f.dataType.simpleString()]
+    return F.xxhash64(*plain) if plain else F.lit(0).cast("bigint")
+
+
 def ordered(df: DataFrame, order: Sequence[str | Column], partitions: int | None = None) -> DataFrame:
     """Range-partition on ``order`` and sort inside partitions (order survives fan-out, A23).
 
-    Rows with equal keys are told apart by their input position, so the range
-    partitioner can split even one key that holds a large share of the rows.
+    Rows with equal keys are told apart by a hash of all their columns, so the range
+    partitioner can split a key that holds a large share of the rows, and a retried
+    task deals its rows out as before. (Maps can't be hashed; they don't take part.)
     """
     k = partitions or default_partitions(df.sparkSession)
     o = _cols(order) + [F.col("_tie")]
-    tagged = df.withColumn("_tie", F.monotonically_increasing_id())
+    tagged = df.withColumn("_tie", row_hash(df))
     return tagged.repartitionByRange(k, *o).sortWithinPartitions(*o).drop("_tie")
 
 

@@ -7,12 +7,13 @@ so the join key is ``(chrom, bin)`` and the range test is a residual filter.
 A point has exactly one bin, so a point can never meet the same interval twice:
 left, semi and anti joins keep their meaning without a second pass.
 
-The interval side is broadcast only after a bounded count proves it small.
+Spark broadcasts the interval side if its measured size in bytes is under
+``spark.sql.autoBroadcastJoinThreshold`` (from statistics, or at run time).
 Otherwise both sides shuffle on ``(chrom, bin, salt)``: every point row takes
-one of ``salt`` sub-keys and the intervals are copied to all of them, so a hot
-bin (or one hot position) is spread over ``salt`` tasks; AQE's skew join
-splits what is left. Any salt a row gets finds all of its intervals, so the
-result does not depend on the salt.
+one of ``salt`` sub-keys, by a hash of the row, and the intervals are copied to
+all of them, so a hot bin (or one hot position) is spread over ``salt`` tasks;
+AQE's skew join splits what is left. Any salt a row gets finds all of its
+intervals, so the result does not depend on the salt.
 """
 
 from __future__ import annotations
@@ -20,20 +21,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .index import row_hash
+
 BIN = 10_000
-BROADCAST_ROWS = 2_000_000
 SALT = 8
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1`` per task."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
-
 def binned(intervals: DataFrame, start: str = "start", end: str = "end", distance: int = 0,
            bin_size: int = BIN) -> DataFrame:
     """Intervals widened by ``distance`` and exploded over their bins: adds ``_lo, _hi, _bin``."""
@@ -57,7 +50,6 @@ def point_overlap(
     bin_size: int = BIN,
     prefix: str = "",
     salt: int = SALT,
-    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Join points to the intervals that contain them (widened by ``distance``).
 
@@ -78,9 +70,7 @@ def point_overlap(
     )
     drop = ["_pbin", "_psalt"] if how in ("left_semi", "left_anti") else \
         ["_pbin", "_psalt", "_chrom", "_bin", "_lo", "_hi", "_salt"]
-    if is_small(iv, broadcast_rows):
-        return p.join(F.broadcast(iv), cond, how).drop(*[c for c in drop if c not in ("_psalt", "_salt")])
-    p = p.withColumn("_psalt", (F.monotonically_increasing_id() % salt).cast("int"))
+    p = p.withColumn("_psalt", F.pmod(row_hash(points), F.lit(salt)).cast("int"))
     iv = iv.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
     out = p.join(iv, cond & (p["_psalt"] == iv["_salt"]), how)
     return out.drop(*drop)

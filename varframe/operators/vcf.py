@@ -19,13 +19,17 @@ def parse(body: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) ->
 
     ``chrom string, pos bigint, id string, ref string, alt array<string>,
     qual double, qual_raw string, filter string, info map<string,string>,
-    format array<string>, samples array<string>``; ``.`` is NULL.
+    format array<string>, samples array<string>``; ``.`` is NULL. Blank lines are
+    dropped; a line of fewer than eight columns fails the query.
 
     Sample columns stay text until a field is asked for (``sample_field``,
     ``sample_maps``, ``samples_long``): a line can carry many thousands of
     samples and most queries read one key of a few of them.
     """
-    rows = body.select(*keep, F.split(F.col(value), "\t").alias("_f"))
+    body = body.where(F.trim(F.col(value)) != "")
+    cut = F.split(F.col(value), "\t")
+    short = F.raise_error(F.concat(F.lit("a VCF line has fewer than 8 columns: "), F.substring(value, 1, 80)))
+    rows = body.select(*keep, F.when(F.size(cut) < 8, short.cast("array<string>")).otherwise(cut).alias("_f"))
     f = F.col("_f")
     rows = rows.withColumn("_fmt", F.when(F.size(f) >= 9, F.split(F.element_at(f, 9), ":")))
     samples = F.when(F.size(f) > 9, F.slice(f, 10, F.size(f) - 9))
@@ -46,12 +50,16 @@ def parse(body: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) ->
 
 
 def format_rows(rows: DataFrame, value: str = "value") -> DataFrame:
-    """Typed rows back to VCF lines (B3); ``qual_raw`` keeps the original QUAL text."""
+    """Typed rows back to VCF lines (B3); ``qual_raw`` keeps the original QUAL text.
+
+    A row without chrom, pos or ref fails the query: a line without them would be shifted.
+    """
     na = lambda c: F.coalesce(c, F.lit(fv.MISSING))
     qual = F.coalesce(F.col("qual_raw"), F.col("qual").cast("string"), F.lit(fv.MISSING))
     samples = F.col("samples")
+    needed = lambda c: F.coalesce(F.col(c).cast("string"), F.raise_error(F.lit(f"a row without {c} has no VCF line")).cast("string"))
     fields = [
-        F.col("chrom"), F.col("pos").cast("string"), na(F.col("id")), F.col("ref"),
+        needed("chrom"), needed("pos"), na(F.col("id")), needed("ref"),
         na(F.array_join(F.col("alt"), ",")), qual, na(F.col("filter")), fv.info_text(F.col("info")),
     ]
     line = F.concat_ws("\t", *fields)

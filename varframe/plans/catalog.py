@@ -404,6 +404,19 @@ def pipe_batches(spark, d):
     return ex.pipe_batches(s.select("batch_id", "pos_in_batch", F.col("sample").alias("value")), UPPER)
 
 
+UPPER_FILES = ["sh", "-c", "tr a-z A-Z < {in} > {out}.up.txt && wc -l < {in} | tr -d ' '"]
+
+
+@query("pipe_batches_file", """
+with s as (select *, row_number() over (order by sample_idx) - 1 as rn from samples)
+select cast(rn // 10 as bigint) as batch_id, 'up.txt' as suffix, cast(rn % 10 as bigint) as line_no, upper(sample) as value from s
+union all select cast(rn // 10 as bigint), '', 0, cast(count(*) as varchar) from s group by 1""")
+def pipe_batches_file(spark, d):
+    """One process call per batch of 10 samples, batch and result as files."""
+    s = ix.batch(ix.dense_index(fx.samples(spark, d), ["sample_idx"]), 10)
+    return ex.pipe_batches_file(s.select("batch_id", "pos_in_batch", F.col("sample").alias("value")), UPPER_FILES)
+
+
 @query("job_line_batches", _JOB_LINES)
 def job_line_batches(spark, d):
     """Batches of 20000 lines each with the header, one process per batch, merged in order."""
@@ -449,12 +462,27 @@ select cast(rn // 3 as bigint) as batch_id, cast(rn % 3 as bigint) as line_no,
 from (select *, row_number() over (order by gene) - 1 as rn from genes)""")
 def job_interval_batches(spark, d):
     """An interval list file read on the executors, batches of 3, one process per batch."""
+    return jobs.interval_batches(_interval_file(spark, d), ORDER, UPPER, 3)
+
+
+def _interval_file(spark, d):
+    """The genes as an interval list file, read back on the executors."""
     g = fx.genes(spark, d)
     p = sinks.write_lines(
         g.select("gene", F.concat_ws("", "chrom", F.lit(":"), F.col("start").cast("string"), F.lit("-"),
                                      F.col("end").cast("string")).alias("value")),
         scratch_path(spark, "intervals"), ["gene"])
-    return jobs.interval_batches(text.read_intervals(spark, p), ORDER, UPPER, 3)
+    return text.read_intervals(spark, p)
+
+
+@query("job_interval_batches_file", """
+with g as (select concat(chrom, ':', cast("start" as varchar), '-', cast("end" as varchar)) as v,
+                  row_number() over (order by gene) - 1 as rn from genes)
+select cast(rn // 3 as bigint) as batch_id, 'up.txt' as suffix, cast(rn % 3 as bigint) as line_no, upper(v) as value from g
+union all select cast(rn // 3 as bigint), '', 0, cast(count(*) as varchar) from g group by 1""")
+def job_interval_batches_file(spark, d):
+    """J5 with a tool that takes the batch as a file and writes files."""
+    return jobs.interval_batches(_interval_file(spark, d), text.LINE_KEY, UPPER_FILES, 3)
 
 
 # ---------------------------------------------------------------- sinks (written, then read back)

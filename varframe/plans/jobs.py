@@ -52,6 +52,7 @@ PROFILES = {
 
 
 OUTPUT_ORDER = ["_s", "_a", "_b"]
+HEADER_BYTES = 64 << 20
 
 
 def _ordered_output(head: DataFrame, head_order, out: DataFrame, out_order, numbered: bool = True) -> DataFrame:
@@ -71,23 +72,28 @@ def _ordered_output(head: DataFrame, head_order, out: DataFrame, out_order, numb
     return ix.dense_index(both, OUTPUT_ORDER, name="line_no").select("line_no", "value")
 
 
-def line_batches(lines: DataFrame, order, cmd, batch_size: int = 20000, numbered: bool = True) -> DataFrame:
+def header_lines(head: DataFrame, order, max_bytes: int = HEADER_BYTES) -> list[str]:
+    """The header in order, for the processes; its size is checked before it leaves the cluster."""
+    size = head.agg(F.sum(F.octet_length("value") + 1)).first()[0] or 0
+    if size > max_bytes:
+        raise ValueError(f"a header of {size} bytes is over the limit of {max_bytes}")
+    return [r["value"] for r in head.orderBy(*order).select("value").collect()]
+
+
+def line_batches(lines: DataFrame, order, cmd, batch_size: int = 20000, numbered: bool = True,
+                 partitions: int | None = None) -> DataFrame:
     """Batches of ``batch_size`` body lines, each with the header, one process per batch."""
     head, body = ln.split_header_body(lines)
     b = ix.batch(ix.index_rows(body, order), batch_size)
-    n_head = head.count()
-    n_batches = ix.count_batches(body, batch_size)
-    h = ln.header_for_batches(head, order, n_batches)
-    fed = h.select("batch_id", F.col("line_in_batch").cast("int").alias("pos_in_batch"), "value").unionByName(
-        b.select("batch_id", (F.col("pos_in_batch") + F.lit(n_head)).cast("int").alias("pos_in_batch"), "value"))
-    out = ex.pipe_batches(fed, cmd)
-    return _ordered_output(head, order, out, ["batch_id", "line_no"], numbered)
+    out = ex.pipe_batches(b, cmd, partitions=partitions, prefix=header_lines(head, order))
+    # written once: ordering the output reads it more than once, and each read would run the tool
+    return _ordered_output(head, order, materialize(out, "tool_output"), ["batch_id", "line_no"], numbered)
 
 
 def stream(lines: DataFrame, order, cmd, partitions: int | None = None, numbered: bool = True) -> DataFrame:
     """Headerless body lines through one process per range partition, order kept."""
     head, body = ln.split_header_body(lines)
-    out = ex.pipe_partitions(body, cmd, order=order, partitions=partitions)
+    out = materialize(ex.pipe_partitions(body, cmd, order=order, partitions=partitions), "tool_output")
     return _ordered_output(head, order, out, ["part", "line_no"], numbered)
 
 
@@ -102,18 +108,24 @@ def outputs(lines: DataFrame, order, cmd, partitions: int | None = None) -> Data
     return mg.merge_routed(parts, header, ["line_no"])
 
 
-def sample_batches(lines: DataFrame, order, cmd, batch_size: int = 10) -> DataFrame:
+def _batch_outputs(b: DataFrame, cmd, partitions: int | None) -> DataFrame:
+    """Batches through the tool, by files if its command names them, else by its standard input and output."""
+    by_file = any("{in}" in a or "{out}" in a for a in cmd)
+    return (ex.pipe_batches_file if by_file else ex.pipe_batches)(b, cmd, partitions=partitions)
+
+
+def sample_batches(lines: DataFrame, order, cmd, batch_size: int = 10, partitions: int | None = None) -> DataFrame:
     """Sample names of the column line in batches, one process per batch."""
     head, _ = ln.split_header_body(lines)
     names = ln.sample_names(head, order)
     b = ix.batch(ix.dense_index(names, ["sample_idx"]), batch_size)
-    return ex.pipe_batches(b.select("batch_id", "pos_in_batch", F.col("sample").alias("value")), cmd)
+    return _batch_outputs(b.select("batch_id", "pos_in_batch", F.col("sample").alias("value")), cmd, partitions)
 
 
-def interval_batches(intervals: DataFrame, order, cmd, batch_size: int = 3) -> DataFrame:
+def interval_batches(intervals: DataFrame, order, cmd, batch_size: int = 3, partitions: int | None = None) -> DataFrame:
     """Interval-list lines in batches, one process per batch."""
     b = ix.batch(ix.index_rows(intervals, order), batch_size)
-    return ex.pipe_batches(b.select("batch_id", "pos_in_batch", "value"), cmd)
+    return _batch_outputs(b.select("batch_id", "pos_in_batch", "value"), cmd, partitions)
 
 
 def run(spark: SparkSession, job: Job) -> DataFrame:
@@ -124,24 +136,28 @@ def run(spark: SparkSession, job: Job) -> DataFrame:
     size = job.batch_size or prof.get("batch_size")
     if prof["mode"] == "interval_batches":
         iv = text.read_intervals(spark, job.input)
-        return interval_batches(iv, text.LINE_KEY, job.tool_cmd, size)
+        return interval_batches(iv, text.LINE_KEY, job.tool_cmd, size, job.partitions)
     lines = ix.split_index(text.scan_lines(spark, job.input), name="line_no")
     mode = prof["mode"]
     if mode == "line_batches":
-        return line_batches(lines, ["line_no"], job.tool_cmd, size, numbered=False)
+        return line_batches(lines, ["line_no"], job.tool_cmd, size, numbered=False, partitions=job.partitions)
     if mode == "stream":
         return stream(lines, ["line_no"], job.tool_cmd, job.partitions, numbered=False)
     if mode == "outputs":
         return outputs(lines, ["line_no"], job.tool_cmd, job.partitions)
-    return sample_batches(lines, ["line_no"], job.tool_cmd, size)
+    return sample_batches(lines, ["line_no"], job.tool_cmd, size, job.partitions)
 
 
-def write(result: DataFrame, path: str, single: bool = True) -> None:
+def write(result: DataFrame, path: str, single: bool = False) -> None:
     """Write a job result: one ordered text per output kind, or one ordered file."""
-    if "suffix" in result.columns:
+    if "suffix" in result.columns and "batch_id" in result.columns:
+        result = materialize(result, "tool_output")
+        for r in result.select("suffix").distinct().collect():  # the kinds of file one tool writes
+            sinks.write_batches(result.where(F.col("suffix") == r["suffix"]), f"{path}/{r['suffix'] or 'stdout'}", ["line_no"])
+    elif "suffix" in result.columns:
         sinks.write_by_key(result, path, "suffix", ["line_no"])
     elif "batch_id" in result.columns:
-        sinks.write_batches(result, path, ["line_no"])
+        sinks.write_batches(materialize(result, "tool_output"), path, ["line_no"])
     elif "_s" in result.columns:
         sinks.write_lines(result, path, OUTPUT_ORDER, single=single)
     else:
@@ -149,22 +165,20 @@ def write(result: DataFrame, path: str, single: bool = True) -> None:
 
 
 def main(argv=None) -> None:
-    """``spark-submit varframe/plans/jobs.py --annotation_tool vep --tool_cmd '...' -i in.vcf -o out``."""
+    """``spark-submit run_job.py --annotation_tool vep --tool_cmd '...' -i in.vcf -o out``."""
     ap = argparse.ArgumentParser(prog="varframe")
     ap.add_argument("--annotation_tool", required=True, choices=sorted(PROFILES))
     ap.add_argument("--tool_cmd", required=True, help="command line of the tool, as one quoted string")
     ap.add_argument("-i", "--input_file", required=True)
     ap.add_argument("-o", "--output_file", required=True)
     ap.add_argument("--batch_size", type=int)
-    ap.add_argument("--partitions", type=int)
+    ap.add_argument("--partitions", type=int, help="tasks that run the tool")
+    ap.add_argument("--single", action="store_true", help="one output file; needs a file system that can join files")
     a = ap.parse_args(argv)
     from ..session import configure
 
     spark = configure(SparkSession.builder.appName("varframe").getOrCreate())
     job = Job(a.annotation_tool, tuple(shlex.split(a.tool_cmd)), a.input_file, a.output_file, a.batch_size,
               a.partitions)
-    write(run(spark, job), job.output)
-
+    write(run(spark, job), job.output, a.single)
 
-if __name__ == "__main__":
-    main()

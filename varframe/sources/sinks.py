@@ -1,16 +1,18 @@
 """Text sinks.
 
 Every writer is parallel: rows are range-partitioned on their order key and
-sorted inside each partition, so part files ``part-00000…`` concatenated in name
-order are the ordered file. ``single=True`` then joins the parts into one file
-with the file system's metadata-only ``concat`` where it has one (HDFS); no
-bytes go through the driver or a single task. Output is overwritten (D14).
+sorted inside each partition, so part files ``part-00000…`` concatenated in order of
+their numbers are the ordered file. ``single=True`` then joins the parts into one file
+with the file system's metadata-only ``concat`` (HDFS), or fails; no bytes go through
+the driver or a single task. Output is overwritten (D14).
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,25 +70,27 @@ def write_by_key(df: DataFrame, path: str, key: str, order: Sequence[str], value
 
 
 def concat_parts(spark, path: str) -> str:
-    """Join ``path/part-*`` into ``path/<name>`` by ``FileSystem.concat`` (HDFS: metadata only).
+    """Join ``path/part-*`` into its first part by ``FileSystem.concat`` (HDFS: metadata only); returns that file.
 
-    File systems without ``concat`` keep the ordered parts; reading the folder
-    (or the parts in name order) gives the same lines.
+    Empty parts are dropped first (``concat`` may refuse them) and parts are joined by
+    their number. A file system without ``concat`` is an error: ask for parts there.
     """
     jvm = spark._jvm
     conf = spark._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(conf)
-    statuses = [s for s in fs.listStatus(p) if s.getPath().getName().startswith("part-")]
-    statuses.sort(key=lambda s: s.getPath().getName())
-    if len(statuses) <= 1:
-        return path
-    target = statuses[0].getPath()
-    rest = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(statuses) - 1)
-    for i, s in enumerate(statuses[1:]):
-        rest[i] = s.getPath()
-    try:
-        fs.concat(target, rest)
-    except Exception:  # noqa: BLE001 - e.g. UnsupportedOperationException on local disks
-        return path
-    return path
+    parts = sorted((int(m[1]), s.getLen(), s.getPath()) for s in fs.listStatus(p)
+                   if (m := re.match(r"part-(\d+)", s.getPath().getName())))
+    full = [f for _, size, f in parts if size] or [f for _, _, f in parts[:1]]
+    for _, _, f in parts:
+        if f not in full:
+            fs.delete(f, False)
+    if len(full) > 1:
+        rest = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(full) - 1)
+        for i, f in enumerate(full[1:]):
+            rest[i] = f
+        try:
+            fs.concat(full[0], rest)
+        except UnsupportedOperationException as exc:
+            raise OSError(f"{path}: this file system can't join files; write parts (single=False)") from exc
+    return full[0].toString() if full else path

@@ -32,14 +32,18 @@ def scan_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 
 def parse_intervals(lines: DataFrame, value: str = "value") -> DataFrame:
-    """``chrom[:start[-end]]`` lines to ``chrom, start, end`` (A3); a bare chrom is the whole contig."""
+    """``chrom[:start[-end]]`` lines to ``chrom, start, end`` (A3); a bare chrom is the whole contig
+    (no start and end). A line of another form fails the query.
+    """
     pat = r"^([^:\s]+)(?::([0-9,]+)(?:-([0-9,]+))?)?\s*$"
     start = F.regexp_replace(F.regexp_extract(value, pat, 2), ",", "")
     end = F.regexp_replace(F.regexp_extract(value, pat, 3), ",", "")
     start_col = F.when(start != "", start).try_cast("bigint")
     end_col = F.coalesce(F.when(end != "", end).try_cast("bigint"), start_col)
+    chrom = F.regexp_extract(value, pat, 1)
+    bad = F.raise_error(F.concat(F.lit("not an interval: "), F.col(value)))
     return (
-        lines.withColumn("chrom", F.regexp_extract(value, pat, 1))
+        lines.withColumn("chrom", F.when(F.col(value).isNotNull() & (chrom == ""), bad.cast("string")).otherwise(chrom))
         .withColumn("start", start_col)
         .withColumn("end", end_col)
     )
