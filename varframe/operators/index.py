@@ -129,6 +129,17 @@ def split_index(
     return out.drop("_m", "_off")
 
 
+def bounded_index(df: DataFrame, order: Sequence[str], name: str = "idx") -> DataFrame:
+    """The 0-based rank of each row of a frame that is small by its nature (a file's header, a tool's columns).
+
+    One aggregate puts the rows in one sorted array; no range shuffle, count or copy. Not for data rows.
+    """
+    rows = F.array_sort(F.collect_list(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
+                                                F.struct(*df.columns).alias("_row"))))
+    return df.agg(rows.alias("_rows")).select(F.posexplode("_rows").alias("_at", "_x")).select(
+        "_x._row.*", F.col("_at").cast("bigint").alias(name))
+
+
 def index_rows(df: DataFrame, order: Sequence[str | Column], name: str = "idx") -> DataFrame:
     """``split_index`` for frames still in their scan partitions (they carry ``block``),
     ``dense_index`` on ``order`` otherwise."""

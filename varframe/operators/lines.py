@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .index import dense_index, index_rows
+from .index import bounded_index, dense_index
 
 N_FIXED_VCF_COLUMNS = 9
 
@@ -63,7 +63,7 @@ def header_for_batches(header: DataFrame, order: Sequence[str], n_batches: int,
     The header is indexed, then each line is repeated ``n_batches`` times with
     ``explode(sequence)`` - output size is exactly header x batches, no join.
     """
-    h = index_rows(header, order, name="line_in_batch")
+    h = bounded_index(header, order, name="line_in_batch")
     return h.select(
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(max(n_batches, 1) - 1).cast("bigint"))).alias("batch_id"),
         "line_in_batch",

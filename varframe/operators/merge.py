@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .index import dense_index, index_rows
+from .index import bounded_index, dense_index
 from .lines import drop_header_lines
 
 # Coordinate columns of a tool's table output, and the INFO lines
@@ -81,7 +81,7 @@ def info_declarations(columns: DataFrame, tool: str = TOOL) -> DataFrame:
         )).alias("t")
     ).select("t._k", "t.value")
     both = body.unionByName(tags)
-    return dense_index(both, ["_k"], name="decl_idx").select(F.col("decl_idx"), "value")
+    return bounded_index(both, ["_k"], name="decl_idx").select(F.col("decl_idx"), "value")
 
 
 def patch_header(header: DataFrame, order: list[str], inserted: DataFrame, inserted_order: list[str]) -> DataFrame:
@@ -89,11 +89,11 @@ def patch_header(header: DataFrame, order: list[str], inserted: DataFrame, inser
 
     Sections: 0 = ``##`` meta lines, 1 = inserted rows, 2 = the column line.
     """
-    h = index_rows(header, order, name="_k").select(
+    h = bounded_index(header, order, name="_k").select(
         F.when(F.col("value").startswith("##"), F.lit(0)).otherwise(F.lit(2)).alias("_section"), "_k", "value"
     )
-    ins = dense_index(inserted, inserted_order, name="_k").select(F.lit(1).alias("_section"), "_k", "value")
-    return dense_index(h.unionByName(ins), ["_section", "_k"], name="line_no").select("line_no", "value")
+    ins = bounded_index(inserted, inserted_order, name="_k").select(F.lit(1).alias("_section"), "_k", "value")
+    return bounded_index(h.unionByName(ins), ["_section", "_k"], name="line_no").select("line_no", "value")
 
 
 def _table_rows(parts: DataFrame) -> DataFrame:
@@ -116,7 +116,7 @@ def _vcf_rows(parts: DataFrame, header: DataFrame, header_order: list[str]) -> D
     suffixes = [r["suffix"] for r in parts.select("suffix").distinct().collect()]
     if not suffixes:
         return body
-    h = index_rows(header, header_order, name="_b").select(
+    h = bounded_index(header, header_order, name="_b").select(
         F.explode(F.array(*[F.lit(x) for x in suffixes])).alias("suffix"),
         F.lit(0).alias("_s"), F.lit(0).cast("bigint").alias("_a"), "_b", "value",
     )

@@ -489,7 +489,7 @@ def job_interval_batches_file(spark, d):
 
 def _write_read(spark, d, compression=None):
     lines = fx.vcf_lines(spark, d)
-    p = sinks.write_lines(lines, scratch_path(spark, "single"), ORDER, compression=compression, single=True)
+    p = sinks.write_lines(lines, scratch_path(spark, "single"), ORDER, compression=compression)
     return ix.split_index(text.scan_lines(spark, p), name="line_no").select("line_no", "value")
 
 

@@ -62,7 +62,7 @@ def _ordered_output(head: DataFrame, head_order, out: DataFrame, out_order, numb
     frame keeps the order key ``_s, _a, _b`` for the sink, which sorts on it anyway.
     """
     body = ln.drop_header_lines(out)
-    h = ix.index_rows(head, head_order, name="_a").select(
+    h = ix.bounded_index(head, head_order, name="_a").select(
         F.lit(0).alias("_s"), "_a", F.lit(0).cast("bigint").alias("_b"), "value")
     b = body.select(F.lit(1).alias("_s"), F.col(out_order[0]).cast("bigint").alias("_a"),
                     F.col(out_order[1]).cast("bigint").alias("_b"), "value")
