@@ -49,7 +49,7 @@ def parse(body: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) ->
     )
 
 
-def format_rows(rows: DataFrame, value: str = "value") -> DataFrame:
+def format_rows(rows: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Typed rows back to VCF lines (B3); ``qual_raw`` keeps the original QUAL text.
 
     A row without chrom, pos or ref fails the query: a line without them would be shifted.
@@ -64,7 +64,7 @@ def format_rows(rows: DataFrame, value: str = "value") -> DataFrame:
     ]
     line = F.concat_ws("\t", *fields)
     with_fmt = F.concat_ws("\t", line, F.array_join(F.col("format"), ":"), F.array_join(samples, "\t"))
-    return rows.select(F.when(F.col("format").isNull(), line).otherwise(with_fmt).alias(value))
+    return rows.select(*keep, F.when(F.col("format").isNull(), line).otherwise(with_fmt).alias(value))
 
 
 META_PATTERN = r"^##([A-Za-z_]+)=<(.*)>$"

@@ -429,6 +429,37 @@ def job_stream(spark, d):
     return jobs.stream(fx.vcf_lines(spark, d), ORDER, UPPER_WITH_HEADER)
 
 
+# declares one INFO field of its own and one that the input has
+DECLARING = ["sh", "-c", """echo '##INFO=<ID=EXT,Number=1,Type=String,Description="Added">'
+echo '##INFO=<ID=DP,Number=1,Type=Integer,Description="Depth">'; tr a-z A-Z"""]
+
+
+@query("job_stream_declared", """
+with n as (select max(line_no) as cut from ranked_lines where value like '#%')
+select line_no + case when line_no >= n.cut then 1 else 0 end as line_no,
+       case when value like '#%' then value else upper(value) end as value from ranked_lines, n
+union all select cut, '##INFO=<ID=EXT,Number=1,Type=String,Description="Added">' from n""")
+def job_stream_declared(spark, d):
+    """J2 with a tool that declares INFO fields: the new one is kept before the column line."""
+    return jobs.stream(fx.vcf_lines(spark, d), ORDER, DECLARING, declared=True)
+
+
+@query("job_native_annotate", """
+with n as (select max(line_no) as cut from ranked_lines where value like '#%'),
+b as (select line_no, string_split(value, chr(9)) as f from ranked_lines where value not like '#%'),
+ann as (
+  select line_no, string_agg(x, ',' order by x) as ann from (
+    select distinct line_no, concat(symbol, '|', biotype) as x
+    from b join genes g on b.f[1] = g.chrom and cast(b.f[2] as bigint) between g."start" and g."end") group by line_no)
+select line_no + case when line_no >= n.cut then 1 else 0 end as line_no, value from ranked_lines, n where value like '#%'
+union all select cut, '##INFO=<ID=ANN,Number=.,Type=String,Description="Overlapping genes: symbol|biotype">' from n
+union all select line_no + 1, array_to_string(list_concat(f[1:7], [f[8] || ';ANN=' || coalesce(ann, '.')], f[9:]), chr(9))
+from b left join ann using (line_no)""")
+def job_native_annotate(spark, d):
+    """VCF text to annotated VCF text: scan, parse, join, pack, declare, format."""
+    return jobs.native_annotate(fx.vcf_lines(spark, d), fx.genes(spark, d))
+
+
 _JOB_OUTPUTS_SQL = """
 with ann_cols as (select 0 as col_idx, 'Gene.refGene' as name),
 {decls}, {patched},

@@ -15,10 +15,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import annotate as an
 from ..operators import external as ex
 from ..operators import index as ix
 from ..operators import lines as ln
 from ..operators import merge as mg
+from ..operators import vcf
 from ..session import scratch_path
 from ..sources import sinks, text
 
@@ -55,13 +57,23 @@ OUTPUT_ORDER = ["_s", "_a", "_b"]
 HEADER_BYTES = 64 << 20
 
 
-def _ordered_output(head: DataFrame, head_order, out: DataFrame, out_order, numbered: bool = True) -> DataFrame:
+def declared_header(head: DataFrame, order, out: DataFrame) -> DataFrame:
+    """The header with the INFO fields a tool declares and the input doesn't, before the column line (D4): ``line_no, value``."""
+    own = out.where(F.col("value").startswith("##INFO=")).select("value").distinct()
+    return mg.patch_header(head, order, own.join(head.select("value"), "value", "left_anti"), ["value"])
+
+
+def _ordered_output(head: DataFrame, head_order, out: DataFrame, out_order, numbered: bool = True,
+                    declared: bool = False) -> DataFrame:
     """Input header, then the tool's non-header output in its order.
 
     ``numbered`` gives ``line_no, value`` (one more range shuffle); without it the
     frame keeps the order key ``_s, _a, _b`` for the sink, which sorts on it anyway.
+    ``declared`` adds the tool's own INFO declarations to the header.
     """
     body = ln.drop_header_lines(out)
+    if declared:
+        head, head_order = declared_header(head, head_order, out), ["line_no"]
     h = ix.bounded_index(head, head_order, name="_a").select(
         F.lit(0).alias("_s"), "_a", F.lit(0).cast("bigint").alias("_b"), "value")
     b = body.select(F.lit(1).alias("_s"), F.col(out_order[0]).cast("bigint").alias("_a"),
@@ -81,20 +93,20 @@ def header_lines(head: DataFrame, order, max_bytes: int = HEADER_BYTES) -> list[
 
 
 def line_batches(lines: DataFrame, order, cmd, batch_size: int = 20000, numbered: bool = True,
-                 partitions: int | None = None) -> DataFrame:
+                 partitions: int | None = None, declared: bool = False) -> DataFrame:
     """Batches of ``batch_size`` body lines, each with the header, one process per batch."""
     head, body = ln.split_header_body(lines)
     b = ix.batch(ix.index_rows(body, order), batch_size)
     out = ex.pipe_batches(b, cmd, partitions=partitions, prefix=header_lines(head, order))
     # written once: ordering the output reads it more than once, and each read would run the tool
-    return _ordered_output(head, order, materialize(out, "tool_output"), ["batch_id", "line_no"], numbered)
+    return _ordered_output(head, order, materialize(out, "tool_output"), ["batch_id", "line_no"], numbered, declared)
 
 
-def stream(lines: DataFrame, order, cmd, partitions: int | None = None, numbered: bool = True) -> DataFrame:
+def stream(lines: DataFrame, order, cmd, partitions: int | None = None, numbered: bool = True, declared: bool = False) -> DataFrame:
     """Headerless body lines through one process per range partition, order kept."""
     head, body = ln.split_header_body(lines)
     out = materialize(ex.pipe_partitions(body, cmd, order=order, partitions=partitions), "tool_output")
-    return _ordered_output(head, order, out, ["part", "line_no"], numbered)
+    return _ordered_output(head, order, out, ["part", "line_no"], numbered, declared)
 
 
 def outputs(lines: DataFrame, order, cmd, partitions: int | None = None) -> DataFrame:
@@ -128,6 +140,27 @@ def interval_batches(intervals: DataFrame, order, cmd, batch_size: int = 3, part
     return _batch_outputs(b.select("batch_id", "pos_in_batch", "value"), cmd, partitions)
 
 
+ANN = '##INFO=<ID=ANN,Number=.,Type=String,Description="Overlapping genes: {fields}">'
+
+
+def native_annotate(lines: DataFrame, genes: DataFrame, fields=("symbol", "biotype"), na: str = ".") -> DataFrame:
+    """VCF lines to VCF lines with the overlapping genes of every variant in INFO, declared in the header.
+
+    ``lines`` has ``line_no, value``; the result has the same columns, in file order. Only
+    places and genes are joined; the line itself meets its packed genes by ``line_no``.
+    """
+    head, body = ln.split_header_body(lines)
+    spark = lines.sparkSession
+    decl = spark.range(1).select(F.lit(ANN.format(fields="|".join(fields))).alias("value"))
+    patched = mg.patch_header(head, ["line_no"], decl, ["value"])
+    rows = vcf.parse(body, keep=("line_no",))
+    hits = an.annotate_overlap(rows.select("line_no", "chrom", "pos"), genes, list(fields), how="inner")
+    packed = an.pack(hits, ["line_no"], list(fields), "_ann")
+    info = F.map_concat("info", F.create_map(F.lit("ANN"), F.coalesce("_ann", F.lit(na))))
+    full = rows.join(packed, "line_no", "left").withColumn("info", info)
+    return patched.unionByName(vcf.format_rows(full, keep=("line_no",)).withColumn("line_no", F.col("line_no") + 1))
+
+
 def run(spark: SparkSession, job: Job) -> DataFrame:
     """Run ``job`` on its input path; returns the ordered output frame."""
     prof = PROFILES.get(job.tool)
@@ -140,9 +173,9 @@ def run(spark: SparkSession, job: Job) -> DataFrame:
     lines = ix.split_index(text.scan_lines(spark, job.input), name="line_no")
     mode = prof["mode"]
     if mode == "line_batches":
-        return line_batches(lines, ["line_no"], job.tool_cmd, size, numbered=False, partitions=job.partitions)
+        return line_batches(lines, ["line_no"], job.tool_cmd, size, numbered=False, partitions=job.partitions, declared=True)
     if mode == "stream":
-        return stream(lines, ["line_no"], job.tool_cmd, job.partitions, numbered=False)
+        return stream(lines, ["line_no"], job.tool_cmd, job.partitions, numbered=False, declared=True)
     if mode == "outputs":
         return outputs(lines, ["line_no"], job.tool_cmd, job.partitions)
     return sample_batches(lines, ["line_no"], job.tool_cmd, size, job.partitions)
