@@ -14,7 +14,6 @@ from collections.abc import Sequence
 
 from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from ..operators.index import ordered
 
