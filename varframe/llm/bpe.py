@@ -5,8 +5,8 @@ of priority, adds a gadget: wherever ``u`` and then ``v`` could be read, the arc
 to where ``v`` led, and the arc ``u`` is redirected to a copy of its target that no longer
 reads ``v``. What remains accepts, for each byte string, exactly the one sequence of tokens
 that the merges produce. All arcs of one label lead to one state, so a state is stored as
-its parent, the label taken away from it and the merge that did so; whether a state reads a
-label follows from these in a few steps, and answers are kept in a transition table.
+the label before it and the merge that made it, which say what it reads; answers are kept in
+a transition table.
 
 Encoding: texts are cut into words as the tokenizer's pre-tokenizer does (whole buffers at
 once), distinct words are run through the table, longest arcs first, and results are joined
@@ -25,6 +25,7 @@ are kept in ``doc``, whatever their names.
 from __future__ import annotations
 
 import json
+from array import array
 
 import numpy as np
 import regex
@@ -35,6 +36,8 @@ from .common import map_docs, ready, table
 from .words import RADIX, RADIX_INV, mix, powers
 
 ROOT = 0
+NO_ARC = -2
+PREFIX = 4  # bytes by which the lengths of possible arcs are looked up
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -51,7 +54,6 @@ class Automaton:
 
     def __init__(self, vocabulary: dict[bytes, int], merges: list[tuple[bytes, bytes]], specials: dict[str, int]):
         self.vocabulary = vocabulary
-        self.longest = max(map(len, vocabulary), default=1)
         size = max([*vocabulary.values(), *specials.values()], default=0) + 1
         self.label = [b""] * size
         for piece, i in vocabulary.items():
@@ -59,33 +61,46 @@ class Automaton:
         for piece, i in specials.items():
             self.label[i] = piece.encode()
         self.specials = specials
-        # per label: its merge's rank (bytes: -1) and left part; per state: parent, label taken away, rank of the gadget
-        self.rank, self.left, self.to = [-1] * size, [-1] * size, [ROOT] * size
-        self.parent, self.without, self.made = [ROOT], [-1], [-1]
+        # per label: its merge's rank (bytes: -1; NO_ARC: no merge led to it yet), left part, state after it, and that state when the label was new
+        self.rank = [-1 if len(x) == 1 else NO_ARC for x in self.label]
+        self.left, self.to, self.base = [-1] * size, [ROOT] * size, [ROOT] * size
+        # per state: the label whose arcs lead to it and the merge that made it; per label and label taken away after it: that merge
+        self.owner, self.made = [-1], [-1]
+        self.taken: dict[int, int] = {}
         self.reads: dict[int, bool] = {}
         for rank, (a, b) in enumerate(merges):
             self._gadget(rank, vocabulary[a], vocabulary[b], vocabulary[a + b])
-        self.reads.clear()
+        self.arcs = {p: i for p, i in vocabulary.items() if self.rank[i] != NO_ARC}
+        found: dict[bytes, set[int]] = {}
+        for piece in self.arcs:
+            found.setdefault(piece[:PREFIX], set()).add(len(piece))
+        self.sizes = {p: tuple(sorted(found[p] | {n for n in range(1, len(p)) if p[:n] in self.arcs}, reverse=True)) for p in found}
 
     def _gadget(self, rank: int, u: int, v: int, uv: int) -> None:
-        if self.rank[uv] >= 0 or not self._reads(self.to[u], v):
+        if self.rank[uv] >= 0 or NO_ARC in (self.rank[u], self.rank[v]) or not self._reads(self.to[u], v):
             return  # never read one after the other, so the merge never happens
-        self.rank[uv], self.left[uv], self.to[uv] = rank, u, self.to[v]
-        self.parent.append(self.to[u])
-        self.without.append(v)
+        self.rank[uv], self.left[uv], self.to[uv], self.base[uv] = rank, u, self.to[v], self.to[v]
+        # the copy reads what its original does, but for v: what it reads follows from owner and merge
+        self.owner.append(u)
         self.made.append(rank)
-        self.to[u] = len(self.parent) - 1
+        self.taken[u << 20 | v] = rank
+        self.to[u] = len(self.owner) - 1
 
     def _reads(self, state: int, label: int) -> bool:
-        while True:
-            if state == ROOT:
-                return True
-            if self.made[state] > self.rank[label]:  # the arc is older than the state: inherited, unless taken away
-                if self.without[state] == label:
+        """Whether a state has an arc: followed back through the copies and the merges that brought the arc."""
+        rank, taken = self.rank, self.taken
+        while state != ROOT:
+            u, upto = self.owner[state], self.made[state]
+            while True:
+                gone = taken.get(u << 20 | label)
+                if gone is not None and gone <= upto:
                     return False
-                state = self.parent[state]
-            else:  # the arc came with a merge: it is there if its left part is
+                if rank[label] <= rank[u]:  # the arc is no newer than u: inherited with u's first state
+                    break
+                upto = min(upto, rank[label])  # it came with a merge: there if its left part was
                 label = self.left[label]
+            state = self.base[u]
+        return True
 
     def transition(self, state: int, label: int) -> bool:
         key = state << 20 | label
@@ -96,35 +111,43 @@ class Automaton:
             known = self.reads[key] = self._reads(state, label)
         return known
 
+    def _sizes(self, prefix: bytes) -> tuple[int, ...]:
+        """Lengths of arcs that may begin with ``prefix`` (``PREFIX`` bytes, fewer at a word's end), longest first."""
+        known = self.sizes.get(prefix)
+        if known is None:
+            known = self.sizes[prefix] = tuple(n for n in range(len(prefix), 0, -1) if prefix[:n] in self.arcs)
+        return known
+
     def encode_word(self, word: bytes) -> list[int]:
-        whole = self.vocabulary.get(word)
-        if whole is not None and (self.rank[whole] >= 0 or len(word) == 1):
+        whole = self.arcs.get(word)
+        if whole is not None:
             return [whole]
-        n, longest, get, label, to = len(word), self.longest, self.vocabulary.get, self.label, self.to
+        n, arc, table, to = len(word), self.arcs.get, self.reads.get, self.to
         ids: list[int] = []
         dead: set[int] = set()
-        at, state, size = 0, ROOT, min(longest, n)
+        at, state, below = 0, ROOT, n + 1
         while at < n:
-            while size:
+            for size in self._sizes(word[at : at + PREFIX]):
                 end = at + size
-                if end not in dead:
-                    token = get(word[at:end])
-                    if token is not None and (size == 1 or self.rank[token] >= 0) and self.transition(state, token):
-                        break
-                size -= 1
-            if size:
-                ids.append(token)
-                at, state = end, to[token]
+                if size >= below or end > n or end in dead:
+                    continue
+                token = arc(word[at:end])
+                if token is None:
+                    continue
+                reads = table(state << 20 | token)
+                if reads is None:
+                    reads = self.transition(state, token)
+                if reads:
+                    ids.append(token)
+                    at, state, below = end, to[token], n + 1
+                    break
             else:  # no arc leads on: this offset is on no path
                 dead.add(at)
                 if not ids:
                     raise ValueError("the vocabulary lacks a byte of the text")
-                last = ids.pop()
-                at -= len(label[last])
+                below = len(self.label[ids.pop()])
+                at -= below
                 state = to[ids[-1]] if ids else ROOT
-                size = len(label[last]) - 1
-                continue
-            size = min(longest, n - at)
         return ids
 
     def decode(self, ids) -> bytes:
@@ -203,7 +226,7 @@ class Encoder:
 
     SEGMENT = 1 << 19
 
-    def __init__(self, automaton: Automaton, words: int = 400_000):
+    def __init__(self, automaton: Automaton, words: int = 600_000):
         self.automaton, self.limit = automaton, words
         self.classes = character_classes()
         self.up, self.down = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.uint64)
@@ -216,22 +239,13 @@ class Encoder:
 
     def _forget(self) -> None:
         self.known: dict[int, int] = {}
-        self.arena = np.empty(1 << 16, dtype=np.int32)
-        self.first = np.empty(1 << 16, dtype=np.int64)
-        self.count = np.empty(1 << 16, dtype=np.int64)
-        self.used = 0
+        self.arena, self.first, self.count = array("i"), array("q"), array("q")
 
     def _learn(self, key: int, ids: list[int]) -> int:
-        i = len(self.known)
-        while self.used + len(ids) > len(self.arena):
-            self.arena = np.concatenate([self.arena, np.empty_like(self.arena)])
-        if i == len(self.first):
-            self.first = np.concatenate([self.first, np.empty_like(self.first)])
-            self.count = np.concatenate([self.count, np.empty_like(self.count)])
-        self.arena[self.used : self.used + len(ids)] = ids
-        self.first[i], self.count[i] = self.used, len(ids)
-        self.used += len(ids)
-        self.known[key] = i
+        i = self.known[key] = len(self.first)
+        self.first.append(len(self.arena))
+        self.count.append(len(ids))
+        self.arena.extend(ids)
         return i
 
     def encode(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
@@ -316,9 +330,10 @@ class Encoder:
                 i = self._learn(key, ids)
             index[j] = i
         picked = index[which]
-        counts = self.count[picked]
+        counts = np.frombuffer(self.count, dtype=np.int64)[picked]
+        first = np.frombuffer(self.first, dtype=np.int64)[picked]
         edge = np.cumsum(counts)
-        ids = self.arena[np.repeat(self.first[picked] - edge + counts, counts) + np.arange(edge[-1])]
+        ids = np.frombuffer(self.arena, dtype=np.int32)[np.repeat(first - edge + counts, counts) + np.arange(edge[-1])]
         if self.decode_bytes(ids) != joined.encode("utf-8", "surrogatepass"):
             # two words with one 64-bit key: without the shared table
             ids_of = [[self.automaton.specials[joined[a:b]]] if a in specials else word(joined[a:b].encode("utf-8", "surrogatepass"))
