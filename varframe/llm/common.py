@@ -52,9 +52,6 @@ def ascii_lower(col: Column) -> Column:
         F.translate(col, UPPER, LOWER))
 
 
-Query = Callable[[SparkSession, str], DataFrame]
-
-
 def packed(df: DataFrame) -> DataFrame:
     """All columns of ``df`` as one struct column ``doc``, so that results beside it clash with no name."""
     return df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("doc"))
