@@ -188,9 +188,10 @@ def unsettled_pairs(spark, tried: DataFrame, comp: DataFrame, texts: DataFrame,
     placed = staged(spark, tried.join(of("a", "comp_a"), "a", "left").join(of("b", "comp_b"), "b", "left").select(
         F.col("b").alias("pivot"), F.col("a").alias("node"), "n_a", "both", "bits", F.coalesce("comp_a", "a").alias("comp"),
         (F.coalesce("comp_a", "a") != F.coalesce("comp_b", "b")).alias("open")), "near-placed")
-    groups = placed.groupBy("pivot").agg(F.count("*").alias("members"), F.count_if("open").alias("open_members")).filter(
-        "members > 1 and open_members > 0")
-    group = staged(spark, placed.join(groups.select("pivot"), "pivot"), "near-unsettled")
+    # written first: beside an aggregate a hot pivot's rows couldn't be split
+    groups = staged(spark, placed.groupBy("pivot").agg(F.count("*").alias("members"), F.count_if("open").alias("open_members"))
+                    .filter("members > 1 and open_members > 0").select("pivot"), "near-groups")
+    group = staged(spark, placed.join(groups, "pivot"), "near-unsettled")
     own = texts.join(group.select("node").union(group.select("pivot")).distinct(), "node", "left_semi")
     # s: elements that some other node has; a node needs a share of ``similarity`` of them to have a partner
     possible = staged(spark, group.join(_unique_weights(own), "node", "left").withColumn(
