@@ -224,6 +224,26 @@ def test_random_strings_are_added(spark):
     assert secrets.scan(df, None).filter(F.size("spans") > 1).count() == 0
 
 
+def test_keys_are_found_when_only_hex_is_known(spark, sf):
+    rng = random.Random(12)
+    key = lambda n, of=secrets.ALPHABET[:62]: "".join(rng.choice(of) for _ in range(n))
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("text")
+    makers = [lambda: key(40), lambda: "ghp_" + key(36), lambda: "some/ordinary/folder/with/understandable/names/" + key(32),
+              lambda: key(43, secrets.ALPHABET[:62] + "+/") + "=", lambda: key(32, secrets.ALPHABET[26:52] + "234567")]
+    planted = [make() for make in makers for _ in range(100)]
+    beside = [f"AKIA{key(16, secrets.ALPHABET[:26])}/{key(40)}" for _ in range(50)]
+    plain = ["an_ordinary_identifier_that_follows_something", "/with/understandable/names/of/folders/in/between", "UnderstandableNamesOfSomethingOrdinary"]
+    once = None
+    for copies in (1, 30):  # more training data must not lose keys
+        ratios = secrets.train(docs.crossJoin(spark.range(copies).select(F.col("id").alias("doc_id"))))
+        found = [secrets.all_spans(f"see {t} here", ratios) == [(4, 3, 4 + len(t))] for t in planted]
+        assert all(sum(found[i : i + 100]) >= 80 for i in range(0, 500, 100))
+        assert once is None or sum(found) >= once - 5
+        once = sum(found)
+        assert sum(secrets.all_spans(t, ratios) == [(0, 1, 20), (20, 3, 61)] for t in beside) >= 45
+        assert not any(secrets.all_spans(t, ratios) for t in plain)
+
+
 # ------------------------------------------------------------------ chat
 
 def test_chat_round_trip(spark):

@@ -1,11 +1,17 @@
 """Secret scanning: fixed patterns, and strings that look random to character Markov models.
 
 Base spans come from three patterns (assignments of a password, token or key; access key
-ids; long hex strings). The method adds spans of kind ``random``: maximal runs of key
-characters, of ``MIN_RUN`` or more, in which two first-order character models disagree. One
-model is trained on the values of base spans (random strings), the other on ordinary words
-and identifiers; a run is reported if the mean log-likelihood ratio per character exceeds
-``MIN_RATIO`` nats and no base span covers any of it.
+ids; long hex strings). The method adds spans of kind ``random``: runs of key characters, of
+``MIN_RUN`` or more, in which two first-order character models disagree. Runs are maximal
+outside base spans: what a base span leaves of a run is judged by itself. One model is
+trained on the values of base spans (random strings), the other on ordinary words and
+identifiers; a run is reported, as a whole, if in any window of it, of ``MIN_RUN``
+transitions or more, the mean log-likelihood ratio exceeds ``MIN_RATIO`` nats.
+
+The values of base spans may use few of the key characters (hex), so the random model is
+mostly uniform over all of them (``UNIFORM``); a small share of the ordinary model
+(``ODD``) is uniform too. Both shares are fixed, which bounds the ratio of every pair, so it
+doesn't drift as the training data grows. Characters no word has end a word.
 
 Training reads at most about ``SAMPLE`` documents, chosen by a hash of their id; scanning
 reads every text whole.
@@ -31,6 +37,7 @@ SAMPLE = 20_000
 MIN_RUN = 20
 MIN_RATIO = 1.0
 PRIOR = 100.0
+UNIFORM, ODD = 0.9, 0.05
 MIN_VALUE, MIN_ACCESS, MIN_HEX = 12, 18, 16
 
 
@@ -54,6 +61,7 @@ STATES = len(ALPHABET) + 1  # the last one: any other character, and the border
 _CODE = np.full(256, STATES - 1, dtype=np.int64)
 for _i, _c in enumerate(ALPHABET):
     _CODE[ord(_c)] = _i
+_NOT_IN_WORDS = [ALPHABET.index(c) for c in "+/.="]
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -107,8 +115,15 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
         counts[r["label"], r["pair"]] = r["n"]
     if not counts.sum(axis=1).all():
         return None
-    logs = [np.log(transition_chances(x.reshape(STATES, STATES))) for x in counts]
-    return (logs[1] - logs[0]).reshape(-1)
+    return pair_ratios(counts)
+
+
+def pair_ratios(counts: np.ndarray) -> np.ndarray:
+    """Log-likelihood ratios of all pairs of states, from the counts in words and in random strings."""
+    words, values = (transition_chances(x.reshape(STATES, STATES)) for x in counts)
+    words[_NOT_IN_WORDS, :] = words[-1, :]
+    words[:, _NOT_IN_WORDS] = words[:, -1:]
+    return (np.log((1 - UNIFORM) * values + UNIFORM / STATES) - np.log((1 - ODD) * words + ODD / STATES)).reshape(-1)
 
 
 def transition_chances(counts: np.ndarray) -> np.ndarray:
@@ -118,20 +133,35 @@ def transition_chances(counts: np.ndarray) -> np.ndarray:
     return (counts + PRIOR * overall) / (counts.sum(axis=1, keepdims=True) + PRIOR)
 
 
+def looks_random(run: str, ratios: np.ndarray) -> bool:
+    """Whether the mean ratio of some window of at least ``MIN_RUN`` transitions exceeds ``MIN_RATIO``."""
+    gain = np.concatenate([[0.0], np.cumsum(ratios[transitions(run)] - MIN_RATIO)])
+    return bool((gain[MIN_RUN:] > np.minimum.accumulate(gain[:-MIN_RUN])).any())
+
+
 def all_spans(text: str, ratios: np.ndarray | None) -> list[tuple[int, int, int]]:
     """(start, kind, end) of base and added spans, sorted."""
     base = base_spans(text)
     if ratios is None:
         return base
+    cover: list = []  # of base spans, joined where they overlap
+    for s, _, e in base:
+        if cover and s < cover[-1][1]:
+            cover[-1][1] = max(e, cover[-1][1])
+        else:
+            cover.append([s, e])
     added, i = [], 0
     for m in RUN.finditer(text):
         a, b = m.span()
-        while i < len(base) and base[i][2] <= a:
+        while i < len(cover) and cover[i][1] <= a:
             i += 1
-        if any(s < b and a < e for s, _, e in base[max(0, i - 3) : i + 8]):
-            continue
-        if ratios[transitions(m.group())].mean() > MIN_RATIO:
-            added.append((a, 3, b))
+        j = i
+        while a < b:
+            s, e = cover[j] if j < len(cover) else (b, b)
+            rest = min(s, b)
+            if rest - a >= MIN_RUN and looks_random(text[a:rest], ratios):
+                added.append((a, 3, rest))
+            a, j = e, j + 1
     return sorted(base + added)
 
 
