@@ -29,6 +29,20 @@ def test_query_matches_sql(spark, con, sf, name):
     assert ok, detail
 
 
+def test_op1_and_op2_return_every_row(spark, tmp_path):
+    import duckdb
+
+    rows = [(None, "one two three four five six")] * 3 + [(7, "é " * 40000)] * 2 + [(8, "é " * 40000), (1, "a b c d e f g")] + [(2, "a b c d e f g")] * 2500
+    rows += [(3, None), (3, None), (4, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = duckdb.sql(registry.SQL["op1_exact_dedup"].replace("from documents", f"from '{tmp_path}/documents.parquet/*.parquet'")).fetchall()
+    got = registry.QUERIES["op1_exact_dedup"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    near = registry.QUERIES["op2_near_dedup"](spark, str(tmp_path)).collect()
+    size = {None: (None, 3), 7: (8, 3), 8: (8, 3), 1: (2, 2501), 2: (2, 2501), 3: (3, 1), 4: (4, 1)}
+    assert sorted(((r.doc_id, r.class_id, r.class_size) for r in near), key=str) == sorted(((i, *size[i]) for i, _ in rows), key=str)
+
+
 def test_op2(spark, con, sf):
     rows = con.sql("select doc_id, text from documents").fetchall()
     got = registry.QUERIES["op2_near_dedup"](spark, sf).collect()

@@ -38,6 +38,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+COPIES_A_TASK = 1024
+
+
+def every_copy(df: DataFrame) -> DataFrame:
+    """Each row as often as its column ``copies`` says; a row's copies are made by many tasks."""
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    least = F.lit(COPIES_A_TASK).cast("long")
+    blocks = df.filter("copies > 1").withColumn("_block", F.explode(F.expr(
+        f"sequence(0L, (copies - 1) div {COPIES_A_TASK})"))).repartition(parts)
+    made = blocks.withColumn("_copy", F.explode(F.sequence(
+        F.lit(1).cast("long"), F.least(least, F.col("copies") - F.col("_block") * least)))).drop("_block", "_copy")
+    return df.filter("copies = 1").unionByName(made).drop("copies")
+
+
 def text_or_empty(col: str) -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 

@@ -9,7 +9,8 @@ representative, one chunk row against one chunk row, so no task holds a whole gr
 two whole documents; a group may hold any share of all rows.
 
 Defined results: a null text counts as empty; rows that repeat the same (id, text) are one
-document and give one row; ids may be null (smallest) or shared by different texts; of
+document and give one row, or with ``every_row``, as in the query, a row each, counted in
+``group_size``; the query's ``kept`` is null for a null id; ids may be null (smallest) or shared by different texts; of
 equal texts the largest id stays; a text that only shares the fingerprint is taken out of
 the group and grouped by its own digest; an empty table gives an empty result; other
 columns of the input are ignored, whatever their names.
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import ready, staged, table, text_or_empty
+from .common import every_copy, ready, staged, table, text_or_empty
 
 CHUNK_BYTES = 1 << 16
 PRIMES = (2147483647, 2147483629)
@@ -83,37 +84,38 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES,
                  bases: tuple[int, int] = BASES, primes: tuple[int, int] = PRIMES) -> DataFrame:
-    """(id, sha, n_bytes, h1, h2): the fingerprint of every document."""
+    """(id, sha, n_bytes, h1, h2, copies): the fingerprint of every document; a row may stand for several copies."""
     texts = _texts(docs, id_col, text_col)
     hashed = _hasher(chunk_bytes, bases, primes)
     small = texts.filter(F.col("n_bytes") <= chunk_bytes).withColumn("f", hashed("bin")).select(
-        "id", "sha", "n_bytes", "f.h1", "f.h2")
+        "id", "sha", "n_bytes", "f.h1", "f.h2", F.lit(1).cast("long").alias("copies"))
     # chunks of huge documents go to different tasks and come back as four numbers each
     parts = _chunks(texts.filter(F.col("n_bytes") > chunk_bytes), chunk_bytes).repartition("id", "sha", "chunk_no")
     p1, p2 = primes
     huge = parts.withColumn("f", hashed("part")).groupBy("id", "sha", "n_bytes").agg(
-        F.array_sort(F.collect_set(F.struct("chunk_no", "f.h1", "f.h2", "f.s1", "f.s2"))).alias("fs")).select(
-        "id", "sha", "n_bytes",
+        F.array_sort(F.collect_set(F.struct("chunk_no", "f.h1", "f.h2", "f.s1", "f.s2"))).alias("fs"),
+        F.count("*").alias("chunks")).select(
+        "id", "sha", "n_bytes", F.expr("chunks div size(fs)").alias("copies"),
         F.expr(f"""aggregate(fs, named_struct('h1', 0L, 'h2', 0L), (a, x) -> named_struct(
             'h1', (a.h1 * x.s1 + x.h1) % {p1}, 'h2', (a.h2 * x.s2 + x.h2) % {p2}))""").alias("f")).select(
-        "id", "sha", "n_bytes", "f.h1", "f.h2")
+        "id", "sha", "n_bytes", "f.h1", "f.h2", "copies")
     return small.unionByName(huge)
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES,
-                 bases: tuple[int, int] = BASES, primes: tuple[int, int] = PRIMES) -> DataFrame:
-    """One row per document: id, sha, keep_id, group_size, kept (see the module's text)."""
+                 bases: tuple[int, int] = BASES, primes: tuple[int, int] = PRIMES, every_row: bool = False) -> DataFrame:
+    """One row per document, or per row: id, sha, keep_id, group_size, kept (see the module's text)."""
     spark = ready(docs.sparkSession)
     fp = ["h1", "h2", "n_bytes"]
-    prints = staged(spark, fingerprints(docs, id_col, text_col, chunk_bytes, bases, primes).dropDuplicates(["id", "sha"]),
-                    "exact-prints")
+    prints = staged(spark, fingerprints(docs, id_col, text_col, chunk_bytes, bases, primes).groupBy("id", "sha", *fp).agg(
+        F.sum("copies").alias("copies") if every_row else F.lit(1).cast("long").alias("copies")), "exact-prints")
     # partial aggregation: a hot fingerprint sends one row per task
     multi = staged(spark, prints.groupBy(*fp).agg(F.max(F.struct("id", "sha")).alias("rep"), F.count("*").alias("n"))
                    .filter("n > 1").select(*fp, F.col("rep.id").alias("rep_id"), F.col("rep.sha").alias("rep_sha")),
                    "exact-multi")
     joined = staged(spark, prints.join(multi, fp, "left"), "exact-joined")
     single = joined.filter("rep_sha is null").select(
-        "id", "sha", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
+        "id", "sha", F.col("id").alias("keep_id"), F.col("copies").alias("group_size"), "copies")
     members = joined.filter("rep_sha is not null")
 
     same_row = lambda a, b: a["id"].eqNullSafe(b["id"]) & (a["sha"] == b["sha"])
@@ -131,12 +133,17 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "differs").select(F.col("id").alias("d_id"), F.col("sha").alias("d_sha"))
     checked = staged(spark, members.join(
         differs, members["id"].eqNullSafe(differs["d_id"]) & (members["sha"] == differs["d_sha"]), "left").select(
-        "id", "sha", *fp, F.when(F.col("d_sha").isNull(), F.col("rep_sha")).otherwise(F.col("sha")).alias("cls")),
+        "id", "sha", "copies", *fp, F.when(F.col("d_sha").isNull(), F.col("rep_sha")).otherwise(F.col("sha")).alias("cls")),
         "exact-checked")
-    sizes = staged(spark, checked.groupBy(*fp, "cls").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size")),
+    sizes = staged(spark, checked.groupBy(*fp, "cls").agg(F.max("id").alias("keep_id"), F.sum("copies").alias("group_size")),
                    "exact-sizes")
-    grouped = checked.join(sizes, [*fp, "cls"]).select("id", "sha", "keep_id", "group_size")
-    return single.unionByName(grouped).withColumn("kept", F.col("id").eqNullSafe(F.col("keep_id")))
+    grouped = checked.join(sizes, [*fp, "cls"]).select("id", "sha", "keep_id", "group_size", "copies")
+    out = single.unionByName(grouped)
+    if prints.filter("copies > 1").limit(1).count():
+        out = every_copy(staged(spark, out, "exact-groups"))
+    else:
+        out = out.drop("copies")
+    return out.withColumn("kept", F.col("id").eqNullSafe(F.col("keep_id")))
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -151,8 +158,8 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 def op1_exact_dedup(spark, sf_dir):
     """Every document with its class of identical texts; the largest doc_id of a class stays."""
     ready(spark)
-    return exact_groups(table(spark, sf_dir, "documents")).select(
-        F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("sha").alias("text_sha256"))
+    return exact_groups(table(spark, sf_dir, "documents"), every_row=True).select(
+        F.col("id").alias("doc_id"), "keep_id", "group_size", (F.col("id") == F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256"))
 
 
 OP1_SQL = """

@@ -24,7 +24,8 @@ its comparisons grow with the product of a pivot's unsettled and possible nodes.
 
 Defined results: documents without words (null, empty, only signs) are alone; a text of
 fewer than five words is one shingle; rows that repeat an (id, text) are one document and
-give one row; the class id is the largest id of the class (null ids are smallest); an empty
+give one row, or with ``every_row``, as in the query, a row each, counted in ``class_size``
+if the text has words; the class id is the largest id of the class (null ids are smallest); an empty
 table gives an empty result; other input columns are ignored.
 """
 
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import dartminhash as dart
-from .common import map_docs, ready, staged, table, text_or_empty, text_slices
+from .common import every_copy, map_docs, ready, staged, table, text_or_empty, text_slices
 
 BANDS, ROWS = 24, 5
 BLOCK = 1024
@@ -226,24 +227,26 @@ def unsettled_pairs(spark, tried: DataFrame, comp: DataFrame, texts: DataFrame,
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
-                 bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """One row per document: id, tkey, class_id, class_size, kept (the row that stays of its class)."""
+                 bands: int = BANDS, rows: int = ROWS, every_row: bool = False) -> DataFrame:
+    """One row per document, or per row: id, tkey, class_id, class_size, kept (the row that stays of its class)."""
     spark = ready(docs.sparkSession)
     made = staged(spark, sketches(docs, id_col, text_col, bands, rows), "near-sketches")
     nodes = staged(spark, made.filter("n > 0").groupBy("node").agg(F.max(F.struct("id", "tkey", "n", "keys")).alias("r")).select(
         "node", F.struct("r.id", "r.tkey").alias("rep"), "r.n", "r.keys"), "near-nodes")
     edges = links(_identified(docs, id_col, text_col), nodes, similarity)
     comp = components(spark, edges)
-    rows_ = made.select("id", "tkey", "n", "node").dropDuplicates(["id", "tkey"])
+    rows_ = made.groupBy("id", "tkey", "n", "node").agg((F.count("*") if every_row else F.lit(1).cast("long")).alias("copies"))
     placed = staged(spark, rows_.join(comp, "node", "left").select(
-        "id", "tkey", "n", F.when(F.col("n") > 0, F.coalesce("comp", "node")).alias("comp")), "near-placed")
-    classes = staged(spark, placed.filter("n > 0").groupBy("comp").agg(F.max(F.struct("id", "tkey")).alias("top"), F.count("*").alias("class_size"))
+        "id", "tkey", "n", "copies", F.when(F.col("n") > 0, F.coalesce("comp", "node")).alias("comp")), "near-placed")
+    classes = staged(spark, placed.filter("n > 0").groupBy("comp").agg(F.max(F.struct("id", "tkey")).alias("top"), F.sum("copies").alias("class_size"))
                      .filter("class_size > 1"), "near-classes")
-    out = placed.join(classes, "comp", "left")
-    return out.select(
-        "id", "tkey", F.when(F.col("top").isNull(), F.col("id")).otherwise(F.col("top.id")).alias("class_id"),
+    out = placed.join(classes, "comp", "left").select(
+        "id", "tkey", "copies", F.when(F.col("top").isNull(), F.col("id")).otherwise(F.col("top.id")).alias("class_id"),
         F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"),
         F.coalesce(F.struct("id", "tkey") == F.col("top"), F.col("top").isNull()).alias("kept"))
+    if placed.filter("copies > 1").limit(1).count():
+        return every_copy(staged(spark, out, "near-rows"))
+    return out.drop("copies")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -257,5 +260,5 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def op2_near_dedup(spark, sf_dir):
     """Every document with its class of near-duplicates."""
     ready(spark)
-    return near_classes(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+    return near_classes(table(spark, sf_dir, "documents").select("doc_id", "text"), every_row=True).select(
         F.col("id").alias("doc_id"), "class_id", "class_size", "kept")
