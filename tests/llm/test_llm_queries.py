@@ -19,7 +19,7 @@ def con(sf):
 
 
 def test_registered():
-    assert {n.split("_")[0] for n in registry.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in registry.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in entry.queries() and set(registry.SQL) <= set(entry.oracle_sql())
 
 
