@@ -1,6 +1,7 @@
 """Annotation as Spark joins.
 
-The annotation tables are caller-supplied DataFrames. Lookup tables are reduced
+The annotation tables are caller-supplied DataFrames. The interval operators take a row as
+its one base ``pos``, or, with ``end`` (see ``vcf.with_end``), as all bases it covers. Lookup tables are reduced
 to one row per key before the join so a match never multiplies rows; several
 frequency sources are merged into one keyed table so the variants shuffle once.
 """
@@ -12,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .overlap import BIN, point_overlap
+from .overlap import BIN, point_overlap, span_overlap
 
 VARIANT_KEY = ["chrom", "pos", "ref", "alt"]
 NA = "."
@@ -57,76 +58,77 @@ def annotate_max_af(rows: DataFrame, sources: Mapping[str, DataFrame], af: str =
     return out.withColumn(name, F.greatest(*[F.col(s) for s in sources]) if len(sources) > 1 else F.col(list(sources)[0]))
 
 
+def _overlap(rows: DataFrame, table: DataFrame, how: str, end: str | None, distance: int = 0, bin_size: int = BIN,
+             prefix: str = "") -> DataFrame:
+    if end is None:
+        return point_overlap(rows, table, how=how, distance=distance, bin_size=bin_size, prefix=prefix)
+    return span_overlap(rows, table, how=how, span=("pos", end), distance=distance, prefix=prefix)
+
+
 def annotate_overlap(rows: DataFrame, table: DataFrame, cols: Sequence[str], how: str = "left",
-                     distance: int = 0, bin_size: int = BIN) -> DataFrame:
-    """Region / gene annotation (B10, B11): interval columns ``cols`` for every containing interval."""
+                     distance: int = 0, bin_size: int = BIN, end: str | None = None) -> DataFrame:
+    """Region / gene annotation (B10, B11): interval columns ``cols`` for every overlapping interval."""
     iv = table.select("chrom", "start", "end", *cols)
-    out = point_overlap(rows, iv, how=how, distance=distance, bin_size=bin_size, prefix="_a_")
+    out = _overlap(rows, iv, how, end, distance, bin_size, "_a_")
     for c in cols:
         out = out.withColumnRenamed("_a_" + c, c)
     return out.drop("_a_start", "_a_end")
 
 
 def annotate_distance(rows: DataFrame, genes: DataFrame, cols: Sequence[str] = ("gene",), distance: int = 5000,
-                      bin_size: int = BIN) -> DataFrame:
+                      bin_size: int = BIN, end: str | None = None) -> DataFrame:
     """Genes within ``distance`` bases (B12): ``relation`` upstream / within / downstream and ``distance``."""
-    iv = genes.select("chrom", F.col("start").alias("g_start"), F.col("end").alias("g_end"), *cols)
-    out = point_overlap(rows, iv, how="inner", start="g_start", end="g_end", distance=distance, bin_size=bin_size)
-    pos, gs, ge = F.col("pos"), F.col("g_start"), F.col("g_end")
+    iv = genes.select("chrom", "start", "end", *cols)
+    out = _overlap(rows, iv, "inner", end, distance, bin_size, "_g_")
+    for c in cols:
+        out = out.withColumnRenamed("_g_" + c, c)
+    pos, last, gs, ge = F.col("pos"), F.col(end or "pos"), F.col("_g_start"), F.col("_g_end")
     return (
-        out.withColumn("relation", F.when(pos < gs, "upstream").when(pos > ge, "downstream").otherwise("within"))
-        .withColumn("distance", F.when(pos < gs, gs - pos).when(pos > ge, pos - ge).otherwise(F.lit(0).cast("bigint")))
-        .drop("g_start", "g_end")
+        out.withColumn("relation", F.when(last < gs, "upstream").when(pos > ge, "downstream").otherwise("within"))
+        .withColumn("distance", F.when(last < gs, gs - last).when(pos > ge, pos - ge).otherwise(F.lit(0).cast("bigint")))
+        .drop("_g_start", "_g_end")
     )
 
 
-def _flanks(points: DataFrame, genes: DataFrame, bin_size: int) -> DataFrame:
-    """For distinct ``(chrom, pos)``: the largest gene end < pos and the smallest gene start > pos.
+def _flanks(places: DataFrame, genes: DataFrame, bin_size: int) -> DataFrame:
+    """For distinct ``(_chrom, _last)``: the largest end of the genes that start there or before, and the next start.
 
-    Positions, gene ends and gene starts are one event table. Two windows over
-    ``(chrom, bin)`` (at most 3 x bin width distinct rows each; one exchange,
-    two sorts) answer inside a bin; the per-bin maxima / minima of one
-    chromosome (one row per occupied bin, bounded by chromosome length / bin)
-    carry the answer across bins with a forward and a backward running window.
+    Places and gene starts are one event table, exchanged once by ``(chrom, bin)``: a bin holds at
+    most two events per base. The largest end and first start of each bin carry the answer
+    across bins by running aggregates over the occupied bins of a chromosome (bounded by
+    its length / bin width).
     """
-    b = lambda c: F.expr(f"{c} div {bin_size}")
-    ev = (
-        points.select("chrom", F.col("pos").alias("key"), F.lit(0).alias("kind"))
-        .unionByName(genes.select("chrom", F.col("end").alias("key"), F.lit(1).alias("kind")).distinct())
-        .unionByName(genes.select("chrom", F.col("start").alias("key"), F.lit(2).alias("kind")).distinct())
-        .withColumn("_bin", b("key"))
-    )
-    end_v = F.when(F.col("kind") == 1, F.col("key"))
-    start_v = F.when(F.col("kind") == 2, F.col("key"))
-    # a gene end equal to pos overlaps, as does a start equal to pos: points sort before them
-    w_up = Window.partitionBy("chrom", "_bin").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, -1)
-    w_down = Window.partitionBy("chrom", "_bin").orderBy(F.col("key").desc(), "kind").rowsBetween(
-        Window.unboundedPreceding, -1)
-    local = (
-        ev.withColumn("_up", F.max(end_v).over(w_up)).withColumn("_down", F.min(start_v).over(w_down))
-        .where(F.col("kind") == 0)
-    )
-    bins = ev.groupBy("chrom", "_bin").agg(F.max(end_v).alias("_bmax"), F.min(start_v).alias("_bmin"))
-    w_fwd = Window.partitionBy("chrom").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    w_bwd = Window.partitionBy("chrom").orderBy("_bin").rowsBetween(1, Window.unboundedFollowing)
-    carry = bins.select("chrom", "_bin", F.max("_bmax").over(w_fwd).alias("_cup"),
-                        F.min("_bmin").over(w_bwd).alias("_cdown"))
-    return local.join(carry, ["chrom", "_bin"]).select(
-        "chrom", F.col("key").alias("pos"),
-        F.greatest("_up", "_cup").alias("up_end"), F.least("_down", "_cdown").alias("down_start"),
-    )
-
-
-def annotate_flank(rows: DataFrame, genes: DataFrame, bin_size: int = BIN) -> DataFrame:
+    starts = genes.where(F.col("start") <= F.col("end")).groupBy(F.col("chrom").alias("_chrom"), F.col("start").alias("key")).agg(
+        F.max("end").alias("reach"))
+    ev = starts.select("_chrom", "key", F.lit(0).alias("kind"), "reach").unionByName(
+        places.select("_chrom", F.col("_last").alias("key"), F.lit(1).alias("kind"), F.lit(None).cast("bigint").alias("reach"))
+    ).withColumn("_bin", F.expr(f"key div {bin_size}"))
+    start = F.when(F.col("kind") == 0, F.col("key"))
+    # a gene that starts at a place counts as before it; backwards, as after the places it is before
+    before = Window.partitionBy("_chrom", "_bin").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy("_chrom", "_bin").orderBy(F.desc("key"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1)
+    local = ev.withColumn("_reach", F.max("reach").over(before)).withColumn("_next", F.min(start).over(after)).where("kind = 1")
+    bins = ev.groupBy("_chrom", "_bin").agg(F.max("reach").alias("_r"), F.min(start).alias("_s"))
+    forward = Window.partitionBy("_chrom").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    back = Window.partitionBy("_chrom").orderBy(F.desc("_bin")).rowsBetween(Window.unboundedPreceding, -1)
+    carry = bins.select("_chrom", "_bin", F.max("_r").over(forward).alias("_fr"), F.min("_s").over(back).alias("_fs"))
+    return local.join(carry, ["_chrom", "_bin"]).select(
+        "_chrom", F.col("key").alias("_last"), F.greatest("_reach", "_fr").alias("up_end"), F.least("_next", "_fs").alias("down_start"))
+
+
+def annotate_flank(rows: DataFrame, genes: DataFrame, bin_size: int = BIN, end: str | None = None) -> DataFrame:
     """Nearest gene end upstream and gene start downstream for rows no gene overlaps.
 
-    Adds ``up_end`` (largest gene end < pos) and ``down_start`` (smallest gene
-    start > pos) on the same chromosome; NULL when there is none. Computed once
-    per distinct position, then joined back.
+    Adds ``up_end`` (largest gene end before the row) and ``down_start`` (smallest gene start
+    after it) on the same chromosome; NULL when there is none. A row is free of genes if and
+    only if every gene that starts at or before its last base ends before its first, so
+    the largest such end tells both whether the row is free and what lies upstream: one look-up
+    per distinct last base, then one join back.
     """
-    free = point_overlap(rows, genes.select("chrom", "start", "end"), how="left_anti", bin_size=bin_size)
-    pts = free.select("chrom", "pos").distinct()
-    return free.join(_flanks(pts, genes, bin_size), ["chrom", "pos"], "left")
+    place = [F.col("chrom").alias("_chrom"), F.col(end or "pos").cast("bigint").alias("_last")]
+    found = _flanks(rows.select(*place).where("_chrom is not null and _last is not null").distinct(), genes, bin_size)
+    joined = rows.select("*", *place).join(found, ["_chrom", "_last"], "left").drop("_chrom", "_last")
+    return joined.where(F.coalesce(F.col("up_end") < F.col("pos"), F.lit(True)))
 
 
 def pick(rows: DataFrame, by: Sequence[str], order: Sequence[Column | str], k: int = 1,
@@ -147,11 +149,16 @@ def pack(rows: DataFrame, key: Sequence[str], fields: Sequence[str], name: str =
     return rows.groupBy(*key).agg(F.array_join(F.sort_array(F.collect_set(entry)), ",").alias(name))
 
 
-def restrict(rows: DataFrame, intervals: DataFrame, bin_size: int = BIN) -> DataFrame:
-    """Rows inside any interval of a list (B16): a binned semi join.
+def restrict(rows: DataFrame, intervals: DataFrame, bin_size: int = BIN, end: str | None = None) -> DataFrame:
+    """Rows inside any interval of a list (B16), with ``end``: rows that share a base with one.
 
-    An interval without a start is its whole contig: those need no bins, only the name.
+    An interval without a start is its whole contig: those need no bins, only the name; with ``end``
+    they are intervals of the coarsest bin.
     """
+    if end is not None:
+        whole = intervals.select("chrom", F.coalesce("start", F.lit(0)).alias("start"), F.when(
+            F.col("start").isNull(), F.lit(1 << 61)).otherwise(F.col("end")).alias("end"))
+        return span_overlap(rows, whole, "left_semi", span=("pos", end))
     bounded = intervals.where(F.col("start").isNotNull()).select("chrom", "start", "end")
     whole = intervals.where(F.col("start").isNull()).select(F.col("chrom").alias("_whole")).distinct()
     marked = rows.join(whole, F.col("chrom") == F.col("_whole"), "left")

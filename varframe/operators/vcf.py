@@ -19,31 +19,33 @@ def parse(body: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) ->
 
     ``chrom string, pos bigint, id string, ref string, alt array<string>,
     qual double, qual_raw string, filter string, info map<string,string>,
-    format array<string>, samples array<string>``; ``.`` is NULL. Blank lines are
-    dropped; a line of fewer than eight columns fails the query.
+    format array<string>, samples array<string>``; ``.`` is NULL. Blank lines and lines
+    that start with ``#`` are dropped; another line of fewer than eight columns fails the query.
 
     Sample columns stay text until a field is asked for (``sample_field``,
     ``sample_maps``, ``samples_long``): a line can carry many thousands of
     samples and most queries read one key of a few of them.
     """
-    body = body.where(F.trim(F.col(value)) != "")
+    a_row = (F.trim(F.col(value)) != "") & ~F.col(value).startswith("#")
+    body = body.where(a_row)
     cut = F.split(F.col(value), "\t")
     short = F.raise_error(F.concat(F.lit("a VCF line has fewer than 8 columns: "), F.substring(value, 1, 80)))
-    rows = body.select(*keep, F.when(F.size(cut) < 8, short.cast("array<string>")).otherwise(cut).alias("_f"))
+    # the row test is repeated because the planner may evaluate this before the filter
+    rows = body.select(*keep, F.when(a_row & (F.size(cut) < 8), short.cast("array<string>")).otherwise(cut).alias("_f"))
     f = F.col("_f")
-    rows = rows.withColumn("_fmt", F.when(F.size(f) >= 9, F.split(F.element_at(f, 9), ":")))
+    rows = rows.withColumn("_fmt", F.when(F.size(f) >= 9, F.split(F.get(f, F.lit(8)), ":")))
     samples = F.when(F.size(f) > 9, F.slice(f, 10, F.size(f) - 9))
     return rows.select(
         *keep,
-        F.element_at(f, 1).alias("chrom"),
-        F.element_at(f, 2).try_cast("bigint").alias("pos"),
-        fv.missing_to_null(F.element_at(f, 3)).alias("id"),
-        F.element_at(f, 4).alias("ref"),
-        F.when(F.element_at(f, 5) != fv.MISSING, F.split(F.element_at(f, 5), ",")).alias("alt"),
-        F.element_at(f, 6).try_cast("double").alias("qual"),
-        F.element_at(f, 6).alias("qual_raw"),
-        fv.missing_to_null(F.element_at(f, 7)).alias("filter"),
-        fv.info_map(F.element_at(f, 8)).alias("info"),
+        F.get(f, F.lit(0)).alias("chrom"),
+        F.get(f, F.lit(1)).try_cast("bigint").alias("pos"),
+        fv.missing_to_null(F.get(f, F.lit(2))).alias("id"),
+        F.get(f, F.lit(3)).alias("ref"),
+        F.when(F.get(f, F.lit(4)) != fv.MISSING, F.split(F.get(f, F.lit(4)), ",")).alias("alt"),
+        F.get(f, F.lit(5)).try_cast("double").alias("qual"),
+        F.get(f, F.lit(5)).alias("qual_raw"),
+        fv.missing_to_null(F.get(f, F.lit(6))).alias("filter"),
+        fv.info_map(F.get(f, F.lit(7))).alias("info"),
         F.col("_fmt").alias("format"),
         samples.alias("samples"),
     )
@@ -89,6 +91,17 @@ def meta(header: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
+DECLARED = ("INFO", "FORMAT", "FILTER")
+
+
+def declarations(lines: DataFrame, value: str = "value", kinds: tuple[str, ...] = DECLARED) -> DataFrame:
+    """Header lines that declare a field: ``kind, id, value``."""
+    v = F.col(value)
+    found = lines.where(v.startswith("##")).select(
+        F.regexp_extract(v, META_PATTERN, 1).alias("kind"), F.regexp_extract(v, r"[<,]ID=([^,>]+)", 1).alias("id"), v.alias("value"))
+    return found.where(F.col("kind").isin(*kinds) & (F.col("id") != ""))
+
+
 def sample_maps(rows: DataFrame) -> DataFrame:
     """Replace the sample texts by ``map<string,string>`` keyed by FORMAT (all fields of all samples)."""
     return rows.withColumn("samples", F.transform("samples", lambda s: fv.sample_map(F.col("format"), s)))
@@ -102,6 +115,19 @@ def explode_alleles(rows: DataFrame, alt: str = "alt") -> DataFrame:
     )
 
 
+def with_end(rows: DataFrame, name: str = "end", pos: str = "pos", ref: str = "ref", alt: str = "alt", info: str | None = None) -> DataFrame:
+    """Add ``name``, the last base a row covers: that of its reference allele.
+
+    With ``info`` (the INFO map), a row with a symbolic allele ends at its ``END`` if that is later.
+    """
+    last = F.col(pos) + F.length(F.col(ref)) - 1
+    if info is not None:
+        several = rows.schema[alt].dataType.typeName() == "array"
+        symbolic = F.exists(F.col(alt), fv.is_symbolic) if several else fv.is_symbolic(F.col(alt))
+        last = F.greatest(last, F.when(F.coalesce(symbolic, F.lit(False)), F.try_element_at(info, F.lit("END")).try_cast("bigint")))
+    return rows.withColumn(name, last)
+
+
 def minimal(rows: DataFrame, pos: str = "pos", ref: str = "ref", alt: str = "alt") -> DataFrame:
     """Add ``min_pos, min_ref, min_alt``: shared suffix then prefix trimmed."""
     return fv.trim_common(rows, ref, alt, pos)

@@ -450,7 +450,8 @@ b as (select line_no, string_split(value, chr(9)) as f from ranked_lines where v
 ann as (
   select line_no, string_agg(x, ',' order by x) as ann from (
     select distinct line_no, concat(symbol, '|', biotype) as x
-    from b join genes g on b.f[1] = g.chrom and cast(b.f[2] as bigint) between g."start" and g."end") group by line_no)
+    from b join genes g on b.f[1] = g.chrom and cast(b.f[2] as bigint) <= g."end"
+      and cast(b.f[2] as bigint) + length(b.f[4]) - 1 >= g."start") group by line_no)
 select line_no + case when line_no >= n.cut then 1 else 0 end as line_no, value from ranked_lines, n where value like '#%'
 union all select cut, '##INFO=<ID=ANN,Number=.,Type=String,Description="Overlapping genes: symbol|biotype">' from n
 union all select line_no + 1, array_to_string(list_concat(f[1:7], [f[8] || ';ANN=' || coalesce(ann, '.')], f[9:]), chr(9))
@@ -839,3 +840,57 @@ def prioritise_topk(spark, d):
     hits = an.annotate_overlap(_v(spark, d), fx.genes(spark, d), ["gene"], how="inner")
     top = an.pick(hits, ["gene"], [F.col("qual").desc(), "pos", "ref", "alt"], k=3, rank="rank")
     return top.select("gene", F.col("rank").cast("bigint").alias("rank"), "chrom", "pos", "ref", "alt", "qual")
+
+
+# ---------------------------------------------------------------- variants with length
+
+_S = 'select chrom, pos, "last", ref, alt, qual from spans'
+_OVER = 's.chrom = {t}.chrom and s.pos <= {t}."end" and {t}."start" <= s."last"'
+
+
+def _s(spark, d):
+    return fx.spans(spark, d).select("chrom", "pos", "last", "ref", "alt", "qual")
+
+
+@query("overlap_spans", f"""
+select s.chrom, s.pos, s."last", s.ref, s.alt, s.qual, g.gene
+from ({_S}) s left join genes g on {_OVER.format(t='g')}""")
+def overlap_spans(spark, d):
+    """Genes that share a base with a variant, from one base to whole regions."""
+    return an.annotate_overlap(_s(spark, d), fx.genes(spark, d), ["gene"], end="last")
+
+
+@query("overlap_bands_spans", f"""
+select b.band, count(*) as n_variants, min(s.pos) as first_pos, max(s."last") as last_base
+from ({_S}) s join bands b on {_OVER.format(t='b')} group by b.band""")
+def overlap_bands_spans(spark, d):
+    """Variants that reach into each band, intervals of several bin levels on both sides."""
+    hits = an.annotate_overlap(_s(spark, d), fx.bands(spark, d), ["band"], how="inner", end="last")
+    return hits.groupBy("band").agg(F.count(F.lit(1)).alias("n_variants"), F.min("pos").alias("first_pos"), F.max("last").alias("last_base"))
+
+
+@query("distance_spans", f"""
+select s.chrom, s.pos, s."last", s.ref, s.alt, s.qual, g.gene,
+       case when s."last" < g."start" then 'upstream' when s.pos > g."end" then 'downstream' else 'within' end as relation,
+       case when s."last" < g."start" then g."start" - s."last" when s.pos > g."end" then s.pos - g."end" else 0 end as distance
+from ({_S}) s join genes g on s.chrom = g.chrom and s.pos <= g."end" + 5000 and greatest(g."start" - 5000, 0) <= s."last" """)
+def distance_spans(spark, d):
+    """Genes within 5000 bases of any base of a variant."""
+    return an.annotate_distance(_s(spark, d), fx.genes(spark, d), distance=5000, end="last")
+
+
+@query("flank_spans", f"""
+select s.chrom, s.pos, s."last", s.ref, s.alt, s.qual,
+       (select max(g."end") from genes g where g.chrom = s.chrom and g."end" < s.pos) as up_end,
+       (select min(g."start") from genes g where g.chrom = s.chrom and g."start" > s."last") as down_start
+from ({_S}) s where not exists (select 1 from genes g where {_OVER.format(t='g')})""")
+def flank_spans(spark, d):
+    """Nearest gene on each side of variants that share no base with a gene."""
+    return an.annotate_flank(_s(spark, d), fx.genes(spark, d), end="last")
+
+
+@query("restrict_spans", f"""
+select * from ({_S}) s where exists (select 1 from bands b where {_OVER.format(t='b')})""")
+def restrict_spans(spark, d):
+    """Variants that share a base with an interval list."""
+    return an.restrict(_s(spark, d), fx.bands(spark, d), end="last")

@@ -58,6 +58,13 @@ def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Variants with the last base they cover: the reference allele's, or far beyond for the lowest quantities."""
+    far = F.expr("cast(floor(qual) as bigint) * dp * dp * dp * dp")
+    last = F.col("pos") + F.length("ref") - 1 + F.when(F.col("dp") <= 4, far).otherwise(F.lit(0))
+    return variants(spark, sf_dir).withColumn("last", last)
+
+
 VARIANT_ORDER = ["chrom", "pos", "ref", "alt", "qual", "rf", "tax", "dp"]
 
 

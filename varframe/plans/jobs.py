@@ -58,9 +58,16 @@ HEADER_BYTES = 64 << 20
 
 
 def declared_header(head: DataFrame, order, out: DataFrame) -> DataFrame:
-    """The header with the INFO fields a tool declares and the input doesn't, before the column line (D4): ``line_no, value``."""
-    own = out.where(F.col("value").startswith("##INFO=")).select("value").distinct()
-    return mg.patch_header(head, order, own.join(head.select("value"), "value", "left_anti"), ["value"])
+    """The header with the INFO, FORMAT and FILTER fields that a tool declares and the input doesn't,
+    before the column line (D4): ``line_no, value``.
+
+    A field is its kind and ID. A tool that prints a declaration of the input again, changed or
+    not, adds nothing: the input's stands, as its values were written under it. Of several
+    declarations of a new field the smallest text is taken.
+    """
+    new = vcf.declarations(out).groupBy("kind", "id").agg(F.min("value").alias("value"))
+    new = new.join(vcf.declarations(head).select("kind", "id"), ["kind", "id"], "left_anti")
+    return mg.patch_header(head, order, new, ["kind", "id"])
 
 
 def _ordered_output(head: DataFrame, head_order, out: DataFrame, out_order, numbered: bool = True,
@@ -69,7 +76,7 @@ def _ordered_output(head: DataFrame, head_order, out: DataFrame, out_order, numb
 
     ``numbered`` gives ``line_no, value`` (one more range shuffle); without it the
     frame keeps the order key ``_s, _a, _b`` for the sink, which sorts on it anyway.
-    ``declared`` adds the tool's own INFO declarations to the header.
+    ``declared`` adds the fields that only the tool declares to the header.
     """
     body = ln.drop_header_lines(out)
     if declared:
@@ -140,25 +147,33 @@ def interval_batches(intervals: DataFrame, order, cmd, batch_size: int = 3, part
     return _batch_outputs(b.select("batch_id", "pos_in_batch", "value"), cmd, partitions)
 
 
-ANN = '##INFO=<ID=ANN,Number=.,Type=String,Description="Overlapping genes: {fields}">'
+ANN = '##INFO=<ID={name},Number=.,Type=String,Description="Overlapping genes: {fields}">'
 
 
-def native_annotate(lines: DataFrame, genes: DataFrame, fields=("symbol", "biotype"), na: str = ".") -> DataFrame:
-    """VCF lines to VCF lines with the overlapping genes of every variant in INFO, declared in the header.
+def native_annotate(lines: DataFrame, genes: DataFrame, fields=("symbol", "biotype"), na: str = ".", name: str = "ANN") -> DataFrame:
+    """VCF lines to VCF lines with the genes that overlap a variant's bases in INFO, declared in the header.
 
     ``lines`` has ``line_no, value``; the result has the same columns, in file order. Only
-    places and genes are joined; the line itself meets its packed genes by ``line_no``.
+    places and genes are joined; the line itself meets its packed genes by ``line_no``, and
+    everything in it but the INFO entry ``name`` stays as it was, byte by byte. An input that has
+    the entry already gets new values under the new declaration.
     """
     head, body = ln.split_header_body(lines)
     spark = lines.sparkSession
-    decl = spark.range(1).select(F.lit(ANN.format(fields="|".join(fields))).alias("value"))
-    patched = mg.patch_header(head, ["line_no"], decl, ["value"])
-    rows = vcf.parse(body, keep=("line_no",))
-    hits = an.annotate_overlap(rows.select("line_no", "chrom", "pos"), genes, list(fields), how="inner")
+    decl = spark.range(1).select(F.lit(ANN.format(name=name, fields="|".join(fields))).alias("value"))
+    own = F.col("value").startswith(f"##INFO=<ID={name},")
+    patched = mg.patch_header(head.where(~own), ["line_no"], decl, ["value"])
+    shift = head.agg(F.lit(1) - F.count(F.when(own, 1))).scalar()
+    rows = vcf.with_end(vcf.parse(body, keep=("line_no",)), "_last", info="info")
+    hits = an.annotate_overlap(rows.select("line_no", "chrom", "pos", "_last"), genes, list(fields), how="inner", end="_last")
     packed = an.pack(hits, ["line_no"], list(fields), "_ann")
-    info = F.map_concat("info", F.create_map(F.lit("ANN"), F.coalesce("_ann", F.lit(na))))
-    full = rows.join(packed, "line_no", "left").withColumn("info", info)
-    return patched.unionByName(vcf.format_rows(full, keep=("line_no",)).withColumn("line_no", F.col("line_no") + 1))
+    cut = F.split("value", "\t")
+    kept = F.trim(F.regexp_replace(F.get(cut, F.lit(7)), f"(^|;){name}=[^;]*", ""), F.lit(";"))
+    entry = F.concat(F.lit(f"{name}="), F.coalesce("_ann", F.lit(na)))
+    info = F.when(kept.isin("", "."), entry).otherwise(F.concat_ws(";", kept, entry))
+    line = F.concat_ws("\t", F.slice(cut, 1, 7), info, F.slice(cut, 9, F.greatest(F.size(cut) - 8, F.lit(0))))
+    full = body.where(F.trim("value") != "").join(packed, "line_no", "left")
+    return patched.unionByName(full.select((F.col("line_no") + shift).alias("line_no"), line.alias("value")))
 
 
 def run(spark: SparkSession, job: Job) -> DataFrame:

@@ -20,6 +20,9 @@ select concat('chr', cast(l_partkey % 22 + 1 as varchar)) as chrom,
        l_extendedprice as qual, l_returnflag as rf, l_tax as tax,
        cast(floor(l_quantity) as int) as dp
 from lineitem""",
+    "spans": """
+select *, pos + length(ref) - 1 + case when dp <= 4 then cast(floor(qual) as bigint) * dp * dp * dp * dp else 0 end as "last"
+from variants""",
     "genes": """
 select p_partkey as gene, concat('chr', cast(p_partkey % 22 + 1 as varchar)) as chrom,
        p_partkey * 750 as "start", p_partkey * 750 + p_size * 100 as "end",
