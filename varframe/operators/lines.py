@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .index import bounded_index, dense_index
 
 N_FIXED_VCF_COLUMNS = 9
+HEADER_BYTES = 64 << 20
 
 
 def is_header(value: str = "value") -> Column:
@@ -37,6 +38,14 @@ def last_line(df: DataFrame, order: Sequence[str], value: str = "value") -> Data
     return df.agg(F.max_by(F.col(value), F.struct(*order)).alias(value))
 
 
+def header_lines(head: DataFrame, order, max_bytes: int = HEADER_BYTES) -> list[str]:
+    """The header in order, in the driver; its size is checked before it leaves the cluster."""
+    size = head.agg(F.sum(F.octet_length("value") + 1)).first()[0] or 0
+    if size > max_bytes:
+        raise ValueError(f"a header of {size} bytes is over the limit of {max_bytes}")
+    return [r["value"] for r in head.orderBy(*order).select("value").collect()]
+
+
 def sample_names(header: DataFrame, order: Sequence[str], value: str = "value") -> DataFrame:
     """Sample names of the ``#CHROM`` line (last header line): fields 10.. with 0-based index."""
     cols = F.split(F.col(value), "\t")

@@ -894,3 +894,96 @@ select * from ({_S}) s where exists (select 1 from bands b where {_OVER.format(t
 def restrict_spans(spark, d):
     """Variants that share a base with an interval list."""
     return an.restrict(_s(spark, d), fx.bands(spark, d), end="last")
+
+
+# ---------------------------------------------------------------- fields typed by the header, alleles split
+
+from ..operators import typed  # noqa: E402
+
+
+def _multi_rows(spark, d):
+    """Rows of the multi-allelic VCF file, with its schema read from the file's own header."""
+    head, body = ln.split_header_body(text.scan_lines(spark, fx.multi_path(spark, d)))
+    rows = vcf.parse(body).withColumn("k", F.col("id").cast("bigint"))
+    return rows, typed.header_schema(head, text.LINE_KEY)
+
+
+def _ints(count, value):
+    """A comma-joined list of ``value`` of i, as SQL."""
+    return f"array_to_string(list_transform(range(cast({count} as bigint)), lambda i: cast({value} as varchar)), ',')"
+
+
+@query("vcf_typed_info", f"""
+select k, {_ints('case when k % 13 = 0 and n > 1 then n - 1 else n end', '(k + i) % 7')} as ac,
+       list_sum(list_transform(range(n), lambda i: cast((k + i) % 100 as double) / 100)) as af_sum,
+       cast(list_sum(list_transform(range(n + 1), lambda i: (k * 3 + i) % 50)) as bigint) as ad_sum,
+       case when k % 11 <> 0 then cast(k % 200 as int) end as dp, {_ints('(n + 1) * (n + 2) // 2', '(k + 7 * i) % 99')} as pli,
+       k % 3 = 0 as db, case when k % 4 = 0 then cast(k % 5 as varchar) end as und
+from multi""")
+def vcf_typed_info(spark, d):
+    """INFO typed by the header's declarations, undeclared keys as text (B1, B2)."""
+    rows, schema = _multi_rows(spark, d)
+    t = typed.typed_info(rows, schema)
+    i = "info_typed."
+    total = lambda c, kind: F.aggregate(c, F.lit(0).cast(kind), lambda a, x: a + x)
+    return t.select("k", F.array_join(F.transform(i + "AC", lambda x: x.cast("string")), ",").alias("ac"),
+                    total(i + "AF", "double").alias("af_sum"), total(i + "AD", "bigint").alias("ad_sum"), F.col(i + "DP").alias("dp"),
+                    F.array_join(F.transform(i + "PLI", lambda x: x.cast("string")), ",").alias("pli"), F.col(i + "DB").alias("db"),
+                    F.try_element_at("info_rest", F.lit("UND")).alias("und"))
+
+
+@query("vcf_typed_samples", f"""
+select k, cast(j as int) as sample_idx,
+       replace(array_to_string(list_transform(range(p), lambda t: cast((k + j + t) % (n + 1) as varchar)), '/'), '/', case when k % 2 = 0 then '|' else '/' end) as gt,
+       case when not (j = 2 and k % 6 = 0) then {_ints('n + 1', '(k + j + i) % 60')} end as ad,
+       case when not (j = 2 and k % 6 = 0) then cast(list_sum(list_transform(range(cast(g as bigint)), lambda i: (k + j + i) % 90)) as bigint) end as pl_sum
+from copies""")
+def vcf_typed_samples(spark, d):
+    """Samples typed by the header's declarations, one row per sample for comparison (B1)."""
+    rows, schema = _multi_rows(spark, d)
+    t = typed.typed_samples(rows, schema, keep=["k"])
+    s = "sample_typed."
+    return t.select("k", "sample_idx", F.col(s + "GT").alias("gt"), F.array_join(F.transform(s + "AD", lambda x: x.cast("string")), ",").alias("ad"),
+                    F.aggregate(s + "PL", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("pl_sum"))
+
+
+@query("vcf_violations", """
+select 'INFO' as kind, 'DP' as id, 'type' as problem, count(*) as n from multi where k % 11 = 0 having count(*) > 0
+union all select 'INFO', 'AC', 'number', count(*) from multi where k % 13 = 0 and n > 1 having count(*) > 0
+union all select 'INFO', 'UND', 'undeclared', count(*) from multi where k % 4 = 0 having count(*) > 0
+union all select 'FORMAT', 'XX', 'undeclared', count(*) from copies where not (j = 2 and k % 6 = 0) having count(*) > 0""")
+def vcf_violations(spark, d):
+    """Values that don't fit their declaration, counted (B2)."""
+    rows, schema = _multi_rows(spark, d)
+    found = typed.typed_info(rows, schema).select("violations").unionByName(
+        typed.typed_samples(rows, schema, keep=[]).select("violations"))
+    return typed.violation_counts(found)
+
+
+# places of the genotypes of alleles 0 and a, by the number of chromosome copies
+_PLACES = """case p when 1 then [0, a] when 2 then [0, a * (a + 1) // 2, a + a * (a + 1) // 2]
+  else [0, a * (a + 1) * (a + 2) // 6, a * (a + 1) // 2 + a * (a + 1) * (a + 2) // 6,
+        a + a * (a + 1) // 2 + a * (a + 1) * (a + 2) // 6] end"""
+
+
+@query("allele_split", f"""
+with s as (
+  select *, ['C', 'G', 'T', 'AT'][a] as alt, {_PLACES} as places from (select *, unnest(range(1, n + 1)) as a from copies)),
+w as (
+  select *, [0, a * (a + 1) // 2, a + a * (a + 1) // 2] as two, concat_ws(':', replace(array_to_string(list_transform(range(p), lambda t: case
+      when (k + j + t) % (n + 1) = 0 then '0' when n = 1 or (k + j + t) % (n + 1) = a then '1' else '.' end), '/'), '/', case when k % 2 = 0 then '|' else '/' end),
+    case when not (j = 2 and k % 6 = 0) then concat_ws(':', concat((k + j) % 60, ',', (k + j + a) % 60),
+      array_to_string(list_transform(places, lambda i: cast((k + j + i) % 90 as varchar)), ','), concat('u', j)) end) as sample
+  from s)
+select k, cast(a as int) as allele_num, any_value(alt) as alt, string_agg(sample, ' ' order by j) as samples,
+       any_value(concat('AC=', case when k % 13 = 0 and n > 1 then {_ints('n - 1', '(k + i) % 7')} else cast((k + a - 1) % 7 as varchar) end,
+         ';AF=0.', lpad(cast((k + a - 1) % 100 as varchar), 2, '0'), ';AD=', (k * 3) % 50, ',', (k * 3 + a) % 50,
+         ';DP=', case when k % 11 = 0 then 'x' else cast(k % 200 as varchar) end,
+         ';PLI=', array_to_string(list_transform(two, lambda i: cast((k + 7 * i) % 99 as varchar)), ','),
+         case when k % 3 = 0 then ';DB' else '' end, case when k % 4 = 0 then concat(';UND=', k % 5) else '' end)) as info
+from w group by rid, k, n, a""")
+def allele_split(spark, d):
+    """One row per alternative allele with its own A, R and G values and genotypes."""
+    rows, schema = _multi_rows(spark, d)
+    return typed.split_alleles(rows, schema).select("k", "allele_num", F.array_join("alt", ",").alias("alt"),
+                                                    fv.info_text(F.col("info")).alias("info"), F.array_join("samples", " ").alias("samples"))

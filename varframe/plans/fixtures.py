@@ -181,6 +181,61 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return meta.unionByName(column_line).unionByName(body)
 
 
+# header of the multi-allelic fixture; UND and XX are used without a declaration
+MULTI_HEADER = [
+    "##fileformat=VCFv4.2",
+    '##INFO=<ID=AC,Number=A,Type=Integer,Description="Allele count">',
+    '##INFO=<ID=AF,Number=A,Type=Float,Description="Allele frequency">',
+    '##INFO=<ID=AD,Number=R,Type=Integer,Description="Depth per allele">',
+    '##INFO=<ID=DP,Number=1,Type=Integer,Description="Depth, of all alleles">',
+    '##INFO=<ID=PLI,Number=G,Type=Integer,Description="Likelihoods">',
+    '##INFO=<ID=DB,Number=0,Type=Flag,Description="Known">',
+    '##FORMAT=<ID=GT,Number=1,Type=String,Description="Genotype">',
+    '##FORMAT=<ID=AD,Number=R,Type=Integer,Description="Depth per allele">',
+    '##FORMAT=<ID=PL,Number=G,Type=Integer,Description="Likelihoods">',
+    "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tP0\tP1\tP2",
+]
+MULTI_ALTS = ["C", "G", "T", "AT"]
+
+
+def _multi_body(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Body lines with one to four alternative alleles and samples of one to three chromosome copies.
+
+    ``k`` is the row's number (its keys and place in an order); some rows break their declarations:
+    k % 11 = 0 has a DP that is no number, k % 13 = 0 lacks an AC value, k % 4 = 0 has an undeclared key.
+    """
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_partkey", "l_orderkey", "l_linenumber", F.expr("l_orderkey * 1000000 + l_linenumber * 100000 + l_partkey").alias("k"),
+        F.expr("cast(1 + (l_orderkey + l_linenumber) % 4 as int)").alias("n"))
+    each = lambda count, value: f"array_join(transform(sequence(0, {count} - 1), i -> cast({value} as string)), ',')"
+    counts = lambda j: f"element_at(array(n + 1, (n + 1) * (n + 2) div 2, (n + 1) * (n + 2) * (n + 3) div 6), cast((k + {j}) % 3 as int) + 1)"
+    sample = lambda j: f"""concat_ws(':', array_join(transform(sequence(0, cast((k + {j}) % 3 as int)), t ->
+        cast((k + {j} + t) % (n + 1) as string)), if(k % 2 = 0, '|', '/')), if({j} = 2 and k % 6 = 0, null, concat_ws(':',
+        {each('n + 1', f'(k + {j} + i) % 60')}, {each(counts(j), f'(k + {j} + i) % 90')}, 'u{j}')))"""
+    info = f"""concat_ws(';', concat('AC=', {each('if(k % 13 = 0 and n > 1, n - 1, n)', '(k + i) % 7')}),
+        concat('AF=', array_join(transform(sequence(0, n - 1), i -> concat('0.', lpad(cast((k + i) % 100 as string), 2, '0'))), ',')),
+        concat('AD=', {each('n + 1', '(k * 3 + i) % 50')}), concat('DP=', if(k % 11 = 0, 'x', cast(k % 200 as string))),
+        concat('PLI=', {each('(n + 1) * (n + 2) div 2', '(k + 7 * i) % 99')}),
+        if(k % 3 = 0, 'DB', null), if(k % 4 = 0, concat('UND=', cast(k % 5 as string)), null))"""
+    alts = F.array_join(F.slice(F.array(*[F.lit(a) for a in MULTI_ALTS]), 1, F.col("n")), ",")
+    return li.select("k", F.concat_ws(
+        TAB, _chrom(F.col("l_partkey")), F.expr("cast(l_orderkey * 100 + l_linenumber * 7 as string)"), F.col("k").cast("string"), F.lit("A"), alts,
+        F.lit("."), F.lit("PASS"), F.expr(info), F.lit("GT:AD:PL:XX"), *[F.expr(sample(j)) for j in range(3)]).alias("value"))
+
+
+def multi_path(spark: SparkSession, sf_dir: str) -> str:
+    """The multi-allelic fixture written once per session as a VCF text file in the shared folder."""
+    from ..session import scratch_path
+    from ..sources.sinks import write_lines
+
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir) + "#multi")
+    if key not in _VCF_FILES:
+        head = spark.createDataFrame(list(enumerate(MULTI_HEADER)), "k long, value string").withColumn("section", F.lit(0))
+        both = head.unionByName(_multi_body(spark, sf_dir).withColumn("section", F.lit(1)))
+        _VCF_FILES[key] = write_lines(both, scratch_path(spark, "multi"), ["section", "k", "value"])
+    return _VCF_FILES[key]
+
+
 LINE_ORDER = ["section", "seq", "value"]
 
 _VCF_FILES: dict[tuple[str, str], str] = {}

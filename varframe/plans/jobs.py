@@ -54,7 +54,6 @@ PROFILES = {
 
 
 OUTPUT_ORDER = ["_s", "_a", "_b"]
-HEADER_BYTES = 64 << 20
 
 
 def declared_header(head: DataFrame, order, out: DataFrame) -> DataFrame:
@@ -91,20 +90,12 @@ def _ordered_output(head: DataFrame, head_order, out: DataFrame, out_order, numb
     return ix.dense_index(both, OUTPUT_ORDER, name="line_no").select("line_no", "value")
 
 
-def header_lines(head: DataFrame, order, max_bytes: int = HEADER_BYTES) -> list[str]:
-    """The header in order, for the processes; its size is checked before it leaves the cluster."""
-    size = head.agg(F.sum(F.octet_length("value") + 1)).first()[0] or 0
-    if size > max_bytes:
-        raise ValueError(f"a header of {size} bytes is over the limit of {max_bytes}")
-    return [r["value"] for r in head.orderBy(*order).select("value").collect()]
-
-
 def line_batches(lines: DataFrame, order, cmd, batch_size: int = 20000, numbered: bool = True,
                  partitions: int | None = None, declared: bool = False) -> DataFrame:
     """Batches of ``batch_size`` body lines, each with the header, one process per batch."""
     head, body = ln.split_header_body(lines)
     b = ix.batch(ix.index_rows(body, order), batch_size)
-    out = ex.pipe_batches(b, cmd, partitions=partitions, prefix=header_lines(head, order))
+    out = ex.pipe_batches(b, cmd, partitions=partitions, prefix=ln.header_lines(head, order))
     # written once: ordering the output reads it more than once, and each read would run the tool
     return _ordered_output(head, order, materialize(out, "tool_output"), ["batch_id", "line_no"], numbered, declared)
 

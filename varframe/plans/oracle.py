@@ -23,6 +23,14 @@ from lineitem""",
     "spans": """
 select *, pos + length(ref) - 1 + case when dp <= 4 then cast(floor(qual) as bigint) * dp * dp * dp * dp else 0 end as "last"
 from variants""",
+    "multi": """
+select row_number() over () as rid, l_orderkey * 1000000 + l_linenumber * 100000 + l_partkey as k, cast(1 + (l_orderkey + l_linenumber) % 4 as int) as n,
+       concat('chr', cast(l_partkey % 22 + 1 as varchar)) as chrom, l_orderkey * 100 + l_linenumber * 7 as pos
+from lineitem""",
+    "copies": """
+select *, cast((k + j) % 3 + 1 as int) as p, case (k + j) % 3 when 0 then n + 1 when 1 then (n + 1) * (n + 2) // 2
+       else (n + 1) * (n + 2) * (n + 3) // 6 end as g
+from multi, (select unnest(range(3)) as j)""",
     "genes": """
 select p_partkey as gene, concat('chr', cast(p_partkey % 22 + 1 as varchar)) as chrom,
        p_partkey * 750 as "start", p_partkey * 750 + p_size * 100 as "end",
