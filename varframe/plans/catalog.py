@@ -987,3 +987,45 @@ def allele_split(spark, d):
     rows, schema = _multi_rows(spark, d)
     return typed.split_alleles(rows, schema).select("k", "allele_num", F.array_join("alt", ",").alias("alt"),
                                                     fv.info_text(F.col("info")).alias("info"), F.array_join("samples", " ").alias("samples"))
+
+
+# ---------------------------------------------------------------- compressed scan, single files
+
+from ..sources import bgzf  # noqa: E402
+
+
+@query("scan_bgzf", "select line_no, value from ranked_lines")
+def scan_bgzf(spark, d):
+    """The VCF as block-gzip files, read by ranges of compressed bytes (A1)."""
+    p = bgzf.write_bgzf(fx.vcf_lines(spark, d), scratch_path(spark, "bgzf"), ORDER)
+    return ix.split_index(bgzf.scan_bgzf(spark, p, range_bytes=1 << 18), name="line_no").select("line_no", "value")
+
+
+def _one_file(spark, d, name, compression=None):
+    p = sinks.write_file(fx.vcf_lines(spark, d), f"{scratch_path(spark, 'one')}/{name}", ORDER, compression=compression)
+    return ix.split_index(text.scan_lines(spark, p), name="line_no").select("line_no", "value")
+
+
+@query("write_one_file", "select line_no, value from ranked_lines")
+def write_one_file(spark, d):
+    """One ordered file, put together by many tasks, read back."""
+    return _one_file(spark, d, "out.vcf")
+
+
+@query("write_one_file_gz", "select line_no, value from ranked_lines")
+def write_one_file_gz(spark, d):
+    """One ordered gzip file, read back."""
+    return _one_file(spark, d, "out.vcf.gz", "gzip")
+
+
+@query("write_by_suffix", f"""
+with {_ANN_COLS}, {_DECLS}, {_PATCHED}
+select suffix, line_no, value from ({_TABLE_MERGE})
+union all select suffix, line_no, value from ({_VCF_MERGE})
+union all select suffix, line_no, value from ({_PLAIN_MERGE})""")
+def write_by_suffix(spark, d):
+    """The routed merge written as one file per suffix, each read back by its name."""
+    merged = mg.merge_routed(_parts(spark, d), _patched_header(spark, d), ["line_no"])
+    p = sinks.write_files(merged, scratch_path(spark, "suffixes"), "suffix", ["line_no"])
+    back = text.scan_lines(spark, p).withColumn("suffix", F.element_at(F.split("file", "/"), -1))
+    return ix.split_index(back, name="line_no", group=["suffix"]).select("suffix", "line_no", "value")

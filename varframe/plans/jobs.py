@@ -22,7 +22,7 @@ from ..operators import lines as ln
 from ..operators import merge as mg
 from ..operators import vcf
 from ..session import scratch_path
-from ..sources import sinks, text
+from ..sources import bgzf, sinks, text
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -176,7 +176,7 @@ def run(spark: SparkSession, job: Job) -> DataFrame:
     if prof["mode"] == "interval_batches":
         iv = text.read_intervals(spark, job.input)
         return interval_batches(iv, text.LINE_KEY, job.tool_cmd, size, job.partitions)
-    lines = ix.split_index(text.scan_lines(spark, job.input), name="line_no")
+    lines = ix.split_index(bgzf.read_lines(spark, job.input), name="line_no")
     mode = prof["mode"]
     if mode == "line_batches":
         return line_batches(lines, ["line_no"], job.tool_cmd, size, numbered=False, partitions=job.partitions, declared=True)
@@ -188,19 +188,21 @@ def run(spark: SparkSession, job: Job) -> DataFrame:
 
 
 def write(result: DataFrame, path: str, single: bool = False) -> None:
-    """Write a job result: one ordered text per output kind, or one ordered file."""
+    """Write a job result: one ordered text per output kind, or one ordered text; with ``single`` real files (see ``sinks``)."""
     if "suffix" in result.columns and "batch_id" in result.columns:
         result = materialize(result, "tool_output")
         for r in result.select("suffix").distinct().collect():  # the kinds of file one tool writes
             sinks.write_batches(result.where(F.col("suffix") == r["suffix"]), f"{path}/{r['suffix'] or 'stdout'}", ["line_no"])
+    elif "suffix" in result.columns and single:
+        sinks.write_files(result, path, "suffix", ["line_no"])
     elif "suffix" in result.columns:
         sinks.write_by_key(result, path, "suffix", ["line_no"])
     elif "batch_id" in result.columns:
         sinks.write_batches(materialize(result, "tool_output"), path, ["line_no"])
     elif "_s" in result.columns:
-        sinks.write_lines(result, path, OUTPUT_ORDER, single=single)
+        (sinks.write_file if single else sinks.write_lines)(result, path, OUTPUT_ORDER)
     else:
-        sinks.write_lines(result, path, ["line_no"], single=single)
+        (sinks.write_file if single else sinks.write_lines)(result, path, ["line_no"])
 
 
 def main(argv=None) -> None:
@@ -212,7 +214,7 @@ def main(argv=None) -> None:
     ap.add_argument("-o", "--output_file", required=True)
     ap.add_argument("--batch_size", type=int)
     ap.add_argument("--partitions", type=int, help="tasks that run the tool")
-    ap.add_argument("--single", action="store_true", help="one output file; needs a file system that can join files")
+    ap.add_argument("--single", action="store_true", help="one output file, or one for each kind of output")
     a = ap.parse_args(argv)
     from ..session import configure
 

@@ -5,17 +5,29 @@ sorted inside each partition, so part files ``part-00000…`` concatenated in or
 their numbers are the ordered file. ``single=True`` then joins the parts into one file
 with the file system's metadata-only ``concat`` (HDFS), or fails; no bytes go through
 the driver or a single task. Output is overwritten (D14).
+
+``write_file`` and ``write_files`` make real single files, also on file systems without
+``concat`` if tasks can write to them as to a local or shared folder: the parts' sizes give every
+part its place in the file, and many tasks copy their pieces there at the same time. A
+retried task writes the same bytes to the same place; the file gets its name when all are in.
+Compressed parts are gzip members, and members one after the other are one gzip file.
 """
 
 from __future__ import annotations
 
+import os
 import re
+import shutil
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import Column, DataFrame
 
 from ..operators.index import ordered
+from ..session import default_partitions
+
+PIECE_BYTES = 64 << 20
 
 
 def write_lines(
@@ -55,16 +67,18 @@ def write_batches(
     return path
 
 
-def write_by_key(df: DataFrame, path: str, key: str, order: Sequence[str], value: str = "value") -> str:
+def write_by_key(df: DataFrame, path: str, key: str, order: Sequence[str], value: str = "value", compression: str | None = None) -> str:
     """One directory per key value, e.g. per tool output suffix."""
-    (
+    w = (
         df.repartitionByRange(key, *order)
         .sortWithinPartitions(key, *order)
         .select(key, value)
         .write.mode("overwrite")
         .partitionBy(key)
-        .text(path)
     )
+    if compression:
+        w = w.option("compression", compression)
+    w.text(path)
     return path
 
 
@@ -93,3 +107,124 @@ def concat_parts(spark, path: str) -> str:
         except UnsupportedOperationException as exc:
             raise OSError(f"{path}: this file system can't join files; write parts (single=False)") from exc
     return full[0].toString() if full else path
+
+
+def _local(path: str) -> str | None:
+    """The path as tasks open it, or None where they can't."""
+    if path.startswith("file:"):
+        return "/" + path[5:].lstrip("/")
+    return None if "://" in path else os.path.abspath(path)
+
+
+def _folder_parts(folder: str) -> list[tuple[str, int]]:
+    """Part files of a folder with their sizes, in order of their numbers."""
+    found = [(int(m[1]), n) for n in os.listdir(folder) if (m := re.match(r"part-(\d+)", n))]
+    return [(os.path.join(folder, n), os.path.getsize(os.path.join(folder, n))) for _, n in sorted(found)]
+
+
+def _copy_pieces(frames):
+    import pandas as pd
+
+    for pdf in frames:
+        done = 0
+        for source, at, target, to, size in pdf.itertuples(index=False):
+            with open(source, "rb") as src, open(target, "r+b") as dst:
+                src.seek(at)
+                dst.seek(to)
+                left = size
+                while left and (buf := src.read(min(left, 1 << 20))):
+                    dst.write(buf)
+                    left -= len(buf)
+                dst.flush()
+                os.fsync(dst.fileno())
+                done += size - left
+        yield pd.DataFrame({"copied": [done]})
+
+
+def _join_folders(spark, folders: dict[str, str]) -> None:
+    """Make one file of the parts of each folder: ``{file: folder}``; all are copied by one job."""
+    pieces, waiting, total = [], {}, 0
+    for target, folder in folders.items():
+        waiting[target] = f"{target}.{uuid.uuid4().hex}.tmp"
+        to = 0
+        for source, size in _folder_parts(folder):
+            for at in range(0, size, PIECE_BYTES):
+                n = min(PIECE_BYTES, size - at)
+                pieces.append((source, at, waiting[target], to + at, n))
+            to += size
+        total += to
+        with open(waiting[target], "wb") as f:
+            f.truncate(to)
+    if pieces:
+        table = spark.createDataFrame(pieces, "source string, at long, target string, to long, size long")
+        tasks = min(len(pieces), 4 * default_partitions(spark))
+        copied = table.repartition(tasks).mapInPandas(_copy_pieces, "copied long").agg({"copied": "sum"}).first()[0]
+        if copied != total:
+            raise OSError(f"copied {copied} of {total} bytes")
+    for target, tmp in waiting.items():
+        crc = os.path.join(os.path.dirname(target), f".{os.path.basename(target)}.crc")
+        if os.path.exists(crc):  # of an earlier file under this name
+            os.remove(crc)
+        os.replace(tmp, target)
+
+
+def write_file(
+    df: DataFrame,
+    file: str,
+    order: Sequence[str | Column],
+    value: str = "value",
+    compression: str | None = None,
+    partitions: int | None = None,
+) -> str:
+    """Write ``value`` in ``order`` as the one file ``file`` (A45), gzipped if asked (A46); returns it.
+
+    On HDFS the parts are joined by ``concat``; in a local or shared folder by copying at known
+    offsets; another file system is an error before anything is written there.
+    """
+    spark, local = df.sparkSession, _local(file)
+    parts = f"{file if local is None else local}.parts-{uuid.uuid4().hex}"
+    if local is None:
+        jvm, target = spark._jvm, spark._jvm.org.apache.hadoop.fs.Path(file)
+        fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.getScheme() != "hdfs":
+            raise OSError(f"{file}: this file system can't join files; write parts (write_lines)")
+        joined = write_lines(df, parts, order, value, compression, single=True, partitions=partitions)
+        fs.delete(target, False)
+        if not fs.rename(jvm.org.apache.hadoop.fs.Path(joined), target):
+            raise OSError(f"{file}: could not rename {joined}")
+        fs.delete(jvm.org.apache.hadoop.fs.Path(parts), True)
+        return file
+    os.makedirs(os.path.dirname(local), exist_ok=True)
+    try:
+        write_lines(df, f"file:{parts}", order, value, compression, partitions=partitions)
+        _join_folders(spark, {local: parts})
+    finally:
+        shutil.rmtree(parts, ignore_errors=True)
+    return file
+
+
+def write_files(df: DataFrame, folder: str, key: str, order: Sequence[str], value: str = "value", compression: str | None = None) -> str:
+    """One file per value of ``key`` under ``folder``, named by it (A48: a tool's few kinds of output).
+
+    A null key, or one that can't be a file's name, is an error.
+    """
+    local = _local(folder)
+    if local is None:
+        raise OSError(f"{folder}: not a folder that tasks can write to; use write_by_key")
+    names = [r[0] for r in df.select(key).distinct().collect()]
+    bad = [n for n in names if n is None or n in ("", ".", "..") or "/" in str(n)]
+    if bad:
+        raise ValueError(f"not a file name: {bad[0]!r}")
+    parts = f"{local}.parts-{uuid.uuid4().hex}"
+    number = {n: i for i, n in enumerate(sorted(names))}
+    os.makedirs(local, exist_ok=True)
+    try:
+        from pyspark.sql import functions as F
+
+        numbered = F.create_map(*[F.lit(x) for kv in number.items() for x in kv])
+        if number:
+            write_by_key(df.withColumn("_file", numbered[F.col(key)]), f"file:{parts}", "_file", order, value, compression)
+            _join_folders(df.sparkSession, {os.path.join(local, str(n)): os.path.join(parts, f"_file={i}") for n, i in number.items()})
+    finally:
+        shutil.rmtree(parts, ignore_errors=True)
+    return folder
