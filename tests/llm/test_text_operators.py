@@ -299,13 +299,24 @@ def test_trust_by_matrix(spark):
         m[hosts.index(a), hosts.index(b)] = n
     out = lambda x: np.divide(x, x.sum(axis=1, keepdims=True), out=np.zeros_like(x), where=x.sum(axis=1, keepdims=True) > 0)
     good, bad = (np.array([s[i] for s in seeds]) for i in (1, 2))
-    t, d = 0.15 * good, 0.15 * bad
-    for _ in range(20):
-        t, d = 0.15 * good + 0.85 * t @ out(m), 0.15 * bad + 0.85 * d @ out(m.T)
-    got = url_filter.propagate(spark.createDataFrame(seeds, "host string, good double, bad double"),
-                               spark.createDataFrame([(a, b, n) for (a, b), n in edges.items()], "src string, dst string, links long"))
-    for r in got.collect():
-        assert abs(r.trust - t[hosts.index(r.host)]) < 1e-9 and abs(r.distrust - d[hosts.index(r.host)]) < 1e-9
+    good, bad = (x / max(x.sum(), 1) for x in (good, bad))
+    t, d = (0.15 * x @ np.linalg.inv(np.eye(12) - 0.85 * y) for x, y in ((good, out(m)), (bad, out(m.T))))
+    seeds, edges = (spark.createDataFrame(seeds, "host string, good double, bad double"),
+                    spark.createDataFrame([(a, b, n) for (a, b), n in edges.items()], "src string, dst string, links long"))
+    for fan in (url_filter.FAN, 2):  # with 2, most hosts' links are dealt to several keys
+        got = url_filter.propagate(seeds, edges, tolerance=1e-4, fan=fan).collect()
+        assert {r.host for r in got} == {h for h, x, y in zip(hosts, t, d) if x + y > 0}
+        for r in got:
+            assert abs(r.trust - t[hosts.index(r.host)]) < 1e-4 and abs(r.distrust - d[hosts.index(r.host)]) < 1e-4
+
+
+def test_distrust_reaches_the_end_of_a_chain(spark):
+    """Hosts that lead to a blocked one by up to 40 links are blocked, whatever the distance."""
+    link = lambda to: f'<a href="http://{to}/x">'
+    pages = [(0, "http://bad.com/de/1", "")] + [(i, f"http://h{i}.net/a", link("bad.com" if i == 1 else f"h{i - 1}.net")) for i in range(1, 41)]
+    pages += [(100, "http://good.org/a", link("fine.net")), (101, "http://fine.net/a", None)]
+    got = {r.page_id: r.verdict for r in url_filter.filter_urls(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {i: "block" for i in range(41)} | {100: "allow", 101: "allow"}
 
 
 def test_links_pull_hosts_to_their_side(spark):

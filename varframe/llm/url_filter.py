@@ -4,17 +4,22 @@ Rules (host, path) judge a url directly: a rule fits its host and all subdomains
 url's path starts with the rule's; the longest rule wins. For the other urls the verdict is
 their host's: personalised PageRank carries trust from hosts whose pages rules allow along
 links, and distrust from hosts whose pages rules block against the links' direction. A
-host's seed is the share of its pages that rules allow, or block. A host is blocked if its
+host's seed is the share of its pages that rules allow, or block; the seeds of each kind are
+scaled to sum up to 1, so that both vectors have the same mass. A host is blocked if its
 distrust is more than ``RATIO`` times its trust.
 
 Edges lead from a page's host to the hosts it links to, weighted by the number of links, and
 between a host and its parent domain (weight 1 each way); links within a host don't count.
-Each of ``ROUNDS`` rounds is one join and one sum over both directions at once; every
-``CUT`` rounds the scores are written to the shared folder.
+A round is one join and one sum over both directions at once. Rounds go on, written to the
+shared folder every ``CUT`` of them, until ``CUT`` rounds reach no new host and move less than
+``tolerance`` of the mass; as mass fades by the damping and hosts are finite, they end. So a
+host's verdict doesn't depend on its distance from a seed.
 
 Only DataFrame functions run here. Links are summed up per pair of hosts before they are
-exchanged, and joins against a hot host read written tables, so adaptive execution can
-split it. Nothing is collected or broadcast beyond what Spark decides from measured sizes.
+exchanged. The steps out of a host that links to more than ``FAN`` others are dealt by a hash to
+several keys, and its score is copied to each of them, so no task takes a hot host's links alone;
+scores that meet at a hot host are summed in the tasks first. Nothing is collected but sums and
+counts, or broadcast beyond what Spark decides from measured sizes.
 
 Defined results: a null url, or one without ``://``, has empty host and path, no rule and
 verdict allow; an empty path fits no rule; a page's html may be null; repeated rows give
@@ -23,6 +28,8 @@ repeated rows; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,8 +44,9 @@ RULES = [
     ("com", "/de/", "block"),
 ]
 DAMPING = 0.85
-ROUNDS = 20
-CUT = 5
+TOLERANCE = 1e-3
+CUT = 8
+FAN = 10_000
 RATIO = 2.0
 ADDRESS = r"://([^/?#]*)([^?#]*)"
 LINK = r"""(?i)\bhref\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
@@ -95,36 +103,46 @@ def host_edges(pages: DataFrame, hosts: DataFrame, url_col: str = "url", html_co
     return counted.unionByName(both).groupBy("src", "dst").agg(F.sum("links").alias("links"))
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, frames)
+
+
+def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE, fan: int = FAN) -> DataFrame:
     """(host, trust, distrust) from seeds (host, good, bad) over edges (src, dst, links).
 
     Trust follows the edges and distrust goes against them; each host deals out its score in
     proportion to the links. Rows of both kinds run in one table, told apart by ``good``.
     """
     spark = seeds.sparkSession
-    out_of = edges.groupBy("src").agg(F.sum("links").alias("all"))
-    into = edges.groupBy("dst").agg(F.sum("links").alias("all"))
-    share = (F.col("links") / F.col("all")).alias("share")
-    steps = staged(spark, edges.join(out_of, "src").select(F.lit(True).alias("good"), F.col("src").alias("at"), F.col("dst").alias("host"), share)
-                   .unionByName(edges.join(into, "dst").select(F.lit(False).alias("good"), F.col("dst").alias("at"), F.col("src").alias("host"), share)),
-                   "url-steps")
-    start = staged(spark, seeds.select(F.lit(True).alias("good"), "host", F.col("good").alias("seed"))
-                   .unionByName(seeds.select(F.lit(False).alias("good"), "host", F.col("bad").alias("seed")))
-                   .filter("seed > 0"), "url-seeds")
-    given = start.select("good", "host", (F.lit(1 - damping) * F.col("seed")).alias("score"))
-    now = given
-    for i in range(rounds):
-        moved = now.withColumnRenamed("host", "at").join(steps, ["good", "at"]).select(
-            "good", "host", (F.lit(damping) * F.col("score") * F.col("share")).alias("score"))
-        now = moved.unionByName(given).groupBy("good", "host").agg(F.sum("score").alias("score"))
-        if (i + 1) % CUT == 0:
-            now = staged(spark, now, "url-scores")
+    mass = seeds.agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).first()
+    kinds = [(True, "good", "src", "dst"), (False, "bad", "dst", "src")]
+    start = staged(spark, _union([seeds.filter(F.col(c) > 0).select(
+        F.lit(good).alias("good"), "host", (F.lit(1 - damping) * F.col(c) / F.lit(mass[c] or 1.0)).alias("score")) for good, c, _, _ in kinds]), "url-seeds")
+    moves = _union([edges.select(F.lit(good).alias("good"), F.col(at).alias("at"), F.col(to).alias("host"), "links") for good, _, at, to in kinds])
+    out = staged(spark, moves.groupBy("good", "at").agg(F.sum("links").alias("all"), F.expr(f"1 + (count(*) - 1) div {fan}").alias("keys")), "url-out")
+    steps = staged(spark, moves.join(out, ["good", "at"]).select(
+        "good", "at", "host", (F.lit(damping) * F.col("links") / F.col("all")).alias("share"),
+        F.pmod(F.xxhash64("host"), F.col("keys")).alias("key")), "url-steps")
+    wide = staged(spark, out.filter("keys > 1").select("good", F.col("at").alias("host"), "keys"), "url-wide")
+    now, moving = start, True
+    while moving:
+        before = now
+        for _ in range(CUT):
+            sent = now.join(wide, ["good", "host"], "left").select("good", F.col("host").alias("at"), "score", F.explode(
+                F.sequence(F.lit(0).cast("bigint"), F.coalesce("keys", F.lit(1)) - 1)).alias("key"))
+            moved = sent.join(steps, ["good", "at", "key"]).select("good", "host", (F.col("score") * F.col("share")).alias("score"))
+            now = moved.unionByName(start).groupBy("good", "host").agg(F.sum("score").alias("score"))
+        now = staged(spark, now, "url-scores")
+        old = before.withColumnRenamed("score", "old")
+        change = now.join(old, ["good", "host"], "left").agg(
+            F.count(F.when(F.col("old").isNull(), 1)).alias("new"), F.sum(F.col("score") - F.coalesce("old", F.lit(0.0))).alias("mass")).first()
+        moving = change["new"] > 0 or (change["mass"] or 0.0) > tolerance  # scores only grow from round to round
     return now.groupBy("host").agg(F.sum(F.when(F.col("good"), F.col("score")).otherwise(0.0)).alias("trust"),
                                    F.sum(F.when(~F.col("good"), F.col("score")).otherwise(0.0)).alias("distrust"))
 
 
 def filter_urls(pages: DataFrame, rules=None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-                damping: float = DAMPING, rounds: int = ROUNDS, ratio: float = RATIO) -> DataFrame:
+                damping: float = DAMPING, tolerance: float = TOLERANCE, ratio: float = RATIO) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, trust, distrust."""
     spark = ready(pages.sparkSession)
     found = staged(spark, judged(addresses(pages, id_col, url_col), rule_table(spark, rules)), "url-judged")
@@ -132,7 +150,7 @@ def filter_urls(pages: DataFrame, rules=None, id_col: str = "page_id", url_col:
     hosts = staged(spark, found.filter("host <> ''").groupBy("host").agg(share("allow").alias("good"), share("block").alias("bad")),
                    "url-hosts")
     edges = staged(spark, host_edges(pages, hosts, url_col, html_col), "url-edges")
-    scores = staged(spark, propagate(hosts, edges, damping, rounds), "url-trust")
+    scores = staged(spark, propagate(hosts, edges, damping, tolerance), "url-trust")
     blocked = F.coalesce(F.col("distrust") > ratio * F.col("trust"), F.lit(False))
     return found.join(scores, "host", "left").select(
         "page_id", "host", "path", "rule",
@@ -148,8 +166,8 @@ def op3_url_filter(spark, sf_dir):
 def _sql() -> str:
     rules = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)
     low = f"'{UPPER}', '{LOWER}'"
-    parts = [f"""
-with rules(on_host, on_path, says) as (values {rules}),
+    return f"""
+with recursive rules(on_host, on_path, says) as (values {rules}),
 page as (
   select page_id, html, translate(regexp_extract(coalesce(url, ''), '{ADDRESS}', 1), {low}) as host,
          regexp_extract(coalesce(url, ''), '{ADDRESS}', 2) as path from pages),
@@ -173,21 +191,20 @@ steps as materialized (
   select true as good, src as at, dst as host, links / sum(links) over (partition by src) as share from edges
   union all select false, dst, src, links / sum(links) over (partition by dst) from edges),
 given as materialized (
-  select true as good, host, {1 - DAMPING!r} * good as score from hosts where good > 0
-  union all select false, host, {1 - DAMPING!r} * bad from hosts where bad > 0),
-r0 as (select * from given)"""]
-    for i in range(1, ROUNDS + 1):
-        parts.append(f"""r{i} as materialized (
-  select good, host, sum(score) as score from (
-    select s.good, s.host, {DAMPING} * r.score * s.share as score from r{i - 1} r join steps s on r.good = s.good and r.host = s.at
-    union all select * from given) group by good, host)""")
-    parts.append(f"""trust as (
+  select true as good, host, {1 - DAMPING!r} * good / (select sum(good) from hosts) as score from hosts where good > 0
+  union all select false, host, {1 - DAMPING!r} * bad / (select sum(bad) from hosts) from hosts where bad > 0),
+walk(i, good, host, score) as (
+  select 0, good, host, score from given
+  union all
+  select w.i + 1, s.good, s.host, sum({DAMPING} * w.score * s.share) from walk w join steps s on w.good = s.good and w.host = s.at
+  where w.i < (select count(*) + 150 from hosts) group by w.i + 1, s.good, s.host),
+trust as (
   select host, sum(case when good then score else 0 end) as trust, sum(case when good then 0 else score end) as distrust
-  from r{ROUNDS} group by host)""")
-    return ",\n".join(parts) + f"""
+  from walk group by host)
 select page_id, found.host, path, fit.rule as rule,
        coalesce(fit.says, case when distrust > {RATIO} * trust then 'block' else 'allow' end) as verdict
 from found left join trust using (host)"""
 
 
+# the walk sums up the same scores by distance from the seeds, farther than any host can be
 OP3_SQL = _sql()
