@@ -45,7 +45,7 @@ RULES = [
 ]
 DAMPING = 0.85
 TOLERANCE = 1e-3
-CUT = 8
+CUT = 4
 FAN = 10_000
 RATIO = 2.0
 ADDRESS = r"://([^/?#]*)([^?#]*)"
@@ -116,24 +116,25 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, tole
     spark = seeds.sparkSession
     mass = seeds.agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).first()
     kinds = [(True, "good", "src", "dst"), (False, "bad", "dst", "src")]
-    start = staged(spark, _union([seeds.filter(F.col(c) > 0).select(
-        F.lit(good).alias("good"), "host", (F.lit(1 - damping) * F.col(c) / F.lit(mass[c] or 1.0)).alias("score")) for good, c, _, _ in kinds]), "url-seeds")
     moves = _union([edges.select(F.lit(good).alias("good"), F.col(at).alias("at"), F.col(to).alias("host"), "links") for good, _, at, to in kinds])
-    out = staged(spark, moves.groupBy("good", "at").agg(F.sum("links").alias("all"), F.expr(f"1 + (count(*) - 1) div {fan}").alias("keys")), "url-out")
-    steps = staged(spark, moves.join(out, ["good", "at"]).select(
+    out = staged(spark, moves.groupBy("good", F.col("at").alias("host")).agg(
+        F.sum("links").alias("all"), F.expr(f"1 + (count(*) - 1) div {fan}").alias("keys")), "url-out")
+    keyed = lambda df: df.join(out.select("good", "host", "keys"), ["good", "host"], "left").withColumn(
+        "keys", F.coalesce("keys", F.lit(1).cast("long")))
+    steps = staged(spark, keyed(moves.join(out.select("good", F.col("host").alias("at"), "all", F.col("keys").alias("of")), ["good", "at"]).select(
         "good", "at", "host", (F.lit(damping) * F.col("links") / F.col("all")).alias("share"),
-        F.pmod(F.xxhash64("host"), F.col("keys")).alias("key")), "url-steps")
-    wide = staged(spark, out.filter("keys > 1").select("good", F.col("at").alias("host"), "keys"), "url-wide")
+        F.pmod(F.xxhash64("host"), F.col("of")).alias("key"))), "url-steps")
+    start = staged(spark, keyed(_union([seeds.filter(F.col(c) > 0).select(
+        F.lit(good).alias("good"), "host", (F.lit(1 - damping) * F.col(c) / F.lit(mass[c] or 1.0)).alias("score")) for good, c, _, _ in kinds])), "url-seeds")
     now, moving = start, True
     while moving:
         before = now
         for _ in range(CUT):
-            sent = now.join(wide, ["good", "host"], "left").select("good", F.col("host").alias("at"), "score", F.explode(
-                F.sequence(F.lit(0).cast("bigint"), F.coalesce("keys", F.lit(1)) - 1)).alias("key"))
-            moved = sent.join(steps, ["good", "at", "key"]).select("good", "host", (F.col("score") * F.col("share")).alias("score"))
-            now = moved.unionByName(start).groupBy("good", "host").agg(F.sum("score").alias("score"))
+            sent = now.select("good", F.col("host").alias("at"), "score", F.explode(F.expr("sequence(0L, keys - 1)")).alias("key"))
+            moved = sent.join(steps, ["good", "at", "key"]).select("good", "host", (F.col("score") * F.col("share")).alias("score"), "keys")
+            now = moved.unionByName(start).groupBy("good", "host").agg(F.sum("score").alias("score"), F.max("keys").alias("keys"))
         now = staged(spark, now, "url-scores")
-        old = before.withColumnRenamed("score", "old")
+        old = before.select("good", "host", F.col("score").alias("old"))
         change = now.join(old, ["good", "host"], "left").agg(
             F.count(F.when(F.col("old").isNull(), 1)).alias("new"), F.sum(F.col("score") - F.coalesce("old", F.lit(0.0))).alias("mass")).first()
         moving = change["new"] > 0 or (change["mass"] or 0.0) > tolerance  # scores only grow from round to round
