@@ -47,16 +47,16 @@ def sample_field(fmt_keys: Column, sample: Column, key: str) -> Column:
 def _common_run(a: Column, b: Column, from_end: bool) -> Column:
     """Length of the run of equal characters at the start (or end) of ``a`` and ``b``.
 
-    Alleles of one base (most variants) are answered by one comparison; the
-    character-array walk runs only when both alleles are longer.
+    Alleles of one base (most variants) are answered by one comparison; longer ones are cut
+    into characters once and compared side by side, in time proportional to their length.
     """
     m = F.least(F.length(a), F.length(b))
-    idx = (lambda i: -i) if from_end else (lambda i: i)
-    same = F.transform(F.sequence(F.lit(1), F.greatest(m, F.lit(2))),
-                       lambda i: F.substring(a, idx(i), 1) == F.substring(b, idx(i), 1))
+    chars = lambda x: F.split(F.reverse(x) if from_end else x, "")
+    same = F.transform(F.arrays_zip(F.slice(chars(a), 1, m).alias("x"), F.slice(chars(b), 1, m).alias("y")), lambda p: p["x"] == p["y"])
     first_diff = F.array_position(same, False)
-    run = F.least(F.when(first_diff == 0, m).otherwise(first_diff - 1), m)
-    one = F.when(F.substring(a, idx(F.lit(1)), 1) == F.substring(b, idx(F.lit(1)), 1), F.lit(1)).otherwise(F.lit(0))
+    run = F.when(first_diff == 0, m).otherwise(first_diff - 1)
+    at = F.lit(-1 if from_end else 1)
+    one = F.when(F.substring(a, at, 1) == F.substring(b, at, 1), F.lit(1)).otherwise(F.lit(0))
     return F.when(m == 0, F.lit(0)).when(m == 1, one).otherwise(run).cast("int")
 
 

@@ -8,54 +8,78 @@ frequency sources are merged into one keyed table so the variants shuffle once.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .overlap import BIN, point_overlap, span_overlap
 
 VARIANT_KEY = ["chrom", "pos", "ref", "alt"]
 NA = "."
 
 
-def annotate_exact(rows: DataFrame, table: DataFrame, cols: Sequence[str], keys: Sequence[str] = VARIANT_KEY,
-                   na: str = NA) -> DataFrame:
-    """Filter-based annotation (B7): exact key lookup, ``na`` where missing (values as text)."""
-    # one whole record per key: of several the largest, compared column by column
+def lookup(table: DataFrame, cols: Sequence[str], keys: Sequence[str] = VARIANT_KEY, name: str = "lookup") -> DataFrame:
+    """A look-up table with one whole record per key (of several the largest, compared column by
+    column), written once to the shared folder.
+
+    Prepared this way it serves many annotation runs, its size is known to the planner, and beside a plain
+    scan, not an aggregate, adaptive execution can split a hot key of the rows.
+    """
     one = table.groupBy(*keys).agg(F.max(F.struct(*cols)).alias("_one")).select(*keys, *[F.col(f"_one.{c}").alias(c) for c in cols])
-    out = rows.join(one, list(keys), "left")
-    for c in cols:
-        out = out.withColumn(c, F.coalesce(F.col(c).cast("string"), F.lit(na)))
-    return out
+    return _written(one, name)
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def annotate_exact(rows: DataFrame, table: DataFrame, cols: Sequence[str], keys: Sequence[str] = VARIANT_KEY,
+                   na: str = NA, prepared: bool = False) -> DataFrame:
+    """Filter-based annotation (B7): exact key lookup, ``na`` where missing (values as text).
+
+    ``prepared`` says that ``table`` comes from ``lookup``; else it is made into one here.
+    """
+    out = rows.join(table if prepared else lookup(table, cols, keys), list(keys), "left")
+    return out.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit(na)) for c in cols})
+
+
+def lookup_ids(known: DataFrame, id_col: str = "id", keys: Sequence[str] = ("chrom", "pos"), name: str = "existing") -> DataFrame:
+    """A look-up table of all distinct ids per key, sorted and comma-joined; written once, as ``lookup``."""
+    return _written(known.groupBy(*keys).agg(F.array_join(F.sort_array(F.collect_set(id_col)), ",").alias(name)), "lookup-ids")
 
 
 def annotate_existing(rows: DataFrame, known: DataFrame, id_col: str = "id", keys: Sequence[str] = ("chrom", "pos"),
-                      name: str = "existing", na: str = NA) -> DataFrame:
+                      name: str = "existing", na: str = NA, prepared: bool = False) -> DataFrame:
     """Known variants at the same position (B8): their ids, sorted and distinct, comma-joined.
 
-    The id list per position is bounded by the distinct alleles seen there.
+    The id list per position is bounded by the distinct alleles seen there. ``prepared``: ``known`` comes from ``lookup_ids``.
     """
-    ids = known.groupBy(*keys).agg(F.array_join(F.sort_array(F.collect_set(id_col)), ",").alias(name))
+    ids = known if prepared else lookup_ids(known, id_col, keys, name)
     return rows.join(ids, list(keys), "left").withColumn(name, F.coalesce(F.col(name), F.lit(na)))
 
 
-def annotate_max_af(rows: DataFrame, sources: Mapping[str, DataFrame], af: str = "af",
-                    keys: Sequence[str] = VARIANT_KEY, name: str = "max_af") -> DataFrame:
+def lookup_af(sources: Mapping[str, DataFrame], af: str = "af", keys: Sequence[str] = VARIANT_KEY) -> DataFrame:
+    """A look-up table of frequencies, one column per source; written once, as ``lookup``."""
+    parts = [df.select(*keys, F.lit(src).alias("_src"), F.col(af).cast("double").alias("_af")) for src, df in sources.items()]
+    stacked = functools.reduce(DataFrame.unionByName, parts)
+    return _written(stacked.groupBy(*keys).agg(*[F.max(F.when(F.col("_src") == src, F.col("_af"))).alias(src) for src in sources]), "lookup-af")
+
+
+def annotate_max_af(rows: DataFrame, sources: Mapping[str, DataFrame] | Sequence[str], af: str = "af",
+                    keys: Sequence[str] = VARIANT_KEY, name: str = "max_af", table: DataFrame | None = None) -> DataFrame:
     """Frequencies from several sources and their maximum.
 
-    The sources are stacked into one table keyed by variant, reduced to one row
-    per key with one column per source, and joined once.
+    The sources are one look-up table with one row per key and one column per source, joined once; ``table`` is
+    such a table made before by ``lookup_af`` (``sources`` are then its columns).
     """
-    stacked = None
-    for src, df in sources.items():
-        part = df.select(*keys, F.lit(src).alias("_src"), F.col(af).cast("double").alias("_af"))
-        stacked = part if stacked is None else stacked.unionByName(part)
-    wide = stacked.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_src") == src, F.col("_af"))).alias(src) for src in sources]
-    )
-    out = rows.join(wide, list(keys), "left")
-    return out.withColumn(name, F.greatest(*[F.col(s) for s in sources]) if len(sources) > 1 else F.col(list(sources)[0]))
+    cols = list(sources)
+    out = rows.join(lookup_af(sources, af, keys) if table is None else table, list(keys), "left")
+    return out.withColumn(name, F.greatest(*cols) if len(cols) > 1 else F.col(cols[0]))
 
 
 def _overlap(rows: DataFrame, table: DataFrame, how: str, end: str | None, distance: int = 0, bin_size: int = BIN,

@@ -6,14 +6,15 @@ A dense 0-based index in a total order is computed without a global window
 1. range-partition on the order key and sort inside each partition;
 2. tag rows with ``spark_partition_id()`` and the position inside the partition
    (low 33 bits of ``monotonically_increasing_id()``);
-3. persist that frame, so the counts and the rows are one RDD with one range
-   partitioner (two separate range exchanges sample different bounds);
+3. write that frame to the shared folder, so the counts and the rows are the same
+   partitions (two separate range exchanges sample different bounds) and a lost
+   executor costs no recomputation;
 4. count rows per partition (one row per partition), turn the counts into
-   offsets with a running sum over at most ``k`` rows, and broadcast them back.
+   offsets with a running sum over at most ``k`` rows, and join them back.
 
-A lost cached block is recomputed from the same RDD lineage (same partitioner,
-same scan ids) and, with a total order key, sorted the same way, so the index
-survives executor loss.
+Lines that are still in their scan partitions need none of this: ``split_index``.
+Which of the two applies is the caller's to say; ``split_index`` fails on a frame
+that has been shuffled.
 """
 
 from __future__ import annotations
@@ -21,26 +22,13 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import default_partitions
+from ..session import default_partitions, scratch_path
 
 _LOW33 = (1 << 33) - 1
 
-# offsets tables at most this long are broadcast (one row per partition and group)
-OFFSETS_BROADCAST_ROWS = 1_000_000
-
-_CACHED: list[DataFrame] = []
-
-
-def release_cached() -> None:
-    """Unpersist the frames cached by ``dense_index`` (call after the results are written)."""
-    while _CACHED:
-        _CACHED.pop().unpersist()
-
-
 def _cols(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
@@ -78,17 +66,18 @@ def dense_index(
     result; with ``group`` the group columns are put in front of the order.
     ``few_groups`` says the group count is bounded by the caller (e.g. the kinds
     of output of one tool), so the offsets table - one row per partition and
-    group - is broadcast without first counting it.
+    group - is broadcast; otherwise the planner decides by its size.
     """
     group = list(group or [])
     full = _cols(group) + _cols(order)
-    keyed = (
+    tagged = (
         ordered(df, full, partitions)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_local", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33)))
-        .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    _CACHED.append(keyed)
+    path = scratch_path(df.sparkSession, "index")
+    tagged.write.parquet(path)
+    keyed = df.sparkSession.read.schema(tagged.schema).parquet(path)
     # per partition (and group inside it): row count and first local position
     counts = keyed.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_n"), F.min("_local").alias("_first"))
     w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -97,12 +86,20 @@ def dense_index(
     if not group or few_groups:
         # one row per partition (and group): bounded by partitions (+ groups)
         offsets = F.broadcast(offsets)
-    elif offsets.limit(OFFSETS_BROADCAST_ROWS + 1).count() <= OFFSETS_BROADCAST_ROWS:
-        offsets = F.broadcast(offsets)
     out = keyed.join(offsets, ["_pid", *group]).withColumn(name, F.col("_off") + F.col("_local"))
     return out.drop("_pid", "_local", "_off")
 
 
+def file_order(file: str) -> Column:
+    """File names in order, part files of a folder by their number (``part-99999`` before ``part-100000``)."""
+    name = F.element_at(F.split(F.col(file), "/"), -1)
+    number = F.regexp_extract(name, "^part-([0-9]+)", 1)
+    folder = F.substring_index(F.col(file), "/", -1)
+    padded = F.concat(F.expr(f"substring({file}, 1, length({file}) - length(substring_index({file}, '/', -1)))"),
+                      F.lpad(number, 18, "0"), folder)
+    return F.when(number != "", padded).otherwise(F.col(file))
+
+
 def split_index(
     df: DataFrame,
     name: str = "idx",
@@ -117,14 +114,18 @@ def split_index(
     surviving rows of a split consecutively. One small aggregate gives rows and
     first id per split; a running sum over the splits (one row per split, a
     bounded table) gives each split's offset, broadcast back. A recomputed task
-    scans the same split the same way, so ids and offsets agree.
+    scans the same split the same way, so ids and offsets agree. Part files go by
+    their number. A frame whose splits no longer stand together fails.
     """
     group = list(group or [])
     split = list(split)
     m = df.withColumn("_m", F.monotonically_increasing_id())
-    counts = m.groupBy(*group, *split).agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_first"))
-    w = Window.partitionBy(*group).orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*group, *split, (F.coalesce(F.sum("_n").over(w), F.lit(0)) - F.col("_first")).alias("_off"))
+    counts = m.groupBy(*group, *split).agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_first"), F.max("_m").alias("_last"))
+    by = [file_order(c) if c == "file" else F.col(c) for c in split]
+    w = Window.partitionBy(*group).orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    moved = F.raise_error(F.lit("split_index: the rows have left their scan partitions; use dense_index")).cast("bigint")
+    first = F.when(F.col("_last") - F.col("_first") + 1 == F.col("_n"), F.col("_first")).otherwise(moved)
+    offsets = counts.select(*group, *split, (F.coalesce(F.sum("_n").over(w), F.lit(0)) - first).alias("_off"))
     out = m.join(F.broadcast(offsets), [*group, *split]).withColumn(name, F.col("_off") + F.col("_m"))
     return out.drop("_m", "_off")
 
@@ -140,14 +141,6 @@ def bounded_index(df: DataFrame, order: Sequence[str], name: str = "idx") -> Dat
         "_x._row.*", F.col("_at").cast("bigint").alias(name))
 
 
-def index_rows(df: DataFrame, order: Sequence[str | Column], name: str = "idx") -> DataFrame:
-    """``split_index`` for frames still in their scan partitions (they carry ``block``),
-    ``dense_index`` on ``order`` otherwise."""
-    if "block" in df.columns and "file" in df.columns:
-        return split_index(df, name)
-    return dense_index(df, order, name)
-
-
 def batch(df: DataFrame, size: int, idx: str = "idx") -> DataFrame:
     """Fixed-size batches in index order, the last one short, ids from 0."""
     if size <= 0:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .index import bounded_index, dense_index
+from .index import bounded_index, dense_index, split_index
 
 N_FIXED_VCF_COLUMNS = 9
 HEADER_BYTES = 64 << 20
@@ -59,22 +59,31 @@ def count_rows(df: DataFrame, name: str = "n") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
-def union_sections(header: DataFrame, body: DataFrame, order: Sequence[str], value: str = "value") -> DataFrame:
-    """Header lines, then body lines, each in ``order`` (A31, D15), with a dense ``line_no``."""
+def union_sections(header: DataFrame, body: DataFrame, order: Sequence[str], value: str = "value", scanned: bool = False) -> DataFrame:
+    """Header lines, then body lines, each in ``order`` (A31, D15), with a dense ``line_no``.
+
+    ``scanned`` says that ``body`` is still in its scan partitions: it is numbered there, without a shuffle.
+    """
+    if scanned:
+        h = bounded_index(header, order, name="_n").select(F.col("_n").alias("line_no"), value)
+        n = header.agg(F.count(F.lit(1))).scalar()
+        return h.unionByName(split_index(body, name="_n").select((F.col("_n") + n).alias("line_no"), value))
     cols = list(dict.fromkeys([*order, value]))
     both = header.select(F.lit(0).alias("_section"), *cols).unionByName(body.select(F.lit(1).alias("_section"), *cols))
     return dense_index(both, ["_section", *order], name="line_no").select("line_no", value)
 
 
+def as_array(rows: DataFrame, order: Sequence[str], value: str = "value") -> Column:
+    """The values of a small frame in ``order`` as one array, read when the query runs (a scalar subquery)."""
+    pairs = F.array_sort(F.collect_list(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], F.col(value).alias("_v"))))
+    return rows.agg(F.transform(pairs, lambda x: x["_v"]).alias("_a")).scalar()
+
+
 def header_for_batches(header: DataFrame, order: Sequence[str], n_batches: int, value: str = "value") -> DataFrame:
     """The header lines once per batch: ``batch_id, line_in_batch, value``.
 
-    The header is indexed, then each line is repeated ``n_batches`` times with
-    ``explode(sequence)`` - output size is exactly header x batches, no join.
+    The batch ids are a range that many tasks share; each repeats the header, read once, for its own.
     """
-    h = bounded_index(header, order, name="line_in_batch")
-    return h.select(
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(max(n_batches, 1) - 1).cast("bigint"))).alias("batch_id"),
-        "line_in_batch",
-        value,
-    )
+    ids = header.sparkSession.range(max(n_batches, 1)).withColumnRenamed("id", "batch_id")
+    return ids.select("batch_id", F.posexplode(as_array(header, order, value)).alias("_i", value)).select(
+        "batch_id", F.col("_i").cast("bigint").alias("line_in_batch"), value)

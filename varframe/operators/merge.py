@@ -7,11 +7,11 @@ one host. The merges are unions with an explicit order key ``(part, line_no)``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .index import bounded_index, dense_index
-from .lines import drop_header_lines
+from .lines import as_array, drop_header_lines, is_header
 
 # Coordinate columns of a tool's table output, and the INFO lines
 # that open and close the block of added declarations.
@@ -112,14 +112,8 @@ def _keyed(df: DataFrame, section: int) -> DataFrame:
 def _vcf_rows(parts: DataFrame, header: DataFrame, header_order: list[str]) -> DataFrame:
     """VCF parts stripped of ``#`` lines (D10) behind the header, repeated once per VCF suffix."""
     body = _keyed(drop_header_lines(parts), 1)
-    # the few output kinds of one tool
-    suffixes = [r["suffix"] for r in parts.select("suffix").distinct().collect()]
-    if not suffixes:
-        return body
-    h = bounded_index(header, header_order, name="_b").select(
-        F.explode(F.array(*[F.lit(x) for x in suffixes])).alias("suffix"),
-        F.lit(0).alias("_s"), F.lit(0).cast("bigint").alias("_a"), "_b", "value",
-    )
+    h = parts.select("suffix").distinct().select("suffix", F.posexplode(as_array(header, header_order)).alias("_i", "value")).select(
+        "suffix", F.lit(0).alias("_s"), F.lit(0).cast("bigint").alias("_a"), F.col("_i").cast("bigint").alias("_b"), "value")
     return h.unionByName(body)
 
 
@@ -143,12 +137,15 @@ def merge_vcf(parts: DataFrame, header: DataFrame, header_order: list[str]) -> D
     return _number(_vcf_rows(parts, header, header_order)).select("suffix", "line_no", "value")
 
 
-def merge_routed(parts: DataFrame, header: DataFrame, header_order: list[str]) -> DataFrame:
+def merge_routed(parts: DataFrame, header: DataFrame, header_order: list[str], dense: bool = False) -> DataFrame:
     """Route every suffix to its merge by kind (A36): ``suffix, kind, line_no, value``.
 
     The three kinds are prepared separately and numbered in one pass (one range
-    shuffle for all output files).
+    shuffle for all output files). ``dense`` says that every part numbers its lines from 0
+    without gaps, as a tool's stored output does (else the query fails): then nothing is shuffled or copied.
     """
+    if dense:
+        return _merge_dense(parts, header, header_order)
     k = parts.withColumn("kind", kind_of())
     pick = lambda kind: k.where(F.col("kind") == kind).drop("kind")
     rows = (
@@ -157,3 +154,31 @@ def merge_routed(parts: DataFrame, header: DataFrame, header_order: list[str]) -
         .unionByName(_keyed(pick("plain"), 1))
     )
     return _number(rows).withColumn("kind", kind_of()).select("suffix", "kind", "line_no", "value")
+
+
+def _merge_dense(parts: DataFrame, header: DataFrame, header_order: list[str]) -> DataFrame:
+    """One aggregate per part tells how many lines it keeps; a running sum over a suffix's parts tells where they go.
+
+    A line moves by its part's place and by the dropped lines before it: the first line of a
+    later table part, or the ``#`` lines of a VCF part (those above its first row, and stray ones further down).
+    """
+    lines = as_array(header, header_order)
+    k = parts.withColumn("kind", kind_of()).withColumn("_hash", (F.col("kind") == "vcf") & is_header())
+    stats = k.groupBy("suffix", "part", "kind").agg(
+        F.count(F.lit(1)).alias("n"), F.max("line_no").alias("last"), F.min(F.when(~F.col("_hash"), F.col("line_no"))).alias("top"),
+        F.array_sort(F.collect_list(F.when(F.col("_hash"), F.col("line_no")))).alias("hashes"))
+    by_part = Window.partitionBy("suffix").orderBy("part")
+    kind = F.col("kind")
+    stats = stats.withColumn("cut", F.when(kind == "vcf", F.coalesce("top", F.col("n"))).when(
+        (kind == "table") & (F.row_number().over(by_part) > 1), F.lit(1)).otherwise(F.lit(0)))
+    stray = F.expr("slice(hashes, cast(cut as int) + 1, greatest(size(hashes) - cast(cut as int), 0))")
+    gaps = F.raise_error(F.lit("merge: a part's lines aren't numbered from 0 without gaps")).cast("bigint")
+    stats = stats.withColumn("stray", stray).withColumn(
+        "kept", F.when(F.col("last") + 1 == F.col("n"), F.col("n") - F.col("cut") - F.size("stray")).otherwise(gaps))
+    before = F.coalesce(F.sum("kept").over(by_part.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    places = stats.select("suffix", "part", "cut", "stray", (before + F.when(kind == "vcf", F.size(lines)).otherwise(F.lit(0))).alias("start"))
+    rows = k.where((F.col("kind") != "vcf") | ~F.col("_hash")).join(places, ["suffix", "part"]).where(F.col("line_no") >= F.col("cut"))
+    skipped = F.when(F.size("stray") == 0, 0).otherwise(F.size(F.filter("stray", lambda x: x < F.col("line_no"))))
+    body = rows.select("suffix", "kind", (F.col("start") + F.col("line_no") - F.col("cut") - skipped).alias("line_no"), "value")
+    heads = k.where(kind == "vcf").select("suffix", "kind").distinct().select("suffix", "kind", F.posexplode(lines).alias("_i", "value"))
+    return heads.select("suffix", "kind", F.col("_i").cast("bigint").alias("line_no"), "value").unionByName(body)

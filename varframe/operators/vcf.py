@@ -145,14 +145,14 @@ def samples_long(rows: DataFrame, names: DataFrame, keep: DataFrame | None = Non
                  key: tuple[str, ...] = ("chrom", "pos", "ref", "alt")) -> DataFrame:
     """Wide samples to long rows ``key…, sample, gt`` (B17), optionally kept to a sample list.
 
-    ``names`` is ``sample_idx int, sample string`` from the column line; it and
-    ``keep`` have one row per sample of the file, so they are broadcast.
+    ``names`` is ``sample_idx int, sample string`` from the column line; it and ``keep`` have
+    one row per sample of the file. The places of the kept samples are found once; a row reads
+    and multiplies by those alone, whatever the number of its columns.
     """
-    long = rows.select(*key, "format", F.posexplode("samples").alias("sample_idx", "_s")).select(
-        *key, F.col("sample_idx").cast("int").alias("sample_idx"),
-        fv.sample_field(F.col("format"), F.col("_s"), "GT").alias("gt"),
-    )
-    n = F.broadcast(names)
     if keep is not None:
-        n = F.broadcast(names.join(keep.select("sample").distinct(), "sample", "left_semi"))
-    return long.join(n, "sample_idx").select(*key, "sample", "gt")
+        names = names.join(keep.select("sample").distinct(), "sample", "left_semi")
+    kept = names.agg(F.array_sort(F.collect_list(F.struct("sample_idx", "sample"))).alias("_kept")).scalar()
+    one = rows.select(*key, "format", "samples", F.explode(kept).alias("_s"))
+    # a line with fewer columns has no row for the missing samples
+    one = one.withColumn("_text", F.get("samples", F.col("_s.sample_idx"))).where(F.col("_text").isNotNull())
+    return one.select(*key, F.col("_s.sample").alias("sample"), fv.sample_field(F.col("format"), F.col("_text"), "GT").alias("gt"))

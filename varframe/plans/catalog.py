@@ -105,7 +105,7 @@ select line_no, value from ranked_lines""")
 def union_header_body(spark, d):
     """Header then body in order, with a dense line number."""
     head, body = _header_body(spark, d)
-    return ln.union_sections(head, body, ORDER)
+    return ln.union_sections(head, body, ORDER, scanned=True)
 
 
 # ---------------------------------------------------------------- batching
@@ -196,7 +196,7 @@ def batch_with_header(spark, d):
 
 
 def _with_header(head, body, size):
-    b = ix.batch(ix.index_rows(body, ORDER), size)
+    b = ix.batch(ix.split_index(body), size)
     n_head = head.count()
     n_batches = ix.count_batches(body, size)
     h = ln.header_for_batches(head, ORDER, n_batches)
@@ -420,7 +420,7 @@ def pipe_batches_file(spark, d):
 @query("job_line_batches", _JOB_LINES)
 def job_line_batches(spark, d):
     """Batches of 20000 lines each with the header, one process per batch, merged in order."""
-    return jobs.line_batches(fx.vcf_lines(spark, d), ORDER, UPPER_WITH_HEADER, 20000)
+    return jobs.line_batches(fx.vcf_lines(spark, d), ORDER, UPPER_WITH_HEADER, 20000, scanned=True)
 
 
 @query("job_stream", _JOB_LINES)
@@ -494,7 +494,7 @@ select cast(rn // 3 as bigint) as batch_id, cast(rn % 3 as bigint) as line_no,
 from (select *, row_number() over (order by gene) - 1 as rn from genes)""")
 def job_interval_batches(spark, d):
     """An interval list file read on the executors, batches of 3, one process per batch."""
-    return jobs.interval_batches(_interval_file(spark, d), ORDER, UPPER, 3)
+    return jobs.interval_batches(_interval_file(spark, d), ORDER, UPPER, 3, scanned=True)
 
 
 def _interval_file(spark, d):
@@ -514,7 +514,7 @@ select cast(rn // 3 as bigint) as batch_id, 'up.txt' as suffix, cast(rn % 3 as b
 union all select cast(rn // 3 as bigint), '', 0, cast(count(*) as varchar) from g group by 1""")
 def job_interval_batches_file(spark, d):
     """J5 with a tool that takes the batch as a file and writes files."""
-    return jobs.interval_batches(_interval_file(spark, d), text.LINE_KEY, UPPER_FILES, 3)
+    return jobs.interval_batches(_interval_file(spark, d), text.LINE_KEY, UPPER_FILES, 3, scanned=True)
 
 
 # ---------------------------------------------------------------- sinks (written, then read back)
@@ -542,7 +542,7 @@ select cast(rn // 20000 as bigint) as batch_id, cast(rn % 20000 as bigint) as li
 def write_batches(spark, d):
     """One file per batch of 20000 body lines, read back per batch."""
     _, body = _header_body(spark, d)
-    b = ix.batch(ix.index_rows(body, ORDER), 20000)
+    b = ix.batch(ix.split_index(body), 20000)
     p = sinks.write_batches(b, scratch_path(spark, "batches"), ["pos_in_batch"])
     back = text.scan_lines(spark, p).withColumn("batch_id", F.col("batch_id").cast("bigint"))
     return ix.split_index(back, name="line_no", group=["batch_id"]).select(
@@ -1029,3 +1029,12 @@ def write_by_suffix(spark, d):
     p = sinks.write_files(merged, scratch_path(spark, "suffixes"), "suffix", ["line_no"])
     back = text.scan_lines(spark, p).withColumn("suffix", F.element_at(F.split("file", "/"), -1))
     return ix.split_index(back, name="line_no", group=["suffix"]).select("suffix", "line_no", "value")
+
+
+@query("read_parts", """
+select part, suffix, row_number() over (partition by part, suffix order by line_no) - 1 as line_no, value from all_parts""")
+def read_parts(spark, d):
+    """Part files ``<part>.<suffix>`` written and read back, lines numbered per file."""
+    named = _parts(spark, d).withColumn("name", F.concat_ws(".", F.col("part").cast("string"), "suffix"))
+    p = sinks.write_files(named, scratch_path(spark, "parts"), "name", ["line_no"])
+    return text.read_parts(spark, p)

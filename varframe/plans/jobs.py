@@ -91,10 +91,13 @@ def _ordered_output(head: DataFrame, head_order, out: DataFrame, out_order, numb
 
 
 def line_batches(lines: DataFrame, order, cmd, batch_size: int = 20000, numbered: bool = True,
-                 partitions: int | None = None, declared: bool = False) -> DataFrame:
-    """Batches of ``batch_size`` body lines, each with the header, one process per batch."""
+                 partitions: int | None = None, declared: bool = False, scanned: bool = False) -> DataFrame:
+    """Batches of ``batch_size`` body lines, each with the header, one process per batch.
+
+    ``scanned`` says that the lines are still in their scan partitions, so that they are numbered without a shuffle.
+    """
     head, body = ln.split_header_body(lines)
-    b = ix.batch(ix.index_rows(body, order), batch_size)
+    b = ix.batch(ix.split_index(body) if scanned else ix.dense_index(body, order), batch_size)
     out = ex.pipe_batches(b, cmd, partitions=partitions, prefix=ln.header_lines(head, order))
     # written once: ordering the output reads it more than once, and each read would run the tool
     return _ordered_output(head, order, materialize(out, "tool_output"), ["batch_id", "line_no"], numbered, declared)
@@ -115,7 +118,7 @@ def outputs(lines: DataFrame, order, cmd, partitions: int | None = None) -> Data
     parts = materialize(ex.pipe_multi_output(body, cmd, order=order, partitions=partitions), "tool_outputs")
     decls = mg.info_declarations(mg.annotation_columns(mg.table_header(parts)))
     header = mg.patch_header(head, order, decls, ["decl_idx"])
-    return mg.merge_routed(parts, header, ["line_no"])
+    return mg.merge_routed(parts, header, ["line_no"], dense=True)
 
 
 def _batch_outputs(b: DataFrame, cmd, partitions: int | None) -> DataFrame:
@@ -132,9 +135,10 @@ def sample_batches(lines: DataFrame, order, cmd, batch_size: int = 10, partition
     return _batch_outputs(b.select("batch_id", "pos_in_batch", F.col("sample").alias("value")), cmd, partitions)
 
 
-def interval_batches(intervals: DataFrame, order, cmd, batch_size: int = 3, partitions: int | None = None) -> DataFrame:
-    """Interval-list lines in batches, one process per batch."""
-    b = ix.batch(ix.index_rows(intervals, order), batch_size)
+def interval_batches(intervals: DataFrame, order, cmd, batch_size: int = 3, partitions: int | None = None,
+                     scanned: bool = False) -> DataFrame:
+    """Interval-list lines in batches, one process per batch (``scanned``: see ``line_batches``)."""
+    b = ix.batch(ix.split_index(intervals) if scanned else ix.dense_index(intervals, order), batch_size)
     return _batch_outputs(b.select("batch_id", "pos_in_batch", "value"), cmd, partitions)
 
 
@@ -175,11 +179,12 @@ def run(spark: SparkSession, job: Job) -> DataFrame:
     size = job.batch_size or prof.get("batch_size")
     if prof["mode"] == "interval_batches":
         iv = text.read_intervals(spark, job.input)
-        return interval_batches(iv, text.LINE_KEY, job.tool_cmd, size, job.partitions)
+        return interval_batches(iv, text.LINE_KEY, job.tool_cmd, size, job.partitions, scanned=True)
     lines = ix.split_index(bgzf.read_lines(spark, job.input), name="line_no")
     mode = prof["mode"]
     if mode == "line_batches":
-        return line_batches(lines, ["line_no"], job.tool_cmd, size, numbered=False, partitions=job.partitions, declared=True)
+        return line_batches(lines, ["line_no"], job.tool_cmd, size, numbered=False, partitions=job.partitions, declared=True,
+                            scanned=True)
     if mode == "stream":
         return stream(lines, ["line_no"], job.tool_cmd, job.partitions, numbered=False, declared=True)
     if mode == "outputs":

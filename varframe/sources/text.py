@@ -68,15 +68,13 @@ def part_name(name_col: str = "name") -> tuple:
 def read_parts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Part files named ``<part>.<suffix>`` to rows ``part, suffix, line_no, value``.
 
-    ``line_no`` is the 0-based line inside its file, computed with the dense
-    index per file (no single-task window).
+    ``line_no`` is the 0-based line inside its file, counted where the file is scanned (no shuffle).
     """
-    from ..operators.index import dense_index
+    from ..operators.index import split_index
 
-    lines = scan_lines(spark, paths).withColumn("name", F.element_at(F.split("file", "/"), -1))
-    lines = lines.select(*part_name("name"), "file", "block", "seq", "value")
-    out = dense_index(lines, ["block", "seq"], name="line_no", group=["file"])
-    return out.select("part", "suffix", "line_no", "value")
+    lines = split_index(scan_lines(spark, paths), name="line_no", split=["block"], group=["file"])
+    lines = lines.withColumn("name", F.element_at(F.split("file", "/"), -1))
+    return lines.select(*part_name("name"), "line_no", "value")
 
 
 BENCH_SCHEMA = T.StructType(
