@@ -177,14 +177,14 @@ def contamination_brute(texts, items, size):
     return out
 
 
-@pytest.mark.parametrize("block", [1 << 20, 300])
+@pytest.mark.parametrize("block", [1 << 20, 256])  # with 256 bits nearly every word is a candidate
 def test_contamination(spark, block):
     rng = random.Random(6)
     some = lambda n: " ".join(rng.choice(["a", "b", "the", "É", "x1"]) for _ in range(n))
     items = [(i, some(rng.randint(1, 9))) for i in range(12)] + [(40, None), (41, "?!"), (42, "zz"), (3, "The, B"), (None, "b b b"), (42, "zz")]
     texts = [some(rng.randint(0, 60)) for _ in range(40)] + [None, "", "ZZ", "zz " * 50, "."]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = decontaminate.contamination(frame(spark, texts), bench, size=4, block_bytes=block).collect()
+    got = decontaminate.contamination(frame(spark, texts), bench, size=4, filter_bits=block).collect()
     assert {r.doc.doc_id: (r.n_words, r.n_hit, r.items, r.contaminated) for r in got} == contamination_brute(texts, items, 4)
     assert got[0].doc.spans == "x"
 
@@ -324,3 +324,32 @@ def test_links_pull_hosts_to_their_side(spark):
              (4, "http://friend.net/b", None), (5, "http://other.net/c", '<a href="/c">')]
     got = {r.page_id: r.verdict for r in url_filter.filter_urls(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
     assert got == {1: "block", 2: "block", 3: "allow", 4: "allow", 5: "allow"}
+
+
+def test_contamination_reads_the_corpus_as_often_for_any_benchmark(spark, tmp_path, monkeypatch):
+    """Ten thousand times the windows: the same passes over the documents, and no window comes to the driver."""
+    rng = random.Random(12)
+    some = lambda n: " ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") + rng.choice("0123456789") for _ in range(n))
+    texts = [some(60) for _ in range(50)]
+    frame(spark, texts).write.parquet(str(tmp_path / "docs"))
+    docs, passes = spark.read.parquet(str(tmp_path / "docs")), []
+    for name in ("corpus_counts", "candidates", "map_docs"):
+        real = getattr(decontaminate, name)
+        monkeypatch.setattr(decontaminate, name, lambda *a, real=real, name=name, **k: passes.append(name) or real(*a, **k))
+    for items in ([(0, texts[0])], [(i, some(60)) for i in range(3000)] + [(-1, "x " * 30 + texts[7])]):
+        bench = spark.createDataFrame(items, "item_id long, text string")
+        passes.clear()
+        got = {r.doc.doc_id: r["items"] for r in decontaminate.contamination(docs, bench).collect() if r.n_hit}
+        assert got == ({0: ["0"]} if len(items) == 1 else {7: ["-1"]})
+        assert passes == ["corpus_counts", "candidates", "map_docs"]
+
+
+def test_a_preamble_of_many_items_and_documents(spark):
+    """A window that many items and many documents share is joined with the items once for a set of windows."""
+    preamble = "read the following passage with care and answer every question that follows it"
+    bench = spark.createDataFrame([(i, f"{preamble} number{i} alpha{i}") for i in range(300)], "item_id long, text string")
+    texts = [f"{preamble} and more" for _ in range(400)] + [f"{preamble} number7 alpha7"]
+    got = decontaminate.contamination(frame(spark, texts), bench).collect()
+    assert all(r.n_hit == 13 and len(r["items"]) == 300 for r in got if r.doc.doc_id < 400)
+    last = [r for r in got if r.doc.doc_id == 400][0]
+    assert last.n_hit == 15 and len(last["items"]) == 300 and [tuple(s) for s in last.spans] == [(0, 15)]
