@@ -250,11 +250,18 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` that stay: one document of every class, all columns kept."""
+    """The rows of ``docs`` that stay: one row of every class, all columns kept; of a document's repeated rows one."""
+    spark = ready(docs.sparkSession)
     gone = near_classes(docs, id_col, text_col, similarity).filter("not kept").select(
         F.col("id").alias("_gone_id"), F.col("tkey").alias("_gone_tkey"))
     rows = docs.withColumn("_tkey", F.xxhash64(text_or_empty(text_col)))
-    return rows.join(gone, rows[id_col].eqNullSafe(gone["_gone_id"]) & (rows["_tkey"] == gone["_gone_tkey"]), "left_anti").drop("_tkey")
+    of = lambda found: rows[id_col].eqNullSafe(found["_gone_id"]) & (rows["_tkey"] == found["_gone_tkey"])
+    rows = rows.join(gone, of(gone), "left_anti")
+    twice = staged(spark, rows.groupBy(F.col(id_col).alias("_gone_id"), F.col("_tkey").alias("_gone_tkey")).agg(
+        F.count("*").alias("n")).filter("n > 1").drop("n"), "near-repeated")
+    # only repeated documents are brought together, the others' texts stay where they are
+    once = rows.join(twice, of(twice), "left_semi").dropDuplicates([id_col, "_tkey"])
+    return rows.join(twice, of(twice), "left_anti").unionByName(once).drop("_tkey")
 
 
 def op2_near_dedup(spark, sf_dir):

@@ -2,16 +2,19 @@
 
 Base spans come from three patterns (assignments of a password, token or key; access key
 ids; long hex strings). The method adds spans of kind ``random``: runs of key characters, of
-``MIN_RUN`` or more, in which two first-order character models disagree. Runs are maximal
-outside base spans: what a base span leaves of a run is judged by itself. One model is
-trained on the values of base spans (random strings), the other on ordinary words and
-identifiers; a run is reported, as a whole, if in any window of it, of ``MIN_RUN``
-transitions or more, the mean log-likelihood ratio exceeds ``MIN_RATIO`` nats.
-
-The values of base spans may use few of the key characters (hex), so the random model is
-mostly uniform over all of them (``UNIFORM``); a small share of the ordinary model
-(``ODD``) is uniform too. Both shares are fixed, which bounds the ratio of every pair, so it
-doesn't drift as the training data grows. Characters no word has end a word.
+``MIN_RUN`` or more, in which two kinds of first-order character models disagree. Runs are maximal
+outside base spans: what a base span leaves of a run is judged by itself. Random strings have
+a model for each character class (``CLASSES``: digits, hex, base32, base62, base64, ...),
+trained on the values of base spans of that class; ordinary words and identifiers have one. A
+run is judged by the model of the smallest class that holds it, and reported, as a whole, if in any window of it, of
+``MIN_RUN`` transitions or more, the mean log-likelihood ratio exceeds ``MIN_RATIO`` nats.
+
+A class's model mixes the trained transitions with the class's uniform distribution. The samples are
+dealt by a hash of the value into thirds: one trains the transitions, one fits the mixture's weight by expectation
+maximisation, one is held out (``held_out`` reports its likelihood against the uniform distribution). A class
+without samples is uniform. A small share of the ordinary model (``ODD``) is uniform, which bounds
+the ratio of every pair, so it doesn't drift as the training data grows. Characters no word has end a
+word. Dots join the parts of a run (as in web tokens) and count for neither side.
 
 Training reads at most about ``SAMPLE`` documents, chosen by a hash of their id; scanning
 reads every text whole.
@@ -25,6 +28,7 @@ empty result; all columns of the documents are kept in ``doc``, whatever their n
 from __future__ import annotations
 
 import re
+import zlib
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -37,7 +41,7 @@ SAMPLE = 20_000
 MIN_RUN = 20
 MIN_RATIO = 1.0
 PRIOR = 100.0
-UNIFORM, ODD = 0.9, 0.05
+ODD = 0.05
 MIN_VALUE, MIN_ACCESS, MIN_HEX = 12, 18, 16
 
 
@@ -52,7 +56,7 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 # runs are maximal, so asking for the length at once finds the same runs
 HEX = re.compile(r"[0-9a-f]{%d,}" % MIN_HEX)
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_RUN)
+RUN = re.compile(r"[A-Za-z0-9+/_=-](?:[A-Za-z0-9+/_=-]|\.(?=[A-Za-z0-9+/_=-])){%d,}" % (MIN_RUN - 1))
 # words too short to be judged themselves: a longer run may be an unlabelled secret
 WORD = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z][A-Za-z0-9_-]{7,%d}(?![A-Za-z0-9+/_=-])" % (MIN_RUN - 2))
 
@@ -62,6 +66,16 @@ _CODE = np.full(256, STATES - 1, dtype=np.int64)
 for _i, _c in enumerate(ALPHABET):
     _CODE[ord(_c)] = _i
 _NOT_IN_WORDS = [ALPHABET.index(c) for c in "+/.="]
+_DOT = ALPHABET.index(".")
+
+_UPPER, _LOWER, _DIGITS = ALPHABET[:26], ALPHABET[26:52], ALPHABET[52:62]
+# from small to large: a run belongs to the first that holds all its characters
+CLASSES = {
+    "digits": _DIGITS, "hex": _DIGITS + "abcdef", "HEX": _DIGITS + "ABCDEF", "lower": _LOWER, "upper": _UPPER, "BASE32": _UPPER + "234567=",
+    "lower+digits": _LOWER + _DIGITS, "upper+digits": _UPPER + _DIGITS, "base62": ALPHABET[:62], "base64": ALPHABET[:62] + "+/=",
+    "base64url": ALPHABET[:62] + "_-=", "all": ALPHABET.replace(".", "")}
+_SETS = [frozenset(c) for c in CLASSES.values()]
+PARTS = 3  # of the samples: train, fit the mixture, held out
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -79,63 +93,111 @@ def transitions(word: str) -> np.ndarray:
     return s[:-1] * STATES + s[1:]
 
 
+def class_of(run: str) -> int:
+    """The number of the smallest class that holds all characters of a run but its dots."""
+    chars = set(run)
+    chars.discard(".")
+    return next(i for i, known in enumerate(_SETS) if chars <= known)
+
+
 def samples(text: str) -> list[tuple[int, str]]:
-    """Labelled strings of a text: 1 for values of base spans, 0 for other words."""
+    """Labelled strings of a text: 0 for ordinary words, else 1 + class * PARTS + part for values of base spans."""
     spans = [(m.start(2), m.end(2)) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= MIN_VALUE]
     spans += [(s, e) for s, k, e in base_spans(text) if k]
     covered = {p for s, e in spans for p in range(s, e)}
-    out = [(1, text[s:e]) for s, e in spans]
+    values = [text[s:e] for s, e in spans]
+    out = [(1 + class_of(v) * PARTS + zlib.crc32(v.encode()) % PARTS, v) for v in values]
     return out + [(0, m.group()) for m in WORD.finditer(text) if m.start() not in covered]
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> np.ndarray | None:
-    """Log-likelihood ratios of all pairs of states, or None without examples of either kind."""
+def counted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> np.ndarray:
+    """Transitions seen in the labelled strings of at most about ``sample`` documents: label by pair of states."""
     ready(docs.sparkSession)
     total = docs.select(F.lit(1)).count()
     share = max(1, -(-total // sample))
-    chosen = docs.filter(F.pmod(F.xxhash64(F.col(id_col)), F.lit(share)) == 0).select(text_or_empty(text_col).alias("text"))
+    by = F.xxhash64(F.col(id_col), F.xxhash64(text_or_empty(text_col)))  # rows without ids are dealt by their texts
+    chosen = docs.filter(F.pmod(by, F.lit(share)) == 0).select(text_or_empty(text_col).alias("text"))
+    labels = 1 + len(CLASSES) * PARTS
 
     def count(batches):
         import pyarrow as pa
 
-        seen = np.zeros((2, STATES * STATES), dtype=np.int64)
+        seen = np.zeros((labels, STATES * STATES), dtype=np.int64)
         for batch in batches:
             for lo, hi in text_slices(batch.column(0)):
-                found = [x for text in batch.column(0).slice(lo, hi - lo).to_pylist() for x in samples(text)]
-                for label in (0, 1):  # words end to end, with a border between
-                    if joined := "\0".join(w for own, w in found if own == label):
-                        seen[label] += np.bincount(transitions(joined), minlength=STATES * STATES)
+                held: dict[int, list[str]] = {}
+                for text in batch.column(0).slice(lo, hi - lo).to_pylist():
+                    for label, word in samples(text):
+                        held.setdefault(label, []).append(word)
+                for label, found in held.items():  # words end to end, with a border between
+                    seen[label] += np.bincount(transitions("\0".join(found)), minlength=STATES * STATES)
         label, pair = np.nonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(label), pa.array(pair), pa.array(seen[label, pair])],
                                          ["label", "pair", "n"])
 
-    counts = np.zeros((2, STATES * STATES))
+    counts = np.zeros((labels, STATES * STATES))
     for r in chosen.mapInArrow(count, "label long, pair long, n long").groupBy("label", "pair").agg(
-            F.sum("n").alias("n")).collect():  # at most two rows per pair of states
+            F.sum("n").alias("n")).collect():  # at most one row per label and pair of states
         counts[r["label"], r["pair"]] = r["n"]
-    if not counts.sum(axis=1).all():
-        return None
-    return pair_ratios(counts)
+    return counts
+
+
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> np.ndarray | None:
+    """Per class the log-likelihood ratios of all pairs of states, or None without examples of either kind."""
+    counts = counted(docs, id_col, text_col, sample)
+    return pair_ratios(counts) if counts[0].any() and counts[1:].any() else None
 
 
 def pair_ratios(counts: np.ndarray) -> np.ndarray:
-    """Log-likelihood ratios of all pairs of states, from the counts in words and in random strings."""
-    words, values = (transition_chances(x.reshape(STATES, STATES)) for x in counts)
+    """Log-likelihood ratios of all pairs of states, class by class, from the counts by label."""
+    words = transition_chances(counts[0].reshape(STATES, STATES), np.arange(STATES))
     words[_NOT_IN_WORDS, :] = words[-1, :]
     words[:, _NOT_IN_WORDS] = words[:, -1:]
-    return (np.log((1 - UNIFORM) * values + UNIFORM / STATES) - np.log((1 - ODD) * words + ODD / STATES)).reshape(-1)
-
-
-def transition_chances(counts: np.ndarray) -> np.ndarray:
-    """Chances of the next state; what a state has rarely or never been seen with follows the states' overall shares."""
-    overall = counts.sum(axis=0) + 0.5
+    out = np.stack([np.log(random_chances(counts, c)[0]) - np.log((1 - ODD) * words + ODD / STATES) for c in range(len(CLASSES))])
+    out[:, _DOT, :] = out[:, :, _DOT] = 0.0
+    return out.reshape(len(CLASSES), -1)
+
+
+def random_chances(counts: np.ndarray, c: int) -> tuple[np.ndarray, float]:
+    """Chances of the next state in a random string of a class, and the weight of the trained ones among them."""
+    train_, fit, _ = (counts[1 + c * PARTS + i].reshape(STATES, STATES) for i in range(PARTS))
+    own = np.array([ALPHABET.index(x) for x in list(CLASSES.values())[c]] + [STATES - 1])
+    uniform = np.full((STATES, STATES), 1 / len(own))
+    trained = uniform.copy()
+    trained[np.ix_(own, own)] = transition_chances(train_, own)[np.ix_(own, own)]
+    weight = 0.0
+    if train_.any() and fit.any():
+        weight = 0.5
+        for _ in range(50):
+            part = weight * trained / (weight * trained + (1 - weight) * uniform)
+            weight = float((fit * part).sum() / fit.sum())
+    return weight * trained + (1 - weight) * uniform, weight
+
+
+def held_out(counts: np.ndarray) -> list[tuple[str, int, float, float, float, float]]:
+    """Per class with held-out samples: name, their transitions, the fitted weight, and the mean log-likelihood of a
+    transition by the fitted model, by the class's uniform distribution and by one over all states."""
+    out = []
+    for c, (name, alphabet) in enumerate(CLASSES.items()):
+        test = counts[1 + c * PARTS + PARTS - 1].reshape(STATES, STATES)
+        if test.any():
+            chances, weight = random_chances(counts, c)
+            out.append((name, int(test.sum()), weight, float((test * np.log(chances)).sum() / test.sum()),
+                        -float(np.log(len(alphabet) + 1)), -float(np.log(STATES))))
+    return out
+
+
+def transition_chances(counts: np.ndarray, states: np.ndarray) -> np.ndarray:
+    """Chances of the next state; what a state has rarely or never been seen with follows the overall shares of ``states``."""
+    overall = np.zeros(STATES)
+    overall[states] = counts.sum(axis=0)[states] + 0.5
     overall /= overall.sum()
     return (counts + PRIOR * overall) / (counts.sum(axis=1, keepdims=True) + PRIOR)
 
 
 def looks_random(run: str, ratios: np.ndarray) -> bool:
     """Whether the mean ratio of some window of at least ``MIN_RUN`` transitions exceeds ``MIN_RATIO``."""
-    gain = np.concatenate([[0.0], np.cumsum(ratios[transitions(run)] - MIN_RATIO)])
+    gain = np.concatenate([[0.0], np.cumsum(ratios[class_of(run)][transitions(run)] - MIN_RATIO)])
     return bool((gain[MIN_RUN:] > np.minimum.accumulate(gain[:-MIN_RUN])).any())
 
 
