@@ -353,3 +353,41 @@ def test_a_preamble_of_many_items_and_documents(spark):
     assert all(r.n_hit == 13 and len(r["items"]) == 300 for r in got if r.doc.doc_id < 400)
     last = [r for r in got if r.doc.doc_id == 400][0]
     assert last.n_hit == 15 and len(last["items"]) == 300 and [tuple(s) for s in last.spans] == [(0, 15)]
+
+
+def test_a_conversation_of_many_ranges(spark):
+    """A conversation that holds most rows is dealt over ranges; places and digests are those of one pass."""
+    rng = random.Random(4)
+    rows = [(1, i, rng.choice(["user", "assistant"]), f"say {i} ###{'x' * rng.randrange(9)}") for i in range(900)]
+    rows += [(c, i, "user", "hello there") for c in range(2, 40) for i in range(3)] + [(None, i % 2, "assistant", None) for i in range(300)] + [(50, 1, "user", "same")] * 200
+    rng.shuffle(rows)
+    df = spark.createDataFrame([(*r, "k", 1) for r in rows], "conv_id long, turn long, role string, text string, ids string, range long").repartition(9)
+    path = bpe.tokenizer_file()
+    made = chat.format_turns(df, path)
+    got = made.collect()
+    ranges = {(r.conv_id, r.token_start) for r in got}
+    assert len(got) == len(ranges) == len(rows)
+    for conv in (1, 2, None, 50):
+        own = sorted((r for r in got if r.conv_id == conv), key=lambda r: r.token_start)
+        assert [r.token_start for r in own] == np.cumsum([0, *[len(r.ids) for r in own]])[:-1].tolist()
+        assert [(r.turn, r.role, r.text) for r in own] == sorted((t, r, x or "") for c, t, r, x in rows if c == conv)
+    back = {r.conv_id: r for r in chat.read_back(made, path).collect()}
+    for conv in {r[0] for r in rows}:
+        own = sorted((t, r, x or "") for c, t, r, x in rows if c == conv)
+        said = "".join(x for _, r, x in own if r == "assistant")
+        assert back[conv].n_turns == len(own) and back[conv].loss_chars == len(said)
+        assert back[conv].turns_sha256 == hashlib.sha256("".join(f"{r}\n{x}\n" for _, r, x in own).encode()).hexdigest()
+        assert back[conv].loss_sha256 == hashlib.sha256(said.encode()).hexdigest()
+
+
+def test_chat_and_counts_of_odd_tables(spark):
+    """A turn of over 1 MB, an empty table, clashing names."""
+    path = bpe.tokenizer_file()
+    text = "long words and ### marks " * 50000
+    df = spark.createDataFrame([("c", 1, "assistant", text, 1)], "conv_id string, turn int, role string, text string, mask int")
+    back = chat.read_back(chat.format_turns(df, path), path).collect()
+    assert [(r.n_turns, r.loss_chars, r.loss_sha256) for r in back] == [(1, len(text), hashlib.sha256(text.encode()).hexdigest())]
+    assert chat.read_back(chat.format_turns(df.limit(0), path), path).count() == 0
+    odd = spark.createDataFrame([(1, "some words", 5, "d")], "doc_id long, text string, n_tokens int, doc string")
+    counted = token_counts.token_counts(odd, token_counts.model_file())
+    assert counted.first().n_tokens > 0 and counted.first().doc.n_tokens == 5 and token_counts.token_counts(odd.limit(0), token_counts.model_file()).count() == 0

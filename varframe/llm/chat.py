@@ -7,9 +7,12 @@ occur are escaped with backslashes before encoding, reversibly, so the string fo
 read back too. The loss mask is the prefix sum of +1 where an assistant's text begins and
 -1 where it ends; a turn's place in its conversation is the prefix sum of the lengths before.
 
-Segments are encoded where the rows are read; the conversation is only put in order after
-that, by one exchange on its id, and streamed turn by turn: a conversation of any length
-needs no more memory than its turns.
+Turns are range-partitioned by conversation and place, so a conversation with a third of all
+rows is dealt over many tasks; segments are encoded there, streamed turn by turn, and written once. A task
+sums up the lengths before each turn within its range; what earlier ranges of the same
+conversation hold comes from a small table (one row per range a conversation goes on in). Reading
+back decodes every turn where it lies; only the decoded turns meet, streamed in order into the digest of
+their conversation. No step holds more than a batch of turns.
 
 Defined results: null texts and roles are empty; a null conversation id is a conversation of
 its own; turns are ordered by number (null first), then role, then text; repeated rows are
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import bpe
-from .common import ready, table
+from .common import ready, staged, table
 
 LOSS_ROLE = "assistant"
 OPEN, COLON, CLOSE = "### ", ": ", "</turn>\n"
@@ -90,7 +93,7 @@ def _template(tokenizer: str) -> Template:
     return _TEMPLATES[key]
 
 
-SCHEMA = "conv_id {conv}, turn {turn}, role string, text string, ids array<int>, mask array<tinyint>"
+SCHEMA = "conv_id {conv}, turn {turn}, role string, text string, ids array<int>, mask array<tinyint>, own_start long"
 
 
 def format_turns(conversations: DataFrame, tokenizer_path: str, conv_col: str = "conv_id", turn_col: str = "turn",
@@ -103,26 +106,42 @@ def format_turns(conversations: DataFrame, tokenizer_path: str, conv_col: str =
                                 F.coalesce(F.col(role_col).cast("string"), F.lit("")).alias("role"),
                                 F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     kinds = dict(rows.dtypes)
+    order = [F.col("conv_id"), F.asc_nulls_first("turn"), F.col("role"), F.col("text"), F.col("row")]  # row tells repeated turns apart
+    rows = rows.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order).drop("row")
 
     def assemble(batches):
         import pyarrow as pa
 
         template = _template(sent.value)
+        now, passed = None, 0  # the conversation, and its tokens so far in this range
         for batch in batches:
             roles, texts = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             turns = template.turns(roles, texts)
+            starts = []
+            for conv, (ids, _, _) in zip(batch.column(0).to_pylist(), turns, strict=True):
+                if now != (conv,):
+                    now, passed = (conv,), 0
+                starts.append(passed)
+                passed += len(ids)
             offsets = pa.array(np.cumsum([0, *[len(x[0]) for x in turns]]).astype(np.int32))
             ids = np.concatenate([np.empty(0, dtype=np.int32), *[x[0] for x in turns]])
             masks = np.concatenate([np.empty(0, dtype=np.int8),
                                     *[mask(len(x[0]), r, x[1], x[2]) for x, r in zip(turns, roles, strict=True)]])
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.ListArray.from_arrays(offsets, pa.array(ids)),
-                 pa.ListArray.from_arrays(offsets, pa.array(masks))], ["conv_id", "turn", "role", "text", "ids", "mask"])
+                 pa.ListArray.from_arrays(offsets, pa.array(masks)), pa.array(starts, pa.int64())],
+                ["conv_id", "turn", "role", "text", "ids", "mask", "own_start"])
 
     made = rows.mapInArrow(assemble, SCHEMA.format(conv=kinds["conv_id"], turn=kinds["turn"]))
-    order = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("turn"), "role", "text")
-    before = F.sum(F.size("ids").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return made.withColumn("token_start", before - F.size("ids"))
+    made = staged(spark, made.withColumn("range", F.spark_partition_id()), "chat-turns")
+    held = made.groupBy("conv_id", "range").agg(F.sum(F.size("ids").cast("long")).alias("n"))
+    earlier = Window.partitionBy("conv_id").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    before = held.withColumn("before", F.sum("n").over(earlier)).filter("before is not null").select(  # of later ranges only
+        F.col("conv_id").alias("of"), F.col("range").alias("in_range"), "before")
+    before = staged(spark, before, "chat-ranges")
+    placed = made.join(before, made["conv_id"].eqNullSafe(before["of"]) & (made["range"] == before["in_range"]), "left")
+    return placed.select("conv_id", "turn", "role", "text", "ids", "mask",
+                         (F.col("own_start") + F.coalesce("before", F.lit(0))).alias("token_start"))
 
 
 def read_back(formatted: DataFrame, tokenizer_path: str) -> DataFrame:
@@ -135,15 +154,31 @@ def read_back(formatted: DataFrame, tokenizer_path: str) -> DataFrame:
         sent = spark.sparkContext.broadcast(f.read())
     conv = dict(formatted.dtypes)["conv_id"]
 
-    def read(batches):
+    def decode(batches):
+        """Every turn by itself, wherever it lies: its digest line, what counts for the loss, its length."""
         import pyarrow as pa
 
         template = _template(sent.value)
-        now, state = None, None
-        done: list = []
+        for batch in batches:
+            lines, losses, shown = [], [], []
+            for ids, masked in zip(batch.column(2), batch.column(3), strict=True):
+                ids = ids.values.to_numpy()
+                text = template.text(ids)
+                role, said = TURN.match(text).groups()
+                lines.append(f"{unescape(role)}\n{unescape(said)}\n")
+                losses.append(unescape(template.text(ids[masked.values.to_numpy().astype(bool)])))
+                shown.append(len(text))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(lines, pa.string()), pa.array(losses, pa.string()), pa.array(shown, pa.int64())],
+                                             ["conv_id", "token_start", "line", "loss", "shown"])
+
+    def digest(batches):
+        """The ordered turns of each conversation as one stream."""
+        import pyarrow as pa
+
+        now, state, done, kind = None, None, [], None
 
         def closed():
-            turns, loss, n, chars, shown, _ = state
+            turns, loss, n, chars, shown = state
             return (now[0], n, turns.hexdigest(), chars, loss.hexdigest(), shown)
 
         def batch_of(rows):
@@ -153,21 +188,16 @@ def read_back(formatted: DataFrame, tokenizer_path: str) -> DataFrame:
 
         for batch in batches:
             kind = batch.column(0).type
-            for conv_id, ids, masked in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+            for conv_id, line, loss, shown in zip(*[batch.column(i).to_pylist() for i in (0, 2, 3, 4)], strict=True):
                 if now != (conv_id,):
                     if now is not None:
                         done.append(closed())
-                    now, state = (conv_id,), [hashlib.sha256(), hashlib.sha256(), 0, 0, 0, None]
-                ids = ids.values.to_numpy()
-                masked = masked.values.to_numpy().astype(bool)
-                shown = template.text(ids)
-                role, text = TURN.match(shown).groups()
-                said = unescape(template.text(ids[masked]))
-                state[0].update(f"{unescape(role)}\n{unescape(text)}\n".encode())
-                state[1].update(said.encode())
+                    now, state = (conv_id,), [hashlib.sha256(), hashlib.sha256(), 0, 0, 0]
+                state[0].update(line.encode())
+                state[1].update(loss.encode())
                 state[2] += 1
-                state[3] += len(said)
-                state[4] += len(shown)
+                state[3] += len(loss)
+                state[4] += shown
             if len(done) >= 1000:
                 yield batch_of(done)
                 done = []
@@ -176,10 +206,11 @@ def read_back(formatted: DataFrame, tokenizer_path: str) -> DataFrame:
         if done:
             yield batch_of(done)
 
-    together = formatted.select("conv_id", "ids", "mask", "token_start").repartition("conv_id").sortWithinPartitions(
-        "conv_id", "token_start")
+    decoded = formatted.select("conv_id", "token_start", "ids", "mask").mapInArrow(
+        decode, f"conv_id {conv}, token_start long, line string, loss string, shown long")
+    together = decoded.repartition("conv_id").sortWithinPartitions("conv_id", "token_start")
     return together.mapInArrow(
-        read, f"conv_id {conv}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+        digest, f"conv_id {conv}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 PROBE = "\\### Assistant: </turn> ok"
