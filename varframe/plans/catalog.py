@@ -1038,3 +1038,62 @@ def read_parts(spark, d):
     named = _parts(spark, d).withColumn("name", F.concat_ws(".", F.col("part").cast("string"), "suffix"))
     p = sinks.write_files(named, scratch_path(spark, "parts"), "name", ["line_no"])
     return text.read_parts(spark, p)
+
+
+# ---------------------------------------------------------------- coordinate order, several files as one
+
+from ..operators import cohort  # noqa: E402
+
+
+@query("coordinate_order", """
+select row_number() over (order by cast(substr(chrom, 4) as int), pos, ref, alt, qual, rf, tax, dp) - 1 as idx, chrom, pos, ref, alt from variants""")
+def coordinate_order(spark, d):
+    """Variants numbered in coordinate order: contigs as the header lists them, chr2 before chr10."""
+    ranks = cohort.contig_ranks(_header_body(spark, d)[0], ORDER)
+    rows = cohort.with_contig_rank(fx.variants(spark, d), ranks)
+    return ix.dense_index(rows, [*cohort.COORDINATES, "qual", "rf", "tax", "dp"]).select("idx", "chrom", "pos", "ref", "alt")
+
+
+def _two_files(spark, d):
+    """The VCF as two files: odd positions with samples 0 to 14, even ones with samples 24 down to 10 and an own header."""
+    head, body = _header_body(spark, d)
+    cut = F.split("value", "\t")
+    root = scratch_path(spark, "cohort")
+
+    def part(name, rows, samples, declared):
+        kept = F.concat(F.slice(cut, 1, 9), F.array(*[F.get(cut, F.lit(9 + i)) for i in samples]))
+        line = F.when(F.col("value").startswith("##"), declared).otherwise(F.array_join(kept, "\t"))
+        both = head.unionByName(rows).withColumn("value", line)
+        return sinks.write_file(both, f"{root}/{name}", ORDER)
+
+    pos = F.get(cut, F.lit(1)).try_cast("bigint")
+    one = part("a.vcf", body.where(pos % 2 == 1), range(15), F.col("value"))
+    two = part("b.vcf", body.where(pos % 2 == 0), range(24, 9, -1), F.regexp_replace(
+        F.regexp_replace("value", "ID=DP,Number=1,Type=Integer", "ID=DP,Number=1,Type=Float"), "ID=RF,", "ID=RF2,"))
+    return text.scan_lines(spark, [one, two])
+
+
+@query("merge_cohort", """
+with m as (
+  select chrom, pos, ref, alt, row_number() over () as tie, string_split(value, chr(9)) as f from body),
+b as (
+  select *, concat_ws(chr(9), array_to_string(f[1:9], chr(9)), array_to_string(list_transform(range(25), lambda i:
+    case when pos % 2 = 1 then case when (case when i < 15 then i else 39 - i end) < 15 then f[10 + i] else '.' end
+         else case when i >= 15 then f[10 + 39 - i] when i >= 10 then f[10 + i] else '.' end end), chr(9))) as value from m),
+n as (select list(n_name order by n_nationkey) as names from nation),
+h as (
+  select line_no, value from ranked_lines where value like '##%'
+  union all select 1.5, replace(value, 'ID=RF,', 'ID=RF2,') from ranked_lines where value like '##INFO=<ID=RF,%')
+select chrom, pos, value from b
+union all select null, null, value from h
+union all select null, null, concat(array_to_string(['#CHROM', 'POS', 'ID', 'REF', 'ALT', 'QUAL', 'FILTER', 'INFO', 'FORMAT'], chr(9)), chr(9),
+  array_to_string(list_transform(range(25), lambda i: names[1 + case when i < 15 then i else 39 - i end]), chr(9))) from n""")
+def merge_cohort(spark, d):
+    """Two files with different headers and samples as one file's lines."""
+    return cohort.merge_files(_two_files(spark, d)).select("chrom", "pos", "value")
+
+
+@query("header_conflicts", "select 'INFO' as kind, 'DP' as id, '1/Float, 1/Integer' as declared from region limit 1")
+def header_conflicts(spark, d):
+    """Fields that the two files declare differently."""
+    return cohort.header_conflicts(_two_files(spark, d))
