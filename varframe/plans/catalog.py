@@ -1097,3 +1097,13 @@ def merge_cohort(spark, d):
 def header_conflicts(spark, d):
     """Fields that the two files declare differently."""
     return cohort.header_conflicts(_two_files(spark, d))
+
+
+# ---------------------------------------------------------------- resumable batches
+
+@query("job_ledger", _JOB_LINES)
+def job_ledger(spark, d):
+    """J1 with a ledger, run twice: the second run finds every batch done and returns the same output."""
+    folder = scratch_path(spark, "ledger")
+    jobs.line_batches(fx.vcf_lines(spark, d), ORDER, UPPER_WITH_HEADER, 20000, scanned=True, ledger=folder)
+    return jobs.line_batches(fx.vcf_lines(spark, d), ORDER, ["false"], 20000, scanned=True, ledger=folder)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..operators import annotate as an
 from ..operators import external as ex
 from ..operators import index as ix
+from ..operators import ledger as lg
 from ..operators import lines as ln
 from ..operators import merge as mg
 from ..operators import vcf
@@ -41,6 +42,7 @@ class Job:
     batch_size: int | None = None
     partitions: int | None = None
     extra: dict = field(default_factory=dict)
+    ledger: str | None = None
 
 
 # Tool profiles: how each kind of tool is fed (fixed values of the reference's jobs)
@@ -91,16 +93,21 @@ def _ordered_output(head: DataFrame, head_order, out: DataFrame, out_order, numb
 
 
 def line_batches(lines: DataFrame, order, cmd, batch_size: int = 20000, numbered: bool = True,
-                 partitions: int | None = None, declared: bool = False, scanned: bool = False) -> DataFrame:
+                 partitions: int | None = None, declared: bool = False, scanned: bool = False, ledger: str | None = None) -> DataFrame:
     """Batches of ``batch_size`` body lines, each with the header, one process per batch.
 
     ``scanned`` says that the lines are still in their scan partitions, so that they are numbered without a shuffle.
+    With ``ledger``, a shared folder, a run that was stopped goes on with the batches it hasn't done.
     """
     head, body = ln.split_header_body(lines)
     b = ix.batch(ix.split_index(body) if scanned else ix.dense_index(body, order), batch_size)
-    out = ex.pipe_batches(b, cmd, partitions=partitions, prefix=ln.header_lines(head, order))
-    # written once: ordering the output reads it more than once, and each read would run the tool
-    return _ordered_output(head, order, materialize(out, "tool_output"), ["batch_id", "line_no"], numbered, declared)
+    prefix = ln.header_lines(head, order)
+    if ledger:
+        out = lg.Ledger(lines.sparkSession, ledger).run(b, cmd, prefix=prefix, partitions=partitions)
+    else:
+        # written once: ordering the output reads it more than once, and each read would run the tool
+        out = materialize(ex.pipe_batches(b, cmd, partitions=partitions, prefix=prefix), "tool_output")
+    return _ordered_output(head, order, out, ["batch_id", "line_no"], numbered, declared)
 
 
 def stream(lines: DataFrame, order, cmd, partitions: int | None = None, numbered: bool = True, declared: bool = False) -> DataFrame:
@@ -121,25 +128,28 @@ def outputs(lines: DataFrame, order, cmd, partitions: int | None = None) -> Data
     return mg.merge_routed(parts, header, ["line_no"], dense=True)
 
 
-def _batch_outputs(b: DataFrame, cmd, partitions: int | None) -> DataFrame:
+def _batch_outputs(b: DataFrame, cmd, partitions: int | None, ledger: str | None = None) -> DataFrame:
     """Batches through the tool, by files if its command names them, else by its standard input and output."""
+    if ledger:
+        return lg.Ledger(b.sparkSession, ledger).run(b, cmd, partitions=partitions)
     by_file = any("{in}" in a or "{out}" in a for a in cmd)
     return (ex.pipe_batches_file if by_file else ex.pipe_batches)(b, cmd, partitions=partitions)
 
 
-def sample_batches(lines: DataFrame, order, cmd, batch_size: int = 10, partitions: int | None = None) -> DataFrame:
+def sample_batches(lines: DataFrame, order, cmd, batch_size: int = 10, partitions: int | None = None,
+                   ledger: str | None = None) -> DataFrame:
     """Sample names of the column line in batches, one process per batch."""
     head, _ = ln.split_header_body(lines)
     names = ln.sample_names(head, order)
     b = ix.batch(ix.dense_index(names, ["sample_idx"]), batch_size)
-    return _batch_outputs(b.select("batch_id", "pos_in_batch", F.col("sample").alias("value")), cmd, partitions)
+    return _batch_outputs(b.select("batch_id", "pos_in_batch", F.col("sample").alias("value")), cmd, partitions, ledger)
 
 
 def interval_batches(intervals: DataFrame, order, cmd, batch_size: int = 3, partitions: int | None = None,
-                     scanned: bool = False) -> DataFrame:
+                     scanned: bool = False, ledger: str | None = None) -> DataFrame:
     """Interval-list lines in batches, one process per batch (``scanned``: see ``line_batches``)."""
     b = ix.batch(ix.split_index(intervals) if scanned else ix.dense_index(intervals, order), batch_size)
-    return _batch_outputs(b.select("batch_id", "pos_in_batch", "value"), cmd, partitions)
+    return _batch_outputs(b.select("batch_id", "pos_in_batch", "value"), cmd, partitions, ledger)
 
 
 ANN = '##INFO=<ID={name},Number=.,Type=String,Description="Overlapping genes: {fields}">'
@@ -179,17 +189,17 @@ def run(spark: SparkSession, job: Job) -> DataFrame:
     size = job.batch_size or prof.get("batch_size")
     if prof["mode"] == "interval_batches":
         iv = text.read_intervals(spark, job.input)
-        return interval_batches(iv, text.LINE_KEY, job.tool_cmd, size, job.partitions, scanned=True)
+        return interval_batches(iv, text.LINE_KEY, job.tool_cmd, size, job.partitions, scanned=True, ledger=job.ledger)
     lines = ix.split_index(bgzf.read_lines(spark, job.input), name="line_no")
     mode = prof["mode"]
     if mode == "line_batches":
         return line_batches(lines, ["line_no"], job.tool_cmd, size, numbered=False, partitions=job.partitions, declared=True,
-                            scanned=True)
+                            scanned=True, ledger=job.ledger)
     if mode == "stream":
         return stream(lines, ["line_no"], job.tool_cmd, job.partitions, numbered=False, declared=True)
     if mode == "outputs":
         return outputs(lines, ["line_no"], job.tool_cmd, job.partitions)
-    return sample_batches(lines, ["line_no"], job.tool_cmd, size, job.partitions)
+    return sample_batches(lines, ["line_no"], job.tool_cmd, size, job.partitions, ledger=job.ledger)
 
 
 def write(result: DataFrame, path: str, single: bool = False) -> None:
@@ -220,11 +230,12 @@ def main(argv=None) -> None:
     ap.add_argument("--batch_size", type=int)
     ap.add_argument("--partitions", type=int, help="tasks that run the tool")
     ap.add_argument("--single", action="store_true", help="one output file, or one for each kind of output")
+    ap.add_argument("--ledger", help="shared folder with the records of done batches; a restarted run goes on from them")
     a = ap.parse_args(argv)
     from ..session import configure
 
     spark = configure(SparkSession.builder.appName("varframe").getOrCreate())
     job = Job(a.annotation_tool, tuple(shlex.split(a.tool_cmd)), a.input_file, a.output_file, a.batch_size,
-              a.partitions)
+              a.partitions, ledger=a.ledger)
     write(run(spark, job), job.output, a.single)
 
