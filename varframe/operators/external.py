@@ -1,6 +1,6 @@
 """External programs over partitions or batches.
 
-The only Python in the engine. A child process gets the lines of one partition
+A child process gets the lines of one partition
 (or one bounded batch) on stdin while its stdout is read back as rows; stdin is
 fed from a thread so a full pipe cannot deadlock. The command is an argument
 list (D8); a non-zero exit fails the task with the tail of stderr (D5), so Spark
@@ -14,10 +14,12 @@ from __future__ import annotations
 import collections
 import glob
 import os
+import queue
 import shutil
 import subprocess
 import tempfile
 import threading
+import time
 from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
@@ -312,3 +314,142 @@ def pipe_batches_file(
 
     return _by_batch(df, batch_col, pos_col, value, partitions).mapInPandas(
         run, "batch_id long, suffix string, line_no long, value string")
+
+
+SENTINEL = "#END-OF-BATCH"
+
+
+class LivedProcess:
+    """A tool that stays up for many batches: a line of its own, which the tool prints again, ends each batch."""
+
+    def __init__(self, cmd: Sequence[str]):
+        self.cmd = list(cmd)
+        self.proc = subprocess.Popen(self.cmd, stdin=subprocess.PIPE, stdout=subprocess.PIPE, stderr=subprocess.PIPE)
+        self.tail: collections.deque = collections.deque(maxlen=STDERR_TAIL)
+        self.lines: queue.Queue = queue.Queue(maxsize=4 * OUT_CHUNK_LINES)
+        self.closed = False
+        self.errors = threading.Thread(target=_drain, args=(self.proc.stderr, self.tail), daemon=True)
+        self.errors.start()
+        threading.Thread(target=self._read, daemon=True).start()
+
+    def _read(self) -> None:
+        for raw in self.proc.stdout:
+            self._put(raw)
+        self._put(None)
+
+    def _put(self, item) -> None:
+        while not self.closed:
+            try:
+                return self.lines.put(item, timeout=0.2)
+            except queue.Full:
+                continue
+
+    def _write(self, chunks: Iterable[str], end: str, failed: list) -> None:
+        try:
+            for text in chunks:
+                self.proc.stdin.write(text.encode("utf-8"))
+            self.proc.stdin.write(f"{end}\n".encode())
+            self.proc.stdin.flush()
+        except OSError:
+            pass  # the tool is gone; the reader sees its end
+        except BaseException as exc:  # noqa: BLE001 - re-raised by the reader
+            failed.append(exc)
+            self.proc.kill()
+
+    def batch(self, chunks: Iterable[str], end: str, seconds: float | None) -> Iterator[list[str]]:
+        """The output of one batch; an error if the tool ends, or says nothing more, before the batch's end."""
+        failed: list = []
+        writer = threading.Thread(target=self._write, args=(chunks, end, failed), daemon=True)
+        writer.start()
+        limit = None if seconds is None else time.monotonic() + seconds
+        buf: list[str] = []
+        while True:
+            try:
+                raw = self.lines.get(timeout=None if limit is None else max(0.0, limit - time.monotonic()))
+            except queue.Empty:
+                raise ExternalCommandError(f"command {self.cmd!r} took more than {seconds} s for a batch") from None
+            if failed:
+                raise failed[0]
+            if raw is None:
+                self.errors.join(5)
+                raise ExternalCommandError(f"command {self.cmd!r} ended with {self.proc.wait()} within a batch: " + " | ".join(self.tail))
+            line = _text(raw)
+            if line == end:
+                writer.join()
+                yield buf
+                return
+            buf.append(line)
+            if len(buf) >= OUT_CHUNK_LINES:
+                yield buf
+                buf = []
+
+    def close(self, kill: bool = False) -> None:
+        """Let the tool end; what it says after its last batch, or a bad exit code then, is an error."""
+        if kill:
+            self.closed = True
+            self.proc.kill()
+            self.proc.wait()
+            return
+        self.proc.stdin.close()
+        rest = self.lines.get()
+        self.closed = True
+        code = self.proc.wait() if rest is None else None
+        if rest is not None or code:
+            self.proc.kill()
+            raise ExternalCommandError(f"command {self.cmd!r} " + (f"printed {_text(rest)[:80]!r} after its last batch" if rest is not None else f"exited with {code}"))
+
+
+def pipe_batches_lived(
+    df: DataFrame,
+    cmd: Sequence[str],
+    batch_col: str = "batch_id",
+    pos_col: str = "pos_in_batch",
+    value: str = "value",
+    partitions: int | None = None,
+    prefix: Sequence[str] = (),
+    seconds: float | None = None,
+    tries: int = 2,
+) -> DataFrame:
+    """Batches through one long-lived process per task (A44): ``batch_id, line_no, value``.
+
+    For tools whose start costs more than a batch. After each batch the tool gets a line
+    ``#END-OF-BATCH <id>`` and must print it again, after the batch's output, without holding
+    output back. ``prefix`` goes before every batch. A batch may take ``seconds``; if the tool hangs or ends
+    within one, it is started anew and the batch repeated from a task-private copy, ``tries`` times in all.
+    """
+    cmd, prefix = list(cmd), list(prefix)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        proc = None
+        try:
+            for bid, text in _batches(frames, prefix):
+                with tempfile.TemporaryDirectory(prefix=f"vf-lived{bid}-", dir=os.getcwd()) as work:
+                    spool, result = os.path.join(work, "in"), os.path.join(work, "out")
+                    with open(spool, "w", encoding="utf-8", newline="") as fh:
+                        fh.writelines(text)
+                    for left in range(max(tries, 1) - 1, -1, -1):
+                        proc = proc or LivedProcess(cmd)
+                        try:
+                            with open(spool, encoding="utf-8", newline="") as src, open(result, "w", encoding="utf-8", newline="") as out:
+                                for lines in proc.batch(iter(lambda: src.read(1 << 16), ""), f"{SENTINEL} {bid}", seconds):
+                                    out.writelines(f"{x}\n" for x in lines)
+                            break
+                        except ExternalCommandError:
+                            proc.close(kill=True)
+                            proc = None
+                            if not left:
+                                raise
+                    # whole batches only: a repeated one leaves nothing of its first try
+                    with open(result, encoding="utf-8", newline="\n") as done:
+                        n = 0
+                        while lines := [x[:-1] for _, x in zip(range(OUT_CHUNK_LINES), done)]:
+                            yield pd.DataFrame({"batch_id": bid, "line_no": range(n, n + len(lines)), "value": lines})
+                            n += len(lines)
+            if proc is not None:
+                proc.close()
+                proc = None
+        finally:
+            if proc is not None:
+                proc.close(kill=True)
+
+    return _by_batch(df, batch_col, pos_col, value, partitions).mapInPandas(run, "batch_id long, line_no long, value string")

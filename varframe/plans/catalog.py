@@ -1107,3 +1107,12 @@ def job_ledger(spark, d):
     folder = scratch_path(spark, "ledger")
     jobs.line_batches(fx.vcf_lines(spark, d), ORDER, UPPER_WITH_HEADER, 20000, scanned=True, ledger=folder)
     return jobs.line_batches(fx.vcf_lines(spark, d), ORDER, ["false"], 20000, scanned=True, ledger=folder)
+
+
+@query("pipe_batches_lived", """
+select cast(rn // 10 as bigint) as batch_id, cast(rn % 10 as bigint) as line_no, upper(sample) as value
+from (select *, row_number() over (order by sample_idx) - 1 as rn from samples)""")
+def pipe_batches_lived(spark, d):
+    """Batches of 10 samples through one process per task."""
+    s = ix.batch(ix.dense_index(fx.samples(spark, d), ["sample_idx"]), 10)
+    return ex.pipe_batches_lived(s.select("batch_id", "pos_in_batch", F.col("sample").alias("value")), ["sed", "-u", "s/.*/\\U&/"])
