@@ -19,6 +19,7 @@ that has been shuffled.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Sequence
 
@@ -150,6 +151,58 @@ def batch(df: DataFrame, size: int, idx: str = "idx") -> DataFrame:
     )
 
 
+def balanced_batches(
+    df: DataFrame,
+    order: Sequence[str | Column],
+    weight: Column,
+    target: int,
+    group: Sequence[str] | None = None,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Batches of nearly equal weight in a total order (A19, A22): ``batch_id``, ``pos_in_batch``, ``weight``.
+
+    The total weight is cut into ``ceil(total / target)`` equal stretches and a row belongs to the
+    stretch its weight begins in, so no batch outweighs a stretch by more than one row. With ``group`` (e.g. the contig)
+    every group is cut by itself and no batch spans two. Weights must not be negative; a null counts as 0, and
+    rows that weigh nothing go with what stands before them. ``pos_in_batch`` rises in order, with gaps.
+
+    As in ``dense_index`` a first pass writes the rows in ranges and sums each range up; the running sums of
+    rows stay within a range, those of ranges and groups are small tables.
+    """
+    if target <= 0:
+        raise ValueError("the target weight must be positive")
+    group = list(group or [])
+    tagged = ordered(df.withColumn("weight", F.coalesce(weight.cast("bigint"), F.lit(0))), _cols(group) + _cols(order), partitions).withColumn(
+        "_pid", F.spark_partition_id()).withColumn("_local", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33)))
+    path = scratch_path(df.sparkSession, "balanced")
+    tagged.write.parquet(path)
+    keyed = df.sparkSession.read.schema(tagged.schema).parquet(path).withColumn("_all", F.lit(0))
+    own = ["_all", *group]
+    ranges = keyed.groupBy(*own, "_pid").agg(F.sum("weight").alias("_w"))
+    before = Window.partitionBy(*own).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*own)
+    ranges = ranges.withColumn("_start", F.coalesce(F.sum("_w").over(before), F.lit(0))).withColumn("_total", F.sum("_w").over(whole))
+    ranges = ranges.withColumn("_cuts", F.greatest(F.lit(1), F.expr(f"(_total + {int(target) - 1}) div {int(target)}")))
+    # one row per group: the batches of the groups before it
+    groups = ranges.groupBy(*own).agg(F.max("_cuts").alias("_cuts"))
+    first = Window.partitionBy("_all").orderBy(*own).rowsBetween(Window.unboundedPreceding, -1)
+    groups = groups.withColumn("_first", F.coalesce(F.sum("_cuts").over(first), F.lit(0))).drop("_cuts")
+
+    def beside(left: DataFrame, right: DataFrame, cols: list[str]) -> DataFrame:
+        """``left`` with the other columns of ``right``, matched by ``cols``; null matches null."""
+        right = right.withColumnsRenamed({c: f"_of_{c}" for c in cols})
+        on = functools.reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in cols])
+        return left.join(right, on).drop(*[f"_of_{c}" for c in cols])
+
+    placed = beside(ranges.drop("_w"), groups, own)
+    local = Window.partitionBy("_pid", *own).orderBy("_local").rowsBetween(Window.unboundedPreceding, -1)
+    out = beside(keyed.withColumn("_before", F.coalesce(F.sum("weight").over(local), F.lit(0))), placed, [*own, "_pid"])
+    # a row at the very end, without weight, would begin beyond the last stretch
+    stretch = F.when(F.col("_total") > 0, F.least(F.expr("cast((_start + _before) as decimal(38,0)) * _cuts div _total"), F.col("_cuts") - 1)).otherwise(F.lit(0))
+    return out.select(*df.columns, "weight", (F.col("_first") + stretch).cast("bigint").alias("batch_id"),
+                      (F.col("_pid").cast("bigint") * (1 << 33) + F.col("_local")).alias("pos_in_batch"))
+
+
 def batch_partitions(n_rows: int, size: int) -> int:
     """Partition count for ``n_rows`` cut in batches of ``size``: ceil, at least 1."""
     return max(1, math.ceil(n_rows / size))

@@ -1116,3 +1116,25 @@ def pipe_batches_lived(spark, d):
     """Batches of 10 samples through one process per task."""
     s = ix.batch(ix.dense_index(fx.samples(spark, d), ["sample_idx"]), 10)
     return ex.pipe_batches_lived(s.select("batch_id", "pos_in_batch", F.col("sample").alias("value")), ["sed", "-u", "s/.*/\\U&/"])
+
+
+# ---------------------------------------------------------------- batches of equal weight
+
+_BALANCED = """
+with w as (
+  select chrom, gene, "end" - "start" + 1 as len, coalesce(sum("end" - "start" + 1) over (partition by chrom order by "start", gene
+           rows between unbounded preceding and 1 preceding), 0) as before, sum("end" - "start" + 1) over (partition by chrom) as total from genes),
+g as (
+  select chrom, coalesce(sum(cuts) over (order by chrom rows between unbounded preceding and 1 preceding), 0) as first, cuts
+  from (select chrom, greatest(1, max((total + 19999) // 20000)) as cuts from w group by chrom))
+select cast(first + least(before * cuts // total, cuts - 1) as bigint) as batch_id, any_value(chrom) as chrom, count(*) as n_intervals,
+       cast(sum(len) as bigint) as bases, min(gene) as first_gene, max(gene) as last_gene
+from w join g using (chrom) group by 1"""
+
+
+@query("batch_balanced", _BALANCED)
+def batch_balanced(spark, d):
+    """Intervals in batches of nearly 20000 bases, none over two contigs."""
+    b = ix.balanced_batches(fx.genes(spark, d), ["start", "gene"], F.col("end") - F.col("start") + 1, 20000, group=["chrom"])
+    return b.groupBy("batch_id").agg(F.first("chrom").alias("chrom"), F.count(F.lit(1)).alias("n_intervals"), F.sum("weight").alias("bases"),
+                                     F.min("gene").alias("first_gene"), F.max("gene").alias("last_gene"))

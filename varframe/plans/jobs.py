@@ -43,6 +43,7 @@ class Job:
     partitions: int | None = None
     extra: dict = field(default_factory=dict)
     ledger: str | None = None
+    bases: int | None = None
 
 
 # Tool profiles: how each kind of tool is fed (fixed values of the reference's jobs)
@@ -146,8 +147,15 @@ def sample_batches(lines: DataFrame, order, cmd, batch_size: int = 10, partition
 
 
 def interval_batches(intervals: DataFrame, order, cmd, batch_size: int = 3, partitions: int | None = None,
-                     scanned: bool = False, ledger: str | None = None) -> DataFrame:
-    """Interval-list lines in batches, one process per batch (``scanned``: see ``line_batches``)."""
+                     scanned: bool = False, ledger: str | None = None, bases: int | None = None) -> DataFrame:
+    """Interval-list lines in batches, one process per batch (``scanned``: see ``line_batches``).
+
+    With ``bases`` batches are of nearly that many bases instead, and stay within a contig; an interval without an end counts as one.
+    """
+    if bases:
+        length = F.greatest(F.coalesce(F.col("end") - F.col("start") + 1, F.lit(1)), F.lit(1))
+        b = ix.balanced_batches(intervals, order, length, bases, group=["chrom"])
+        return _batch_outputs(b.select("batch_id", "pos_in_batch", "value"), cmd, partitions, ledger)
     b = ix.batch(ix.split_index(intervals) if scanned else ix.dense_index(intervals, order), batch_size)
     return _batch_outputs(b.select("batch_id", "pos_in_batch", "value"), cmd, partitions, ledger)
 
@@ -189,7 +197,8 @@ def run(spark: SparkSession, job: Job) -> DataFrame:
     size = job.batch_size or prof.get("batch_size")
     if prof["mode"] == "interval_batches":
         iv = text.read_intervals(spark, job.input)
-        return interval_batches(iv, text.LINE_KEY, job.tool_cmd, size, job.partitions, scanned=True, ledger=job.ledger)
+        return interval_batches(iv, text.LINE_KEY, job.tool_cmd, size, job.partitions, scanned=True, ledger=job.ledger,
+                                bases=job.bases)
     lines = ix.split_index(bgzf.read_lines(spark, job.input), name="line_no")
     mode = prof["mode"]
     if mode == "line_batches":
@@ -231,11 +240,12 @@ def main(argv=None) -> None:
     ap.add_argument("--partitions", type=int, help="tasks that run the tool")
     ap.add_argument("--single", action="store_true", help="one output file, or one for each kind of output")
     ap.add_argument("--ledger", help="shared folder with the records of done batches; a restarted run goes on from them")
+    ap.add_argument("--bases", type=int, help="intervals in batches of about this many bases instead of a number of intervals")
     a = ap.parse_args(argv)
     from ..session import configure
 
     spark = configure(SparkSession.builder.appName("varframe").getOrCreate())
     job = Job(a.annotation_tool, tuple(shlex.split(a.tool_cmd)), a.input_file, a.output_file, a.batch_size,
-              a.partitions, ledger=a.ledger)
+              a.partitions, ledger=a.ledger, bases=a.bases)
     write(run(spark, job), job.output, a.single)
 
