@@ -16,7 +16,7 @@ No task sees all pairs of a bucket, and no link between candidates is lost:
    pivot's elements it has, so two nodes share at most the bits they have in common and the
    fewer of their elements that aren't the pivot's. Elements that no other node has are left
    out first, and a node with too few left can have no partner at all. Blocks of
-   ``BLOCK`` by ``BLOCK`` nodes are compared in a task each; only pairs that may be similar
+   at most ``BLOCK`` by ``BLOCK`` nodes, of ``BLOCK_BYTES`` a side, are compared in a task each; only pairs that may be similar
    enough become rows.
 
 Every link is confirmed exactly (on 64-bit hashes of the shingles). Step 3 emits little, but
@@ -41,6 +41,7 @@ from .common import every_copy, map_docs, ready, staged, table, text_or_empty, t
 
 BANDS, ROWS = 24, 5
 BLOCK = 1024
+BLOCK_BYTES = 64 << 20
 SIMILARITY = 0.8
 BUCKET = ["band", "key"]
 
@@ -198,8 +199,10 @@ def unsettled_pairs(spark, tried: DataFrame, comp: DataFrame, texts: DataFrame,
     possible = staged(spark, group.join(_unique_weights(own), "node", "left").withColumn(
         "s", F.col("n_a") - F.coalesce("unique", F.lit(0))).filter(F.col("s") >= similarity * F.col("n_a")).select(
         "pivot", "node", F.col("n_a").alias("n"), (F.col("s") - F.col("both")).alias("extra"), "bits", "comp", "open"), "near-possible")
+    # a block's bitmaps are as wide as the pivot: fewer rows of a wide one make a block
+    rows = F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.floor(F.lit(BLOCK_BYTES) / F.greatest(F.max(F.octet_length("bits")), F.lit(1)))))
     blocks = staged(spark, possible.groupBy("pivot").agg(
-        F.ceil(F.count_if("open") / BLOCK).cast("int").alias("n_left"), F.ceil(F.count("*") / BLOCK).cast("int").alias("n_right"))
+        F.ceil(F.count_if("open") / rows).cast("int").alias("n_left"), F.ceil(F.count("*") / rows).cast("int").alias("n_right"))
         .filter("n_left > 0"), "near-blocks")
     dealt = possible.join(blocks, "pivot")
     span = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
