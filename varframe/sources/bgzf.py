@@ -26,7 +26,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 from . import text
 
@@ -229,14 +229,14 @@ class Written(WriterCommitMessage):
     path: str
 
 
-class BgzfWriter(DataSourceWriter):
+class BgzfWriter(DataSourceArrowWriter):
     """One file per partition, ``part-00000.gz`` on, in the order of partitions; a task writes under a name of
     its own, and the committed attempts are renamed."""
 
     def __init__(self, options, overwrite):
         self.path, self.overwrite = options["path"], overwrite
 
-    def write(self, rows) -> Written:
+    def write(self, batches) -> Written:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
@@ -244,18 +244,15 @@ class BgzfWriter(DataSourceWriter):
         store.create_dir(folder, recursive=True)
         path = f"{folder}/_attempt-{uuid.uuid4().hex}"
         with store.open_output_stream(path) as f:
-            buf, size = [], 0
-            for row in rows:
-                raw = (row["value"] or "").encode("utf-8") + b"\n"
-                buf.append(raw)
-                size += len(raw)
-                if size >= MEMBER:
-                    text_, size = b"".join(buf), 0
-                    full = len(text_) // MEMBER * MEMBER
-                    f.write(b"".join(pack(text_[i:i + MEMBER]) for i in range(0, full, MEMBER)))
-                    buf, size = [text_[full:]], len(text_) - full
-            if size:
-                f.write(pack(b"".join(buf)))
+            held = b""
+            for batch in batches:
+                lines = batch.column(batch.schema.get_field_index("value")).to_pylist()
+                held += "".join(f"{x or ''}\n" for x in lines).encode("utf-8")
+                full = len(held) // MEMBER * MEMBER
+                f.write(b"".join(pack(held[i:i + MEMBER]) for i in range(0, full, MEMBER)))
+                held = held[full:]
+            if held:
+                f.write(pack(held))
             f.write(END_OF_FILE)
         return Written(part, path)
 
