@@ -56,7 +56,9 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 # runs are maximal, so asking for the length at once finds the same runs
 HEX = re.compile(r"[0-9a-f]{%d,}" % MIN_HEX)
-RUN = re.compile(r"[A-Za-z0-9+/_=-](?:[A-Za-z0-9+/_=-]|\.(?=[A-Za-z0-9+/_=-])){%d,}" % (MIN_RUN - 1))
+RUN = re.compile(r"[A-Za-z0-9+/_=.-]{%d,}" % MIN_RUN)
+# within such a run: single dots join, others separate
+JOINED = re.compile(r"[^.]+(?:\.[^.]+)*")
 # words too short to be judged themselves: a longer run may be an unlabelled secret
 WORD = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z][A-Za-z0-9_-]{7,%d}(?![A-Za-z0-9+/_=-])" % (MIN_RUN - 2))
 
@@ -201,6 +203,16 @@ def looks_random(run: str, ratios: np.ndarray) -> bool:
     return bool((gain[MIN_RUN:] > np.minimum.accumulate(gain[:-MIN_RUN])).any())
 
 
+def runs(text: str):
+    """(start, end) of the runs of key characters that are long enough."""
+    for m in RUN.finditer(text):
+        a, b = m.span()
+        if text.find(".", a, b) < 0:
+            yield a, b
+        else:
+            yield from (p.span() for p in JOINED.finditer(text, a, b) if p.end() - p.start() >= MIN_RUN)
+
+
 def all_spans(text: str, ratios: np.ndarray | None) -> list[tuple[int, int, int]]:
     """(start, kind, end) of base and added spans, sorted."""
     base = base_spans(text)
@@ -213,8 +225,7 @@ def all_spans(text: str, ratios: np.ndarray | None) -> list[tuple[int, int, int]
         else:
             cover.append([s, e])
     added, i = [], 0
-    for m in RUN.finditer(text):
-        a, b = m.span()
+    for a, b in runs(text):
         while i < len(cover) and cover[i][1] <= a:
             i += 1
         j = i
