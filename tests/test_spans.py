@@ -136,3 +136,22 @@ def test_native_annotate_edits_one_entry(spark):
     assert out == list(enumerate(HEAD[:3] + [decl] + HEAD[3:] + want))
     fresh = [(r.line_no, r.value) for r in jobs.native_annotate(lines(spark, HEAD + rows[:2]), table).orderBy("line_no").collect()]
     assert fresh == list(enumerate(HEAD[:3] + [decl] + HEAD[3:] + want[:2]))
+
+
+@pytest.mark.parametrize("end", [None, "end"])
+def test_a_table_that_grows_when_exploded_is_not_broadcast(spark, end):
+    """The planner's estimate is that of 20,000 ids; the join would hold some 300,000 rows in the driver."""
+    iv = spark.range(20_000).selectExpr("id as gene", "'c' as chrom", "id * 750 as start", "id * 750 + 900 as end")
+    rows = spark.range(3000).selectExpr("'c' as chrom", "id * 5000 as pos", "id * 5000 + 10 as end")
+    out = an.annotate_overlap(rows, iv, ["gene"], end=end)
+    import contextlib
+    import io
+
+    shown = io.StringIO()
+    with contextlib.redirect_stdout(shown):
+        out.explain()
+    assert "BroadcastHashJoin" not in shown.getvalue()
+    last = 10 if end else 0
+    want = sum(1 for i in range(3000) for g in range(max(0, i * 5000 // 750 - 3), min(20_000, i * 5000 // 750 + 3))
+               if g * 750 <= i * 5000 + last and i * 5000 <= g * 750 + 900)
+    assert out.where("gene is not null").count() == want
