@@ -28,6 +28,8 @@ from .lines import header_lines
 SQL_TYPES = {"Integer": "int", "Float": "double", "Flag": "boolean"}
 INTEGER = r"^[-+]?[0-9]+$"
 FLOAT = r"^(?i)[-+]?([0-9]+[.]?[0-9]*|[.][0-9]+)(e[-+]?[0-9]+)?$|^(?i)[-+]?(inf|infinity|nan)$"
+# a list of numbers that both types can read
+PLAIN_LIST = r"^(?:[.]|[-+]?[0-9]{1,9})(?:,(?:[.]|[-+]?[0-9]{1,9}))*$"
 STRUCTURED = re.compile(r"^##(INFO|FORMAT)=<(.*)>$")
 
 
@@ -95,7 +97,8 @@ def typed_value(text: Column, f: Field) -> Column:
 
 def genotypes(alleles: Column, ploidy: Column) -> Column:
     """Number of genotypes of ``alleles`` alleles (the reference counts): C(alleles + ploidy - 1, ploidy)."""
-    return choose(alleles + ploidy - 1, ploidy)
+    a = alleles.cast("bigint")
+    return F.when(ploidy == 1, a).when(ploidy == 2, F.call_function("shiftright", a * (a + 1), F.lit(1))).otherwise(choose(alleles + ploidy - 1, ploidy))
 
 
 def choose(n: Column, k: Column) -> Column:
@@ -123,7 +126,8 @@ def problem_of(text: Column, present: Column, f: Field, n_alt: Column, n_genotyp
     given = present & text.isNotNull() & (text != fv.MISSING)
     wrong = F.when(present & text.isNull(), F.lit("value"))
     if f.type in ("Integer", "Float"):
-        bad = F.exists(parts, lambda x: (x != fv.MISSING) & _one(x, f).isNull()) if f.is_array else _one(text, f).isNull()
+        # most lists are judged as one text; elements are looked at when that doesn't settle it
+        bad = ~text.rlike(PLAIN_LIST) & F.exists(parts, lambda x: (x != fv.MISSING) & _one(x, f).isNull()) if f.is_array else _one(text, f).isNull()
         wrong = wrong.when(given & bad, F.lit("type"))
     if f.is_array and (count := expected_count(f, n_alt, n_genotypes)) is not None:
         wrong = wrong.when(given & (F.size(parts) != count), F.lit("number"))
@@ -141,6 +145,19 @@ def _violations(found: Sequence[Column]) -> Column:
     return F.array_compact(F.array(*found)) if found else F.array().cast(f"array<{VIOLATION}>")
 
 
+def _judged(rows: DataFrame, kind: str, fields: Sequence[Field], text, there, n_alt: Column, n_genotypes: Column) -> tuple[DataFrame, Column]:
+    """``rows`` with a column ``_b<i>`` for what is wrong with each field, and the violations as a column of those.
+
+    The problems are columns of their own, computed once; the array is only made of rows that have one.
+    """
+    marked = rows.withColumns({f"_b{i}": problem_of(text(f), there(f), f, n_alt, n_genotypes) for i, f in enumerate(fields)})
+    found = [F.col(f"_b{i}") for i in range(len(fields))]
+    if not found:
+        return marked, _violations([])
+    listed = _violations([_violation(kind, F.lit(f.id), b, text(f)) for b, f in zip(found, fields, strict=True)])
+    return marked, F.when(F.coalesce(*found, F.lit(None).cast("string")).isNull(), F.array().cast(f"array<{VIOLATION}>")).otherwise(listed)
+
+
 def _n_alt() -> Column:
     return F.coalesce(F.size("alt"), F.lit(0))
 
@@ -152,17 +169,20 @@ def typed_info(rows: DataFrame, schema: HeaderSchema, fields: Sequence[str] | No
     An absent field is NULL, an absent flag false. G counts of INFO fields are those of two chromosome copies.
     """
     info = F.col("info")
-    text = lambda f: F.try_element_at(info, F.lit(f.id))
-    there = lambda f: F.map_contains_key(info, F.lit(f.id))
+    at = {f.id: i for i, f in enumerate(schema.info.values())}
+    text = lambda f: F.col(f"_t{at[f.id]}")
+    there = lambda f: F.col(f"_h{at[f.id]}")
     chosen = [schema.info[x] for x in (schema.info if fields is None else fields)]
     values = [(there(f) if f.is_flag else typed_value(text(f), f)).alias(f.id) for f in chosen]
     rest = F.map_filter(info, lambda k, v: ~k.isin(*schema.info)) if schema.info else info
     counted = rows.withColumn("_n", _n_alt()).withColumn("_g", genotypes(F.col("_n") + 1, F.lit(2))).withColumn("info_rest", rest)
-    known = _violations([_violation("INFO", F.lit(f.id), problem_of(text(f), there(f), f, F.col("_n"), F.col("_g")), text(f))
-                         for f in schema.info.values()])
+    # every field is looked up once
+    counted = counted.withColumns({f"_t{i}": F.try_element_at(info, F.lit(x)) for x, i in at.items()}
+                                  | {f"_h{i}": F.map_contains_key(info, F.lit(x)) for x, i in at.items()})
+    counted, known = _judged(counted, "INFO", list(schema.info.values()), text, there, F.col("_n"), F.col("_g"))
     unknown = F.transform(F.map_entries("info_rest"), lambda e: _violation("INFO", e["key"], F.lit("undeclared"), e["value"]))
     return counted.withColumn("info_typed", F.struct(*values) if values else F.lit(None)).withColumn(
-        "violations", F.concat(known, unknown)).drop("_n", "_g")
+        "violations", F.concat(known, unknown)).drop("_n", "_g", *[f"_{x}{i}" for x in "thb" for i in at.values()])
 
 
 def _gt_place() -> Column:
@@ -185,13 +205,15 @@ def typed_samples(rows: DataFrame, schema: HeaderSchema, keep: Sequence[str], fi
     chosen = [schema.format[x] for x in (schema.format if fields is None else fields)]
     at = {f.id: f"_k{i}" for i, f in enumerate(schema.format.values())}
     places = [F.array_position("format", F.lit(f)).cast("int").alias(c) for f, c in at.items()]
-    one = rows.select(*keep, "format", _n_alt().alias("_n"), _gt_place().alias("_gt"), *places, F.posexplode("samples").alias("sample_idx", "_s"))
+    one = rows.select(*keep, "format", _n_alt().alias("_n"), _gt_place().alias("_gt"), *places,
+                      # not the bare column: its own filter would be planned down to the scan, cutting every line again
+                      F.posexplode(F.coalesce("samples", F.array().cast("array<string>"))).alias("sample_idx", "_s"))
     one = one.withColumn("_v", F.split("_s", ":")).withColumn("_p", ploidy_of(F.col("_v"), F.col("_gt")))
     one = one.withColumn("_g", F.when(F.col("_p").isNotNull(), genotypes(F.col("_n") + 1, F.coalesce("_p", F.lit(2)))))
-    text = lambda f: F.when(F.col(at[f.id]) > 0, F.get("_v", F.col(at[f.id]) - 1))
+    one = one.withColumns({f"_t{c}": F.when(F.col(c) > 0, F.get("_v", F.col(c) - 1)) for c in at.values()})
+    text = lambda f: F.col(f"_t{at[f.id]}")
     values = [(text(f).isNotNull() if f.is_flag else typed_value(text(f), f)).alias(f.id) for f in chosen]
-    known = _violations([_violation("FORMAT", F.lit(f.id), problem_of(text(f), text(f).isNotNull(), f, F.col("_n"), F.col("_g")), text(f))
-                         for f in schema.format.values()])
+    one, known = _judged(one, "FORMAT", list(schema.format.values()), text, lambda f: text(f).isNotNull(), F.col("_n"), F.col("_g"))
     undeclared = F.filter(F.arrays_zip(F.slice("format", 1, F.size("_v")).alias("id"), F.col("_v").alias("value")),
                           lambda e: e["id"].isNotNull() & ~e["id"].isin(*schema.format))
     one = one.withColumn("_rest", undeclared)
