@@ -73,3 +73,15 @@ def test_problems_are_judged_once(spark):
     got = {r["i"]: {(v["id"], v["problem"]) for v in r["violations"]} for r in out.collect()}
     assert got == {0: set(), 1: set(), 2: {("AC", "type"), ("AF", "type")}, 3: {("AC", "number"), ("AF", "number")}, 4: {("AC", "type")},
                    5: {("AC", "type"), ("AF", "type")}, 6: {("AC", "type")}, 7: set()}
+
+
+def test_one_gzip_file_is_read_by_ranges(spark, tmp_path):
+    from varframe.sources import bgzf
+
+    df = spark.range(20000).select("id", F.concat(F.lit("line "), F.xxhash64("id").cast("string")).alias("value"))
+    p = sinks.write_file(df, str(tmp_path / "x.gz"), ["id"], compression="gzip", partitions=3)
+    assert bgzf.is_bgzf(p)
+    back = bgzf.read_lines(spark, p, range_bytes=1 << 15)
+    assert back.select("block").distinct().count() > 1
+    got = [r["value"] for r in ix.split_index(back).orderBy("idx").collect()]
+    assert got == [r["value"] for r in df.orderBy("id").collect()]
