@@ -56,3 +56,24 @@ def test_job_writes_single_files(spark, tmp_path):
     many = jobs.Job("annovar", ("sh", "-c", "cat > {out}.avinput"), str(src), str(tmp_path / "kinds"), partitions=4)
     jobs.write(jobs.run(spark, many), many.output, single=True)
     assert os.listdir(many.output) == ["avinput"] and (tmp_path / "kinds" / "avinput").read_text().splitlines() == rows[2:]
+
+
+@pytest.mark.parametrize("keyed", [False, True])
+def test_parts_of_a_plain_file_are_packed(spark, tmp_path, monkeypatch, keyed):
+    """The lines stand as they are in the one file alone, not in its parts too."""
+    held = []
+
+    def join(spark, folders, *a, f=sinks._join_folders, **b):
+        held.extend(size for folder in folders.values() for _, size in sinks._folder_parts(folder))
+        return f(spark, folders, *a, **b)
+
+    monkeypatch.setattr(sinks, "_join_folders", join)
+    df = spark.range(5000).select("id", F.concat(F.lpad(F.col("id").cast("string"), 6, "0"), F.lit("\t0/0\t0/1" * 20), F.lit(" é")).alias("value"),
+                                  F.lit("all.txt").alias("kind"))
+    if keyed:
+        sinks.write_files(df, str(tmp_path / "out"), "kind", ["id"])
+    else:
+        sinks.write_file(df, str(tmp_path / "out" / "all.txt"), ["id"], partitions=7)
+    raw = (tmp_path / "out" / "all.txt").read_bytes()
+    assert raw.decode().split("\n") == [f"{i:06d}" + "\t0/0\t0/1" * 20 + " é" for i in range(5000)] + [""]
+    assert sum(held) * 3 < len(raw)
