@@ -161,6 +161,33 @@ def test_multi_output(spark):
     assert [(r.suffix, r["count"]) for r in got] == [("a.txt", 20), ("b.vcf", 20)]
 
 
+def test_batch_files_share_frames(spark, tmp_path):
+    """Output of many small batches is handed on in few frames, and a tool without input starts no thread."""
+    import threading
+
+    import pandas as pd
+
+    class Frame:  # takes the task's function
+        def mapInPandas(self, run, schema):
+            self.run = run
+            return self
+
+    with pytest.MonkeyPatch.context() as m:
+        m.chdir(tmp_path)
+        m.setattr(ex, "_by_batch", lambda *a: Frame())
+        m.setattr(threading.Thread, "start", lambda self: pytest.fail("a thread was started"))
+        taken = ex.pipe_batches_file(None, ["sh", "-c", "tr a-z A-Z < {in} > {out}.up.txt && wc -l < {in} | tr -d ' '; echo note >&2"])
+        rows = pd.DataFrame({"batch_id": [i // 3 for i in range(200)], "value": [f"l{i}" for i in range(200)]})
+        frames = list(taken.run(iter([rows.iloc[:100], rows.iloc[100:100], rows.iloc[100:]])))
+        failing = ex.pipe_batches_file(None, ["sh", "-c", "echo boom >&2; exit 3"])
+        with pytest.raises(ex.ExternalCommandError, match="exited with 3: boom"):
+            list(failing.run(iter([rows])))
+    assert len(frames) == 1 and not list(tmp_path.iterdir())
+    got = sorted(frames[0].itertuples(index=False, name=None))
+    want = [(b, "", 0, str(min(3, 200 - 3 * b))) for b in range(67)] + [(i // 3, "up.txt", i % 3, f"L{i}") for i in range(200)]
+    assert got == sorted(want)
+
+
 def test_merge_tables_keeps_first_present_header(spark):
     parts = spark.createDataFrame(
         [(1, "t.txt", 0, "H"), (1, "t.txt", 1, "x"), (3, "t.txt", 0, "H"), (3, "t.txt", 1, "y")],
