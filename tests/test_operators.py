@@ -161,6 +161,29 @@ def test_multi_output(spark):
     assert [(r.suffix, r["count"]) for r in got] == [("a.txt", 20), ("b.vcf", 20)]
 
 
+def test_multi_output_sorts_small_ranges(spark, monkeypatch):
+    """Two processes for 1000 lines, put in order 100 lines at a time: an output is its process's lines in order."""
+    asked = []
+    monkeypatch.setattr(ex, "RANGE_LINES", 100)
+    monkeypatch.setattr(ex, "ordered", lambda df, order, n=None, f=ex.ordered: asked.append(n) or f(df, order, n))
+    df = spark.range(1000).select((F.lit(999) - F.col("id")).alias("id")).withColumn("value", F.format_string("line%04d", "id"))
+    out = ex.pipe_multi_output(df.repartition(5), ["sh", "-c", "cat > {out}.txt"], order=["id"], partitions=2)
+    rows = sorted((r.part, r.line_no, r.value) for r in out.collect())
+    assert asked == [10]
+    assert [v for _, _, v in rows] == [f"line{i:04d}" for i in range(1000)]
+    assert [n for p, n, _ in rows if p == 0] + [n for p, n, _ in rows if p == 1] == [
+        *range(sum(p == 0 for p, _, _ in rows)), *range(sum(p == 1 for p, _, _ in rows))]
+    assert {p for p, _, _ in rows} == {0, 1} and min(sum(p == i for p, _, _ in rows) for i in (0, 1)) > 200
+
+
+def test_multi_output_runs_a_process_without_lines(spark, monkeypatch):
+    """All lines have one key and fall in few ranges; each of the processes still prints its own line."""
+    monkeypatch.setattr(ex, "RANGE_LINES", 10)
+    df = spark.range(200).select(F.lit(1).alias("id"), F.lit("x").alias("value"))
+    out = ex.pipe_multi_output(df, ["sh", "-c", "{ echo own; cat; } > {out}.txt"], order=["id"], partitions=4).collect()
+    assert sorted(r.part for r in out if r.value == "own") == [0, 1, 2, 3] and len(out) == 204
+
+
 def test_batch_files_share_frames(spark, tmp_path):
     """Output of many small batches is handed on in few frames, and a tool without input starts no thread."""
     import threading
