@@ -155,3 +155,18 @@ def test_a_table_that_grows_when_exploded_is_not_broadcast(spark, end):
     want = sum(1 for i in range(3000) for g in range(max(0, i * 5000 // 750 - 3), min(20_000, i * 5000 // 750 + 3))
                if g * 750 <= i * 5000 + last and i * 5000 <= g * 750 + 900)
     assert out.where("gene is not null").count() == want
+
+
+@pytest.mark.parametrize("name", ["annotate_gene", "distance_spans", "job_native_annotate", "overlap_spans", "pack_ann", "pick_canonical"])
+def test_queries_never_broadcast_exploded_genes(spark, name):
+    """The genes of sf0.1 are a small table, but not when exploded over bins: they meet the variants by a shuffle."""
+    import contextlib
+    import io
+
+    from varframe.plans import catalog
+
+    shown = io.StringIO()
+    with contextlib.redirect_stdout(shown):
+        catalog.QUERIES[name](spark, "/root/testdata/sf0.1").explain()
+    joins = [x for x in shown.getvalue().split("\n") if "Join" in x and "_bin#" in x]
+    assert joins and all("SortMergeJoin" in x for x in joins)
