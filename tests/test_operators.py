@@ -9,6 +9,7 @@ from varframe.operators import index as ix
 from varframe.operators import lines as ln
 from varframe.operators import merge as mg
 from varframe.operators import vcf
+from varframe.sources import sinks
 
 # A small VCF of our own with the edge rows of FIXTURES.md: QUAL '.', empty INFO '.',
 # flag INFO, duplicate INFO key, fewer sample values than FORMAT keys, symbolic and '*' alleles.
@@ -161,6 +162,27 @@ def test_multi_output(spark):
     assert [(r.suffix, r["count"]) for r in got] == [("a.txt", 20), ("b.vcf", 20)]
 
 
+@pytest.mark.parametrize("step", ["pipe_partitions", "write_lines"])
+def test_ranges_grow_with_the_rows(spark, tmp_path, monkeypatch, step):
+    """6000 lines in 8 shuffle partitions, at most about 100 to be sorted by a task: 60 ranges, the lines in order."""
+    monkeypatch.setattr(ix, "RANGE_ROWS", 100)
+    df = spark.range(6000).select((F.lit(5999) - F.col("id")).alias("id")).withColumn("value", F.format_string("line%04d", "id"))
+    if step == "pipe_partitions":
+        rows = ex.pipe_partitions(df.repartition(5), ["cat"], order=["id"]).orderBy("part", "line_no").collect()
+        held = [[r.value for r in rows if r.part == part] for part in sorted({r.part for r in rows})]
+    else:
+        path = tmp_path / "out"
+        sinks.write_lines(df.repartition(5), str(path), ["id"])
+        held = [f.read_text().split() for f in sorted(path.glob("part-*"))]
+    assert sum(held, []) == [f"line{i:04d}" for i in range(6000)]
+    assert len(held) >= 50 and max(map(len, held)) < 300
+
+
+def test_few_rows_take_the_sessions_partitions(spark):
+    assert ix.ordered(spark.range(50), ["id"]).rdd.getNumPartitions() <= 8
+    assert ix.range_count(spark.range(50)) == 8 and ix.range_count(spark.range(8 * ix.RANGE_ROWS + 1)) == 9
+
+
 def test_multi_output_sorts_small_ranges(spark, monkeypatch):
     """Two processes for 1000 lines, put in order 100 lines at a time: an output is its process's lines in order."""
     asked = []
