@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vcf as fv
+from . import alleles
 from .lines import header_lines
 
 SQL_TYPES = {"Integer": "int", "Float": "double", "Flag": "boolean"}
@@ -238,27 +239,6 @@ def genotype_places(allele: Column, ploidy: Column) -> Column:
         F.aggregate(F.sequence(ploidy - F.greatest(copies, F.lit(1)) + 1, ploidy), F.lit(0).cast("bigint"), lambda acc, m: acc + one_more(m))))
 
 
-def _kept(text: Column, number: Column, n_alt: Column, allele: Column, n_genotypes: Column, places: Column) -> Column:
-    """The values of one allele; a text whose count isn't the declared one stays as it is."""
-    parts = F.split(text, ",")
-    pick = lambda at: F.array_join(F.transform(at, lambda i: F.get(parts, i.cast("int"))), ",")
-    fits = lambda count: F.size(parts) == count
-    return (F.when((number == "A") & fits(n_alt), F.get(parts, allele - 1))
-            .when((number == "R") & fits(n_alt + 1), F.concat_ws(",", F.get(parts, F.lit(0)), F.get(parts, allele)))
-            .when((number == "G") & fits(n_genotypes), pick(places))
-            .otherwise(text))
-
-
-def _genotype(gt: Column, allele: Column, other: str) -> Column:
-    """A genotype in terms of one allele: the reference stays 0, the allele becomes 1, another one ``other``."""
-    # every allele with the separator before it
-    parts = F.regexp_extract_all(gt, F.lit("([/|]?)([^/|]+)"), F.lit(0))
-    def renamed(part):
-        sep, name = F.regexp_extract(part, "^([/|]?)", 1), F.regexp_replace(part, "^[/|]", "")
-        return F.concat(sep, F.when(name.isin("0", fv.MISSING), name).when(name == allele.cast("string"), F.lit("1")).otherwise(F.lit(other)))
-    return F.array_join(F.transform(parts, renamed), "")
-
-
 def split_alleles(rows: DataFrame, schema: HeaderSchema, other: str = fv.MISSING) -> DataFrame:
     """One row per alternative allele (B4), with the values of that allele alone.
 
@@ -269,34 +249,21 @@ def split_alleles(rows: DataFrame, schema: HeaderSchema, other: str = fv.MISSING
     one are kept, with allele number NULL. A value whose count isn't the declared one stays as it is
     (``typed_info`` and ``typed_samples`` report it).
     """
-    def numbers(fields):
-        return F.create_map(*[F.lit(x) for f in fields.values() if f.number in "ARG" for x in (f.id, f.number)]).cast("map<string,string>")
+    def kinds(fields):
+        return {x: alleles.KINDS[f.number] for x, f in fields.items() if f.number in alleles.KINDS}
+
+    info_kinds, format_kinds = kinds(schema.info), kinds(schema.format)
+
+    def own(n, keys, values, formats, samples):
+        return alleles.own_values(n, keys, values, formats, samples, info_kinds, format_kinds, other)
 
     keep = [c for c in rows.columns if c not in ("alt", "info", "samples")]
-    one = rows.withColumn("_n", _n_alt()).withColumn("_gt", _gt_place()).select("*", F.posexplode_outer("alt").alias("_i", "_alt"))
-    copies = F.greatest(F.lit(2), F.coalesce(F.array_max(F.transform("samples", lambda s: ploidy_of(F.split(s, ":"), F.col("_gt")))), F.lit(2)))
-    n, a = F.col("_n"), F.col("_a")
-    # for one copy, two copies, ...: the number of genotypes, and the places of the two alleles' own
-    one = one.withColumn("_a", F.col("_i") + 1).withColumn("_copies", F.sequence(F.lit(1), copies))
-    one = one.withColumn("_counts", F.transform("_copies", lambda p: genotypes(n + 1, p)))
-    one = one.withColumn("_places", F.transform("_copies", lambda p: genotype_places(a, p)))
-    of = lambda c, p: F.get(F.col(c), p - 1)
-    two = F.lit(2)
-    info_number, format_number = numbers(schema.info), numbers(schema.format)
-    info = F.transform_values("info", lambda k, v: _kept(v, F.try_element_at(info_number, k), n, a, of("_counts", two), of("_places", two)))
-    one = one.withColumn("_numbers", F.transform("format", lambda k: F.try_element_at(format_number, k)))
-
-    def sample(text):
-        def value(vals, v, i):
-            # the number of genotypes tells the copies apart, as it grows with them
-            p = F.coalesce(ploidy_of(vals, F.col("_gt")), F.array_position("_counts", F.size(F.split(v, ",")).cast("bigint")).cast("int"))
-            return F.when(i == F.col("_gt") - 1, _genotype(v, a, other)).otherwise(
-                _kept(v, F.get("_numbers", i), n, a, of("_counts", p), of("_places", p)))
-
-        return F.transform(F.array(F.split(text, ":")), lambda vals: F.array_join(F.transform(vals, lambda v, i: value(vals, v, i)), ":"))[0]
-
-    several = n > 1
+    # rows with one alternative allele hand nothing over
+    several = F.size("alt") > 1
+    given = [F.when(several, c) for c in (F.size("alt"), F.map_keys("info"), F.map_values("info"), F.col("format"), F.col("samples"))]
+    one = rows.withColumn("_own", F.arrow_udf(own, "array<struct<info: map<string,string>, samples: array<string>>>")(*given))
+    one = one.select("*", F.posexplode_outer("alt").alias("_i", "_alt"))
+    of_allele = F.get("_own", F.col("_i"))
     return one.select(
-        *keep, a.cast("int").alias("allele_num"), F.when(F.col("_alt").isNotNull(), F.array("_alt")).alias("alt"),
-        F.when(several, info).otherwise(F.col("info")).alias("info"),
-        F.when(several, F.transform("samples", sample)).otherwise(F.col("samples")).alias("samples"))
+        *keep, (F.col("_i") + 1).cast("int").alias("allele_num"), F.when(F.col("_alt").isNotNull(), F.array("_alt")).alias("alt"),
+        *[F.when(several, of_allele[c]).otherwise(F.col(c)).alias(c) for c in ("info", "samples")])
