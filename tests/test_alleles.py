@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 
 from varframe.operators import alleles, typed, vcf
+from varframe.operators.lines import header_lines
 from varframe.plans import fixtures as fx
 
 SCHEMA = typed.schema_of([
@@ -109,3 +110,9 @@ def test_odd_texts_against_brute_force(monkeypatch, slice_bytes, other):
 def test_no_rows():
     lists = pa.array([], pa.list_(pa.string()))
     assert len(alleles.own_values(pa.array([], pa.int32()), lists, lists, lists, lists, {}, {}, ".")) == 0
+
+
+def test_header_lines_in_order(spark):
+    head = spark.createDataFrame([("b", 10, "4"), ("a", 9, "3"), ("b", 2, None), (None, 7, "1"), ("a", 10, "é"), ("a", 1, "2")], "file string, block long, value string")
+    want = [r.value for r in head.orderBy("file", "block").collect()]
+    assert header_lines(head.repartition(4), ["file", "block"]) == want == ["1", "2", "3", "é", None, "4"]
