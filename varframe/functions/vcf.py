@@ -24,10 +24,7 @@ def info_map(info: Column) -> Column:
 
 def info_text(m: Column) -> Column:
     """``map<string,string>`` back to INFO text in key order of the map; NULL value = flag."""
-    parts = F.transform(
-        F.map_entries(m),
-        lambda e: F.when(e["value"].isNull(), e["key"]).otherwise(F.concat(e["key"], F.lit("="), e["value"])),
-    )
+    parts = F.zip_with(F.map_keys(m), F.map_values(m), lambda k, v: F.coalesce(F.concat(k, F.lit("="), v), k))
     return F.when(F.size(m) == 0, F.lit(MISSING)).otherwise(F.array_join(parts, ";"))
 
 

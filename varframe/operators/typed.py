@@ -9,8 +9,8 @@ they can't be read, and are reported, never dropped silently: ``violations`` lis
 Genotypes are ordered as VCF orders them, for any ploidy p: a genotype with sorted alleles
 k1 <= ... <= kp stands at sum over m of C(k_m + m - 1, m), so there are C(alleles + p - 1, p).
 
-Everything is column expressions over the parsed rows; the header, bounded by its nature, is read
-once, when the schema is made.
+Everything is column expressions over the parsed rows, but for the values of split alleles, which ``alleles`` cuts from
+whole batches; the header, bounded by its nature, is read when the schema is made.
 """
 
 from __future__ import annotations
